@@ -7,7 +7,7 @@ import json
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
-from corpusflow.functions.text import SPACE, hash_uniform, hex_long, strip
+from corpusflow.functions.text import SPACE, bind, hash_uniform, hex_long, strip
 
 # The chat markup.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -161,29 +161,33 @@ def render_chat(
         )
         return turn(m["role"], body)
 
-    def observation(content, i):
-        first = ~F.coalesce(F.get(messages, i - 1)["role"] == "tool", F.lit(False))
-        final = ~F.coalesce(F.get(messages, i + 1)["role"] == "tool", F.lit(False))
+    def observation(content, before, after):
         return F.concat(
-            F.when(first, F.lit(f"{START}user")).otherwise(F.lit("")),
+            F.when(before, F.lit("")).otherwise(F.lit(f"{START}user")),
             F.lit("\n<tool_response>\n"), content, F.lit("\n</tool_response>"),
-            F.when(final, F.lit(f"{END}\n")).otherwise(F.lit("")),
+            F.when(after, F.lit("")).otherwise(F.lit(f"{END}\n")),
         )
 
-    def piece(pair, i):
-        m = pair["m"]
-        content = F.coalesce(m["content"], F.lit(""))
-        return (
-            F.when((m["role"] == "system") & (i == 0) & listed, F.lit(""))
-            .when(m["role"].isin("user", "system"), turn(m["role"], content))
-            .when(m["role"] == "assistant", answer(m, content, pair["calls"]))
-            .when(m["role"] == "tool", observation(content, i))
-            .otherwise(F.lit(""))
-        )
+    def piece(all_pairs):
+        def is_tool(i):
+            return F.coalesce(F.get(all_pairs, i)["m"]["role"] == "tool", F.lit(False))
+
+        def one(pair, i):
+            m = pair["m"]
+            content = F.coalesce(m["content"], F.lit(""))
+            return (
+                F.when((m["role"] == "system") & (i == 0) & listed, F.lit(""))
+                .when(m["role"].isin("user", "system"), turn(m["role"], content))
+                .when(m["role"] == "assistant", answer(m, content, pair["calls"]))
+                .when(m["role"] == "tool", observation(content, is_tool(i - 1), is_tool(i + 1)))
+                .otherwise(F.lit(""))
+            )
+
+        return F.transform(all_pairs, one)
 
     # Python columns may feed a lambda's arrays but not appear inside the lambda.
     pairs = F.zip_with(messages, calls, lambda m, c: F.struct(m.alias("m"), c.alias("calls")))
-    body = F.array_join(F.transform(pairs, piece), "")
+    body = F.array_join(bind(pairs, piece), "")
     if tools is not None:
         lead = F.when(
             starts_with_system(messages),
@@ -220,7 +224,7 @@ def parse_chat(prompt: Column) -> Column:
     )
 
 
-def _starts(ids: Column, sequence: list[int], length: int) -> Column:
+def _starts(ids: Column, sequence: list[int]) -> Column:
     """0-based positions where ``sequence`` begins."""
     def here(p):
         hit = F.get(ids, p) == sequence[0]
@@ -240,15 +244,32 @@ def span_mask(ids: Column, bos: list[int], eos: list[int]) -> Column:
     clash = bos[0] in bos[1:] + eos or eos[0] in eos[1:] + bos
     if clash:
         raise ValueError("bos and eos sequences must open with ids that occur nowhere else in them")
-    opens = F.transform(_starts(ids, bos, len(bos)), lambda p: p + len(bos))
-    closes = _starts(ids, eos, len(eos))
-    spans = F.transform(
-        opens,
-        lambda s: F.struct(
-            s.alias("s"),
-            F.coalesce(F.array_min(F.filter(closes, lambda e: e >= s)) + len(eos), F.size(ids)).alias("e"),
+
+    def spans(known):
+        return F.transform(
+            F.transform(known["opens"], lambda p: p + len(bos)),
+            lambda s: F.struct(
+                s.alias("s"),
+                F.coalesce(
+                    F.array_min(F.filter(known["closes"], lambda e: e >= s)) + len(eos), F.size(known["ids"])
+                ).alias("e"),
+            ),
+        )
+
+    def judge(known):
+        return bind(
+            spans(known),
+            lambda found: F.transform(
+                known["ids"], lambda x, j: F.exists(found, lambda p: (j >= p["s"]) & (j < p["e"])).cast("int")
+            ),
+        )
+
+    marks = bind(
+        ids,
+        lambda x: F.struct(
+            x.alias("ids"),
+            _starts(x, bos).alias("opens"),
+            _starts(x, eos).alias("closes"),
         ),
     )
-    return F.transform(
-        ids, lambda x, j: F.exists(spans, lambda p: (j >= p["s"]) & (j < p["e"])).cast("int")
-    )
+    return bind(marks, judge)

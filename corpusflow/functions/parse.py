@@ -58,7 +58,7 @@ def _strict_calls(lists: pa.Array) -> pa.Array:
     return pa.array(rows, _CALL_ARROW)
 
 
-def _decode(bodies: Column) -> Column:
+def decode_calls(bodies: Column) -> Column:
     """Only rows that have bodies reach Python."""
     return F.coalesce(_strict_calls(F.when(F.size(bodies) > 0, bodies)), F.array().cast(T.ArrayType(CALL)))
 
@@ -74,7 +74,7 @@ def parse_tool_calls(text: Column) -> Column:
     ``position`` counts every tagged body, malformed ones included; ``arguments`` is the JSON as
     sent; ``decoded`` has arguments that were sent as a JSON string parsed, or ``{}``.
     """
-    return _decode(call_bodies(text))
+    return decode_calls(call_bodies(text))
 
 
 def tool_calls_openai(text: Column) -> Column:
@@ -83,7 +83,7 @@ def tool_calls_openai(text: Column) -> Column:
         text, F.lit(rf"(?s)<tool_call>{SPACE}*(\{{.*?\}}){SPACE}*</tool_call>"), F.lit(1)
     )
     calls = F.transform(
-        _decode(bodies),
+        decode_calls(bodies),
         lambda c: F.struct(
             F.concat(F.lit("call_"), c["position"].cast("string")).alias("id"),
             c["name"].alias("name"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from corpusflow.functions.text import WORD, occurrences, strip, words_and_marks
+from corpusflow.functions.text import WORD, bind, occurrences, strip, words_and_marks
 
 NUMBER = r"[-+]?[0-9]+(?:\.[0-9]+)?"
 _EDGE = r"[\p{L}\p{N}_.]"
@@ -15,14 +15,17 @@ QUESTION_FRAME = "\n以上是对话历史。我的新问题是：\n"
 
 def rep_penalty(text: Column, n: int = 3, cap: float = 0.5) -> Column:
     """Share of repeated ``n``-grams of words and marks, doubled and capped."""
-    pieces = words_and_marks(F.lower(text))
-    count = F.size(pieces) - (n - 1)
-    grams = F.transform(
-        F.when(count > 0, F.sequence(F.lit(0), count - 1)),
-        lambda i: F.concat_ws("\u0001", *[F.get(pieces, i + k) for k in range(n)]),
-    )
-    repeated = count - F.size(F.array_distinct(grams))
-    return F.when(count > 0, F.least(F.lit(cap), repeated * (cap * 2) / count)).otherwise(F.lit(0.0))
+
+    def penalty(pieces):
+        count = F.size(pieces) - (n - 1)
+        grams = F.transform(
+            F.when(count > 0, F.sequence(F.lit(0), count - 1)),
+            lambda i: F.concat_ws("\u0001", *[F.get(pieces, i + k) for k in range(n)]),
+        )
+        repeated = count - F.size(F.array_distinct(grams))
+        return F.when(count > 0, F.least(F.lit(cap), repeated * (cap * 2) / count)).otherwise(F.lit(0.0))
+
+    return bind(words_and_marks(F.lower(text)), penalty)
 
 
 def _within(text: Column, low: int, high: int, good: float, bad: float) -> Column:
@@ -67,18 +70,19 @@ def stand_alone_numbers(text: Column) -> Column:
 
 def verify_gt(text: Column, expected: Column) -> Column:
     """Distinct expected answers found in the text, as words or as a stand-alone number."""
-    numbers = stand_alone_numbers(text)
-    lowered = F.lower(text)
-
-    def found(g):
-        wanted = strip(g)
-        plain = F.replace(wanted, F.lit(","), F.lit(""))
-        value = F.when(plain.rlike(f"^{NUMBER}$"), plain.try_cast("double"))
-        literal = (F.length(wanted) > 0) & F.contains(lowered, F.lower(wanted))
-        numeric = F.exists(numbers, lambda n: F.coalesce(F.abs(value - n) < 1e-6, F.lit(False)))
-        return F.coalesce(literal | numeric, F.lit(False))
-
-    return F.filter(F.array_distinct(expected), found)
+
+    def among(known):
+        def found(g):
+            wanted = strip(g)
+            plain = F.replace(wanted, F.lit(","), F.lit(""))
+            value = F.when(plain.rlike(f"^{NUMBER}$"), plain.try_cast("double"))
+            literal = (F.length(wanted) > 0) & F.contains(known["lowered"], F.lower(wanted))
+            numeric = F.exists(known["numbers"], lambda n: F.coalesce(F.abs(value - n) < 1e-6, F.lit(False)))
+            return F.coalesce(literal | numeric, F.lit(False))
+
+        return F.filter(F.array_distinct(expected), found)
+
+    return bind(F.struct(F.lower(text).alias("lowered"), stand_alone_numbers(text).alias("numbers")), among)
 
 
 def clip_score(score: Column, bound: float = 3.0) -> Column:

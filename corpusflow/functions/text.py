@@ -23,6 +23,14 @@ MAY_COMPOSE = (
 )
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An expression used inside a lambda is otherwise computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _composed(texts: pa.Array) -> pa.Array:
     # Arrow's own utf8_normalize does not compose, so the standard library does it.
     done = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]

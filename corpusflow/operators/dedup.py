@@ -11,7 +11,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.functions.text import hex_long, tokens
+from corpusflow.functions.text import bind, hex_long, tokens
 from corpusflow.operators.schema_ops import view_of
 from corpusflow.session import cut_lineage
 
@@ -68,13 +68,20 @@ def _block_keys(fingerprint: Column, agree: int, threshold: int) -> list[Column]
 
 def _flips(bits: int) -> Column:
     """Every mask of at most ``bits`` set bits, built by an expression."""
-    masks = F.array(F.lit(0).cast("long"))
-    single = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))
-    for _ in range(bits):
-        masks = F.array_distinct(
-            F.flatten(F.transform(masks, lambda m: F.transform(F.concat(F.array(F.lit(0).cast("long")), single), lambda s: m.bitwiseOR(s))))
-        )
-    return masks
+    none = F.array(F.lit(0).cast("long"))
+    single = F.transform(
+        F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
+    )
+
+    def widen(step, flips):
+        masks = none
+        for _ in range(step):
+            masks = F.array_distinct(
+                F.flatten(F.transform(masks, lambda m: F.transform(flips, lambda s: m.bitwiseOR(s))))
+            )
+        return masks
+
+    return bind(F.concat(none, single), lambda flips: widen(bits, flips))
 
 
 def _agreeing_blocks(rows: int, threshold: int) -> int:
@@ -111,14 +118,13 @@ def near_fingerprints(
 
     members = keyed.join(crowded_keys, ["t", "v"], "left_semi").select("fingerprint").distinct()
     near, far = threshold // 2, threshold - threshold // 2
-    one = members.select(
-        F.col("fingerprint").alias("a"),
-        F.explode(F.transform(_flips(near), lambda m: F.col("fingerprint").bitwiseXOR(m))).alias("m"),
-    )
-    other = members.select(
-        F.col("fingerprint").alias("b"),
-        F.explode(F.transform(_flips(far), lambda m: F.col("fingerprint").bitwiseXOR(m))).alias("m"),
-    )
+
+    def around(name, bits):
+        fingerprint = F.col("fingerprint")
+        flipped = F.transform(_flips(bits), lambda m: fingerprint.bitwiseXOR(m))
+        return members.select(fingerprint.alias(name), F.explode(flipped).alias("m"))
+
+    one, other = around("a", near), around("b", far)
     met = one.join(other, "m").filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= threshold))
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return paired.select("a", "b").unionByName(met).distinct()
