@@ -75,9 +75,12 @@ def ordered_index(
     order: list[str],
     min_rows: int = 200_000,
     pieces: int = 256,
+    running: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``_idx`` (1-based position within ``by`` along ``order``) and ``_n`` (group size).
 
+    ``running`` adds inclusive running sums of the given columns. ``order`` must tell rows apart.
+
     Groups that fit one task are numbered directly. Hot groups are first cut along quantiles of the
     leading order column, numbered piecewise and shifted by the sizes of the earlier pieces.
     """
@@ -100,7 +103,11 @@ def ordered_index(
         "_piece",
         F.coalesce(F.size(F.filter("_bounds", lambda b: b < lead)), F.lit(0)),
     ).drop("_bounds", *[f"_h_{n}" for n in by])
-    counts = pieced.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_c"))
+    running = running or {}
+    sums = {f"_sum_{n}": c for n, c in running.items()}
+    counts = pieced.groupBy(*by, "_piece").agg(
+        F.count(F.lit(1)).alias("_c"), *[F.sum(c).alias(n) for n, c in sums.items()]
+    )
     along = Window.partitionBy(*by).orderBy("_piece")
     whole = Window.partitionBy(*by)
     offsets = _renamed(
@@ -109,15 +116,19 @@ def ordered_index(
             "_piece",
             (F.sum("_c").over(along) - F.col("_c")).alias("_before"),
             F.sum("_c").over(whole).alias("_n"),
+            *[(F.sum(n).over(along) - F.col(n)).alias(n) for n in sums],
         ),
         by + ["_piece"],
         "_o_",
     )
     inside = Window.partitionBy(*by, "_piece").orderBy(*order)
-    numbered = pieced.withColumn("_row", F.row_number().over(inside))
+    numbered = pieced.withColumns(
+        {"_row": F.row_number().over(inside)} | {n: F.sum(c).over(inside) for n, c in running.items()}
+    )
     joined = numbered.join(offsets, _null_safe(numbered, offsets, by + ["_piece"], "_o_"))
-    return joined.withColumn("_idx", F.col("_before") + F.col("_row")).drop(
-        "_before", "_row", "_piece", *[f"_o_{n}" for n in by + ["_piece"]]
+    shifted = {"_idx": F.col("_before") + F.col("_row")} | {n: F.col(n) + F.col(f"_sum_{n}") for n in running}
+    return joined.withColumns(shifted).drop(
+        "_before", "_row", "_piece", *sums, *[f"_o_{n}" for n in by + ["_piece"]]
     )
 
 
