@@ -82,9 +82,10 @@ def ordered_index(
     ``running`` adds inclusive running sums of the given columns. ``order`` must tell rows apart.
 
     Groups that fit one task are numbered directly. Hot groups are first cut along quantiles of the
-    leading order column, numbered piecewise and shifted by the sizes of the earlier pieces.
+    leading order column (a number or a time), numbered piecewise and shifted by the sizes of the
+    earlier pieces.
     """
-    lead = F.col(order[0]).cast("double")
+    lead = F.col(order[0])
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_total")).scalar()
     limit = F.greatest(F.lit(min_rows), F.coalesce(total, F.lit(0)) / HOT_LIMIT)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.skew import attach, group_stats, ordered_index
+from corpusflow.functions.text import bind
 
 _LANE = 256  # positions per block of the discounted sums
 
@@ -229,28 +230,48 @@ def masked_nll(df: DataFrame, by: list[str], logp: str = "logp_policy") -> DataF
     )
 
 
-def _normalizers(df: DataFrame, keys: list[str], logit: Column, spread_by: list[str]) -> DataFrame:
-    """Per distribution its size ``_rows``, largest logit ``_max`` and ``_lse``, the log of the summed exponentials."""
-    topped = group_stats(df.withColumn("_x", logit), keys, {"_max": F.max("_x")}, spread_by)
-    return topped.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        (F.max("_max") + F.log(F.sum(F.exp(F.col("_x") - F.col("_max"))))).alias("_lse"),
+def _normalizers(df: DataFrame, keys: list[str], logits: dict[str, Column]) -> DataFrame:
+    """Per distribution its size ``_rows`` and, per logit, the log of the summed exponentials.
+
+    Logits are summed within bands of width 16 relative to the band's floor, which cannot overflow;
+    the few bands of a distribution are then combined relative to the highest. One partial
+    aggregation suffices, and no row has to wait for the maximum of its distribution.
+    """
+    bands = {f"_b_{n}": F.floor(x / 16) for n, x in logits.items()}
+    banded = df.withColumns(bands | {f"_x_{n}": x for n, x in logits.items()})
+    sums = banded.groupBy(*keys, *bands).agg(
+        F.count(F.lit(1)).alias("_c"),
+        *[F.sum(F.exp(F.col(f"_x_{n}") - F.col(f"_b_{n}") * 16)).alias(f"_s_{n}") for n in logits],
+    )
+    lists = sums.groupBy(*keys).agg(
+        F.sum("_c").alias("_rows"),
+        *[F.collect_list(F.struct(F.col(f"_b_{n}").alias("b"), F.col(f"_s_{n}").alias("s"))).alias(f"_l_{n}") for n in logits],
     )
 
+    def combined(bands):
+        top = F.array_max(F.transform(bands, lambda p: p["b"]))
+        total = bind(
+            top, lambda t: F.aggregate(bands, F.lit(0.0), lambda a, p: a + p["s"] * F.exp((p["b"] - t) * 16.0))
+        )
+        return F.log(total) + top * 16
+
+    return lists.select(*keys, "_rows", *[combined(F.col(f"_l_{n}")).alias(n) for n in logits])
+
 
 def token_logp(df: DataFrame, keys: list[str], taken: Column, logit: str = "logit", spread_by: list[str] = ["token"]) -> DataFrame:
     """Log-softmax of the taken tokens; only those rows meet the normalizers."""
-    norms = _normalizers(df, keys, F.col(logit), spread_by)
+    norms = _normalizers(df, keys, {"_lse": F.col(logit)})
     kept = attach(df.filter(taken), norms, keys, spread_by, "_rows")
     return kept.withColumn("logp", F.col(logit) - F.col("_lse")).drop("_rows", "_lse")
 
 
 def softmax(df: DataFrame, keys: list[str], logits: dict[str, Column], spread_by: list[str]) -> DataFrame:
     """Add one log-probability column per entry of ``logits``."""
-    for name, logit in logits.items():
-        norms = _normalizers(df, keys, logit, spread_by)
-        df = attach(df, norms, keys, spread_by, "_rows").withColumn(name, logit - F.col("_lse")).drop("_rows", "_lse")
-    return df
+    norms = _normalizers(df, keys, {f"_n{n}": x for n, x in logits.items()})
+    joined = attach(df, norms, keys, spread_by, "_rows")
+    return joined.withColumns({n: x - F.col(f"_n{n}") for n, x in logits.items()}).drop(
+        "_rows", *[f"_n{n}" for n in logits]
+    )
 
 
 def distribution_kl(

@@ -170,7 +170,7 @@ def train_bpe(
         "n",
     ).filter(F.length("s") > 1)
     state = cut_lineage(state)
-    rounds, held = 0, None
+    rounds, cached = 0, []
     while len(model.tokens) < vocab_size:
         at = F.sequence(F.lit(1), F.length("s") - 1)
         pairs = state.select(F.explode(F.transform(at, lambda i: F.substring(F.col("s"), i, F.lit(2)))).alias("p"), "n")
@@ -194,12 +194,13 @@ def train_bpe(
             following = cut_lineage(following)
         else:
             following = following.persist()
-            following.count()
-        if held is not None:
-            held.unpersist()
-        state, held = following, (following if rounds % checkpoint_every else None)
-    if held is not None:
-        held.unpersist()
+            cached.append(following)
+        state = following
+        # The round before last has served its purpose; the last one still feeds the next.
+        while len(cached) > 2:
+            cached.pop(0).unpersist()
+    for frame in cached:
+        frame.unpersist()
     return model
 
 

@@ -264,7 +264,7 @@ def _trained(sf: str, vocab_size: int) -> tk.BpeModel:
 
 @query("bpe_merges")
 def bpe_merges(spark, sf):
-    return _trained(sf, 500).merges_table(spark)
+    return _trained(sf, 420).merges_table(spark)
 
 
 _SPECIAL_ROWS = ", ".join(f"({i}, '{t}', {str(t in tk.SPECIAL).lower()})" for i, t in enumerate(tk.ALL_SPECIAL))
@@ -291,7 +291,7 @@ def special_token_counts(spark, sf):
 
 @query("encode_documents")
 def encode_documents(spark, sf):
-    model = _trained(sf, 500)
+    model = _trained(sf, 420)
     coded = table(spark, sf, "documents").select("doc_id", "n_chars", tk.encode(F.col("text"), model).alias("ids"))
     return coded.select("doc_id", "n_chars", F.size("ids").alias("n_tokens"), _joined("ids").alias("ids_md5"))
 
@@ -308,7 +308,7 @@ def encode_bytes(spark, sf):
 
 @query("decode_documents", "SELECT doc_id, md5(text) AS text_md5, true AS same FROM documents")
 def decode_documents(spark, sf):
-    model = _trained(sf, 500)
+    model = _trained(sf, 420)
     coded = table(spark, sf, "documents").select("doc_id", "text", tk.encode(F.col("text"), model).alias("ids"))
     back = coded.select("doc_id", "text", tk.decode(F.col("ids"), model).alias("decoded"))
     return back.select("doc_id", F.md5("decoded").alias("text_md5"), (F.col("text") == F.col("decoded")).alias("same"))
