@@ -1,4 +1,10 @@
 """Imports every module that registers queries."""
 
-from corpusflow.plans import chat_queries, corpus_queries, reward_queries, rollout_queries  # noqa: F401
+from corpusflow.plans import (  # noqa: F401
+    chat_queries,
+    corpus_queries,
+    reward_queries,
+    rollout_queries,
+    stream_queries,
+)
 from corpusflow.plans.registry import ORACLES, QUERIES  # noqa: F401
