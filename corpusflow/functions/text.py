@@ -13,6 +13,11 @@ BLANK = r"[\p{Z}\t\r\x{1c}-\x{1f}\x{85}]"
 SPACE = r"[\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]"
 WORD = r"[\p{L}\p{N}_]+"
 WORD_OR_MARK = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]"
+# Runs that are not already one plain space.
+BLANK_RUN = rf"{BLANK}{{2,}}|[{BLANK[1:-1]}&&[^ ]]"
+SPACES = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
 # Text made only of these characters is already in composed form, so it never leaves the JVM.
@@ -62,13 +67,13 @@ def nfc_each(texts: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space, line breaks included, from both ends."""
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def tidy(text: Column) -> Column:
     """The JVM part of cleaning: drop controls, one blank per run, keep line feeds, trim."""
     text = F.regexp_replace(text, CONTROL, "")
-    return strip(F.regexp_replace(text, rf"{BLANK}+", " "))
+    return strip(F.regexp_replace(text, BLANK_RUN, " "))
 
 
 def clean_text(text: Column) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusflow.functions.fence import fence
 from corpusflow.functions.text import clean_text, words_and_marks
 from corpusflow.operators.dedup import deduplicate
 from corpusflow.operators.schema_ops import is_valid_conversation, view_of
@@ -21,7 +22,7 @@ def count_words_and_marks(text: Column) -> Column:
 def clean_columns(df: DataFrame) -> DataFrame:
     """Clean every string column."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: clean_text(F.col(n)) for n in names})
+    return fence(df, {n: clean_text(F.col(n)) for n in names}) if names else df
 
 
 def _length(df: DataFrame, text_key: str) -> Column:

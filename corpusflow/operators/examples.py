@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions import chat
+from corpusflow.functions.fence import fence
 from corpusflow.functions.skew import ordered_index, with_lookback
 from corpusflow.functions.text import hash_uniform
 from corpusflow.operators.tokenizer import BOS, EOS, PAD, BpeModel, encode
@@ -45,21 +46,12 @@ def sft_text(messages: Column, key: Column, ratio: float = 0.2, keep: float = 0.
     return chat.strip_empty_think(chat.render_chat(injected, tools, with_calls=with_calls), key, keep, seed)
 
 
-def fenced(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """Select ``key`` and ``columns`` behind a generator, which the optimizer does not merge upwards.
-
-    Later expressions then read finished values; merged, they would repeat the whole rendering
-    wherever the text is used, Python parts included.
-    """
-    return df.select(key, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def sft_examples(
     df: DataFrame, model: BpeModel, max_length: int = 1024, key: str = "conv_id", seed: int = 42, **ratios
 ) -> DataFrame:
     text = sft_text(F.col("conversations"), F.col(key), seed=seed, **ratios)
-    coded = fenced(df, key, {"_text": text}).select(key, encode(F.col("_text"), model).alias("_ids"))
-    return span_labels(fenced(coded, key, {"input_ids": pad_to(F.col("_ids"), max_length)}), model)
+    coded = fence(df, {"_text": text}, [key]).select(key, encode(F.col("_text"), model).alias("_ids"))
+    return span_labels(fence(coded, {"input_ids": pad_to(F.col("_ids"), max_length)}, [key]), model)
 
 
 def dpo_examples(
@@ -72,9 +64,9 @@ def dpo_examples(
         draw = F.concat(F.lit(f"{side}:"), F.col(key).cast("string"))
         return chat.strip_empty_think(chat.render_chat(F.col(side)), draw, keep, seed)
 
-    out = fenced(df, key, {s: text(s) for s in sides})
+    out = fence(df, {s: text(s) for s in sides}, [key])
     out = out.select(key, *[encode(F.col(s), model).alias(s) for s in sides])
-    out = fenced(out, key, {s: pad_to(F.col(s), max_length) for s in sides})
+    out = fence(out, {s: pad_to(F.col(s), max_length) for s in sides})
     marks = answer_marks(model)
     out = out.withColumns({f"mask_{s}": chat.span_mask(F.col(s), *marks) for s in sides})
     shifted = {}

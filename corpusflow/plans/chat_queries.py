@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import chat
-from corpusflow.functions.text import hash_uniform
+from corpusflow.functions.fence import fence
 from corpusflow.operators import batching, examples, tokenizer as tk
 from corpusflow.operators.schema_ops import assemble_conversations
 from corpusflow.plans import sqlparts as q
@@ -278,9 +278,7 @@ FROM rendered, t GROUP BY ALL""",
 )
 def special_token_counts(spark, sf):
     m = F.col("conversations")
-    rendered = examples.fenced(
-        tagged(spark, sf), "conv_id", {"body": chat.render_chat(m, chat.offered_tools(m))}
-    )
+    rendered = fence(tagged(spark, sf), {"body": chat.render_chat(m, chat.offered_tools(m))}, ["conv_id"])
     found = rendered.select(F.explode(tk.pieces_with_specials(F.col("body"))).alias("token"))
     counts = found.filter(F.col("token").isin(*tk.ALL_SPECIAL)).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     tokens = tk.special_tokens(spark)
@@ -380,10 +378,8 @@ def sft_examples(spark, sf):
 SELECT conv_id, len(x)::INTEGER AS n_ids, list_sum(mask)::BIGINT AS n_answer FROM masked""",
 )
 def span_labels(spark, sf):
-    rendered = examples.fenced(plain(spark, sf), "conv_id", {"t": chat.render_chat(F.col("conversations"))})
-    coded = examples.fenced(
-        rendered.select("conv_id", tk.encode(F.col("t"), BYTES).alias("i")), "conv_id", {"ids": F.col("i")}
-    )
+    rendered = fence(plain(spark, sf), {"t": chat.render_chat(F.col("conversations"))}, ["conv_id"])
+    coded = fence(rendered.select("conv_id", tk.encode(F.col("t"), BYTES).alias("i")), {"ids": F.col("i")}, ["conv_id"])
     mask = chat.span_mask(F.col("ids"), *examples.answer_marks(BYTES))
     return coded.select(
         "conv_id", F.size("ids").alias("n_ids"), F.aggregate(mask, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_answer")
@@ -439,6 +435,3 @@ def write_examples(spark, sf):
     return spark.read.parquet(path).groupBy("rank", "batch_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(total).alias("id_sum")
     )
-
-
-__all__ = ["hash_uniform", "preference_pairs", "tagged"]

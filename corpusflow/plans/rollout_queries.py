@@ -13,6 +13,7 @@ from corpusflow.functions.text import words
 from corpusflow.operators import metrics, rollouts
 from corpusflow.plans import sqlparts as q
 from corpusflow.plans.registry import query, table
+from corpusflow.session import cut_lineage
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,7 +24,8 @@ def _words(spark: SparkSession, sf: str) -> DataFrame:
 
 def _frequencies(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (lang, source, token): its count, and log-probabilities under three word models."""
-    grain = _words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c"))
+    # The models read these counts many times; written once, the texts are scanned once.
+    grain = cut_lineage(_words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c")))
     vocab = grain.select(F.count_distinct("token").alias("v")).scalar()
 
     def model(keys, name):
@@ -39,7 +41,7 @@ def _frequencies(spark: SparkSession, sf: str) -> DataFrame:
     for keys, name in ((["lang"], "logp_policy"), (["source"], "logp_old"), ([], "logp_ref")):
         # A token has at most one row per language and source here, so no key is hot.
         out = out.join(model(keys, name), [*keys, "token"])
-    return out
+    return cut_lineage(out)
 
 
 def token_logps(spark: SparkSession, sf: str) -> DataFrame:

@@ -97,6 +97,15 @@ def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table whose files give fewer splits than there are cores.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_text(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One row per line that is not blank, trimmed."""
     lines = spark.read.text(paths).select(strip(F.col("value")).alias("text"))
