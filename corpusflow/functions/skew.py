@@ -9,15 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOT_LIMIT = 1000
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: list[str], prefix: str) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[f"{prefix}{name}"])
-    return condition
-
-
-def _renamed(df: DataFrame, names: list[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({name: f"{prefix}{name}" for name in names})
+def _key(names: list[str]) -> Column:
+    """The group as one struct: it is never null itself and null fields compare equal, so plain
+    equality joins it, and the partitioning of a window on it serves a following join."""
+    return F.struct(*names) if names else F.struct(F.lit(0).alias("all"))
 
 
 def attach(
@@ -36,20 +31,13 @@ def attach(
     """
     total = table.agg(F.sum(weight).alias("_total")).scalar()
     limit = F.greatest(F.lit(min_rows), F.coalesce(total, F.lit(0)) / HOT_LIMIT)
-    sized = _renamed(
-        table.withColumn("_copies", F.greatest(F.lit(1), F.ceil(F.col(weight) / limit)).cast("int")),
-        keys,
-        "_k_",
-    )
-    key_columns = [f"_k_{name}" for name in keys]
-    hot = F.broadcast(sized.filter(F.col("_copies") > 1).select(*key_columns, "_copies"))
-    salted = df.join(hot, _null_safe(df, hot, keys, "_k_"), "left").withColumn(
-        "_salt",
-        F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_copies")), F.lit(0)).cast("int"),
-    ).drop(*key_columns, "_copies")
-    copies = sized.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
-    condition = _null_safe(salted, copies, keys, "_k_") & (salted["_salt"] == copies["_copy"])
-    return salted.join(copies, condition, how).drop(*key_columns, "_salt", "_copy")
+    copies = F.greatest(F.lit(1), F.ceil(F.col(weight) / limit)).cast("int")
+    sized = table.withColumns({"_key": _key(keys), "_copies": copies}).drop(*keys)
+    hot = F.broadcast(sized.filter(F.col("_copies") > 1).select("_key", "_copies"))
+    pick = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_copies")), F.lit(0)).cast("int")
+    salted = df.withColumn("_key", _key(keys)).join(hot, "_key", "left").withColumn("_salt", pick).drop("_copies")
+    spread = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
+    return salted.join(spread, ["_key", "_salt"], how).drop("_key", "_salt")
 
 
 def group_stats(
@@ -86,51 +74,42 @@ def ordered_index(
     earlier pieces.
     """
     lead = F.col(order[0])
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df.withColumn("_key", _key(by))
+    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_total")).scalar()
     limit = F.greatest(F.lit(min_rows), F.coalesce(total, F.lit(0)) / HOT_LIMIT)
-    hot_keys = F.broadcast(_renamed(sizes.filter(F.col("_n") > limit).select(*by), by, "_h_"))
+    hot = F.broadcast(sizes.filter(F.col("_n") > limit).select("_key"))
     grid = [i / pieces for i in range(1, pieces)]
-    bounds = _renamed(
-        df.select(*by, lead.alias("_lead"))
-        .join(hot_keys, _null_safe(df, hot_keys, by, "_h_"), "left_semi")
-        .groupBy(*by)
-        .agg(F.percentile_approx("_lead", grid, 10_000).alias("_bounds")),
-        by,
-        "_h_",
+    bounds = (
+        keyed.select("_key", lead.alias("_lead"))
+        .join(hot, "_key", "left_semi")
+        .groupBy("_key")
+        .agg(F.percentile_approx("_lead", grid, 10_000).alias("_bounds"))
     )
-    bounds = F.broadcast(bounds)
-    pieced = df.join(bounds, _null_safe(df, bounds, by, "_h_"), "left").withColumn(
-        "_piece",
-        F.coalesce(F.size(F.filter("_bounds", lambda b: b < lead)), F.lit(0)),
-    ).drop("_bounds", *[f"_h_{n}" for n in by])
+    # At most HOT_LIMIT groups with ``pieces`` bounds each.
+    piece = F.coalesce(F.size(F.filter("_bounds", lambda b: b < lead)), F.lit(0))
+    pieced = keyed.join(F.broadcast(bounds), "_key", "left").withColumn("_piece", piece).drop("_bounds")
     running = running or {}
     sums = {f"_sum_{n}": c for n, c in running.items()}
-    counts = pieced.groupBy(*by, "_piece").agg(
+    counts = pieced.groupBy("_key", "_piece").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
-    along = Window.partitionBy(*by).orderBy("_piece")
-    whole = Window.partitionBy(*by)
-    offsets = _renamed(
-        counts.select(
-            *by,
-            "_piece",
-            (F.sum("_c").over(along) - F.col("_c")).alias("_before"),
-            F.sum("_c").over(whole).alias("_n"),
-            *[(F.sum(n).over(along) - F.col(n)).alias(n) for n in sums],
-        ),
-        by + ["_piece"],
-        "_o_",
+    along = Window.partitionBy("_key").orderBy("_piece")
+    whole = Window.partitionBy("_key")
+    offsets = counts.select(
+        "_key",
+        "_piece",
+        (F.sum("_c").over(along) - F.col("_c")).alias("_before"),
+        F.sum("_c").over(whole).alias("_n"),
+        *[(F.sum(n).over(along) - F.col(n)).alias(n) for n in sums],
     )
-    inside = Window.partitionBy(*by, "_piece").orderBy(*order)
+    inside = Window.partitionBy("_key", "_piece").orderBy(*order)
     numbered = pieced.withColumns(
         {"_row": F.row_number().over(inside)} | {n: F.sum(c).over(inside) for n, c in running.items()}
     )
-    joined = numbered.join(offsets, _null_safe(numbered, offsets, by + ["_piece"], "_o_"))
     shifted = {"_idx": F.col("_before") + F.col("_row")} | {n: F.col(n) + F.col(f"_sum_{n}") for n in running}
-    return joined.withColumns(shifted).drop(
-        "_before", "_row", "_piece", *sums, *[f"_o_{n}" for n in by + ["_piece"]]
-    )
+    joined = numbered.join(offsets, ["_key", "_piece"]).withColumns(shifted)
+    return joined.drop("_before", "_row", "_piece", "_key", *sums)
 
 
 def with_lookback(df: DataFrame, lookback: int, block_rows: int = 200_000) -> tuple[DataFrame, Column]:

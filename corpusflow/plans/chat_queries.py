@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import chat
@@ -256,15 +254,19 @@ def word_counts(spark, sf):
     return tk.word_counts(table(spark, sf, "documents"))
 
 
-@lru_cache(maxsize=8)
-def _trained(sf: str, vocab_size: int) -> tk.BpeModel:
-    spark = SparkSession.getActiveSession()
-    return tk.train_bpe(tk.word_counts(table(spark, sf, "documents")), vocab_size)
+_MODELS: dict[tuple[str, int], tk.BpeModel] = {}
+
+
+def _trained(spark: SparkSession, sf: str, vocab_size: int = 420) -> tk.BpeModel:
+    """Trained once per corpus and size, then shared by the queries that need it."""
+    if (sf, vocab_size) not in _MODELS:
+        _MODELS[sf, vocab_size] = tk.train_bpe(tk.word_counts(table(spark, sf, "documents")), vocab_size)
+    return _MODELS[sf, vocab_size]
 
 
 @query("bpe_merges")
 def bpe_merges(spark, sf):
-    return _trained(sf, 420).merges_table(spark)
+    return _trained(spark, sf).merges_table(spark)
 
 
 _SPECIAL_ROWS = ", ".join(f"({i}, '{t}', {str(t in tk.SPECIAL).lower()})" for i, t in enumerate(tk.ALL_SPECIAL))
@@ -289,7 +291,7 @@ def special_token_counts(spark, sf):
 
 @query("encode_documents")
 def encode_documents(spark, sf):
-    model = _trained(sf, 420)
+    model = _trained(spark, sf)
     coded = table(spark, sf, "documents").select("doc_id", "n_chars", tk.encode(F.col("text"), model).alias("ids"))
     return coded.select("doc_id", "n_chars", F.size("ids").alias("n_tokens"), _joined("ids").alias("ids_md5"))
 
@@ -306,7 +308,7 @@ def encode_bytes(spark, sf):
 
 @query("decode_documents", "SELECT doc_id, md5(text) AS text_md5, true AS same FROM documents")
 def decode_documents(spark, sf):
-    model = _trained(sf, 420)
+    model = _trained(spark, sf)
     coded = table(spark, sf, "documents").select("doc_id", "text", tk.encode(F.col("text"), model).alias("ids"))
     back = coded.select("doc_id", "text", tk.decode(F.col("ids"), model).alias("decoded"))
     return back.select("doc_id", F.md5("decoded").alias("text_md5"), (F.col("text") == F.col("decoded")).alias("same"))
