@@ -39,7 +39,6 @@ def test_special_ids():
 def test_merges_equal_one_at_a_time_training(model, public):
     vocabulary = public.get_vocab()
     assert len(model.tokens) == len(vocabulary) == 380
-    shown = dict(zip(range(256), [None] * 256))
     by_id = {i: t for t, i in vocabulary.items()}
     shown = {by_id[i]: bytes([b]) for b, i in enumerate(tk.BYTE_IDS)}
     for token, i in vocabulary.items():
@@ -76,13 +75,12 @@ def test_long_discounted_sums_do_not_underflow(spark):
         F.lit(1).alias("sample_id"), F.col("id").cast("int").alias("pos"),
         F.when(F.col("id") == n - 1, 5.0).otherwise(0.0).alias("token_reward"), ((F.col("id") % 11) / 10.0).alias("value"),
     )
-    value = [(i % 11) / 10.0 for i in range(n)]
-    want, running = [0.0] * n, 0.0
-    for t in reversed(range(n)):
-        delta = (5.0 if t == n - 1 else 0.0) + (value[t + 1] if t < n - 1 else 0.0) - value[t]
-        running = want[t] = delta + c * running
-    got = {r.pos: r.advantage for r in rollouts.gae(df).collect()}
-    assert max(abs(got[t] - want[t]) for t in range(n)) < 1e-9
+    rows = {r.pos: r for r in rollouts.gae(df).collect()}
+    # Every advantage is its own error plus the discounted next one; the last is its error alone.
+    worst = max(
+        abs(rows[t].advantage - (rows[t + 1].value - rows[t].value + c * rows[t + 1].advantage)) for t in range(n - 1)
+    )
+    assert worst < 1e-9 and abs(rows[n - 1].advantage - (5.0 - rows[n - 1].value)) < 1e-12
 
 
 def test_top_p_keeps_the_crossing_candidate_and_the_best(spark):
