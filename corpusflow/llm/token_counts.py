@@ -8,14 +8,11 @@ import re
 from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
 
-# Fixed value: the public pattern that cuts a text into the pieces within which merges happen.
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 # Pieces whose counts a Python worker remembers. More only saves time.
 REMEMBERED = 400_000
 
@@ -97,11 +94,10 @@ class Counter:
         with open(path, encoding="utf-8") as f:
             table = MergeTable(json.load(f))
         self.counts = PieceCounts(table)
-        self.cut = regex.compile(PIECES).findall
         self.special = re.compile("|".join(map(re.escape, table.specials))) if table.specials else None
 
     def ordinary(self, text: str) -> int:
-        return sum(map(self.counts.__getitem__, self.cut(text)))
+        return sum(map(self.counts.__getitem__, cut(text)))
 
     def count(self, text: str) -> int:
         if self.special is None or not self.special.search(text):

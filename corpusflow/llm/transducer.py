@@ -20,20 +20,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
-from corpusflow.llm.token_counts import PIECES
 
 # What a Python worker holds at most before it starts anew; more only saves time.
-MAX_TRANSITIONS = 500_000
-MAX_STATES = 60_000
+MAX_STATES = 120_000
 MAX_PAIRS = 300_000
 MAX_PIECES = 300_000
 # Token ids that the decoder takes at a time.
 DECODE_CHUNK = 65_536
 ROOT = 0
+RUNS = -1  # the key of a state's runs, beside the bytes
 
 Run = tuple[int, tuple[int, ...], int]
 
@@ -91,11 +90,9 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
-        self.start: tuple[Run, ...] = ((-1, (), ROOT),)
-        self.states: list[tuple[Run, ...]] = [self.start]
-        self.numbers: dict[tuple[Run, ...], int] = {self.start: 0}
-        self.delta: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.rest: dict[int, tuple[int, ...]] = {}
+        """Start anew, with the start state only. A state maps a byte to the next state and to what is given out."""
+        self.start: dict = {RUNS: ((-1, (), ROOT),)}
+        self.states: dict[tuple[Run, ...], dict] = {self.start[RUNS]: self.start}
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether the merges leave ``last`` (-1: nothing) and ``token`` as they are, side by side."""
@@ -129,27 +126,23 @@ class Transducer:
             agreed -= 1
         return tuple((last, held[agreed:], node) for last, held, node in after), ended[1][:agreed]
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         """A transition, made the first time that it is taken."""
-        runs, given = self.advance(self.states[state], byte)
-        number = self.numbers.get(runs)
-        if number is None:
-            number = self.numbers[runs] = len(self.states)
-            self.states.append(runs)
-        self.delta[state << 8 | byte] = found = (number, given)
+        runs, given = self.advance(state[RUNS], byte)
+        after = self.states.setdefault(runs, {RUNS: runs})
+        state[byte] = found = (after, given)
         return found
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.delta) >= MAX_TRANSITIONS or len(self.states) >= MAX_STATES:
+        if len(self.states) >= MAX_STATES:
             self.forget()
         out: list[int] = []
-        state, delta = 0, self.delta
+        state = self.start
         for byte in piece:
-            found = delta.get(state << 8 | byte) or self.step(state, byte)
-            state = found[0]
-            if found[1]:
-                out.extend(found[1])
-        out.extend(self.states[state][-1][1])  # the run that has just ended a token holds the rest
+            state, given = state.get(byte) or self.step(state, byte)
+            if given:
+                out += given
+        out += state[RUNS][-1][1]  # the run that has just ended a token holds the rest
         return out
 
 
@@ -172,11 +165,10 @@ class PieceIds(dict):
 class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.pieces = PieceIds(Transducer(ranks))
-        self.cut = regex.compile(PIECES).findall
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers, one after the other."""
-        return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+        return b"".join(map(self.pieces.__getitem__, cut(text)))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()
