@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.llm.exact_dups import exact_duplicates
+from corpusflow.llm.near_dups import MinHash, near_duplicates
+from corpusflow.llm.repeats import repeated_passages
 from corpusflow.llm.tables import table, whole_text
 from corpusflow.llm.token_counts import with_token_counts
+from corpusflow.llm.toxicity import held_out, train, with_toxicity
 from corpusflow.llm.transducer import with_decoded_text, with_token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +31,42 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query(
+    "op1_near_dedup",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+            WHEN len(w) = 1 THEN [w[1]]
+            ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s
+        FROM words
+    ), sizes AS (SELECT doc_id, count(*) AS n, list(s) AS l FROM shingles GROUP BY doc_id),
+    common AS (SELECT s, count(*) AS f FROM shingles GROUP BY s),
+    -- Sets that reach the threshold share one of the rarest n - ceil(0.8 n) + 1 shingles of each.
+    ranked AS (
+        SELECT doc_id, s, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS r FROM shingles JOIN common USING (s)
+    ), rare AS (SELECT doc_id, s, n FROM ranked JOIN sizes USING (doc_id) WHERE r <= n - ceil(0.8 * n) + 1),
+    candidates AS (
+        SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM rare a JOIN rare b ON a.s = b.s AND a.doc_id <> b.doc_id
+        WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    ), shared AS (
+        SELECT a, b, x.n AS na, y.n AS nb, len(list_intersect(x.l, y.l)) AS k
+        FROM candidates JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    ), links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (na + nb - k)
+    ), reach(a, b) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM roots LEFT JOIN sizes USING (doc_id)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), p=MinHash(shingle=2))
+
+
 @query(
     "op2_exact_dedup",
     """
@@ -41,6 +80,59 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op4_repeated_passages",
+    """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    h AS (SELECT doc_id, n, hex(b) AS x FROM d),
+    pieces AS (SELECT doc_id, n, x, unnest(range(0, n - 99, 1000)) AS base FROM h WHERE n >= 100),
+    short AS (SELECT doc_id, base, substr(x, 2 * base + 1, 2198) AS y FROM pieces),
+    starts AS (SELECT doc_id, base, y, unnest(range(0, least(1000, len(y) // 2 - 99))) AS o FROM short),
+    windows AS (SELECT doc_id, base + o AS p, md5_number(substr(y, 2 * o + 1, 200)) AS w FROM starts),
+    firsts AS (SELECT w, min((doc_id, p)) AS f FROM windows GROUP BY w HAVING count(*) > 1),
+    late AS (SELECT doc_id, p FROM windows JOIN firsts USING (w) WHERE (doc_id, p) > f
+    ), runs AS (
+        SELECT doc_id, p, p > max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100 AS gap
+        FROM late
+    ), numbered AS (SELECT doc_id, p, sum(coalesce(gap, true)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM runs),
+    spans AS (SELECT doc_id, run, min(p) AS s, max(p) + 100 AS e FROM numbered GROUP BY doc_id, run),
+    ordered AS (SELECT doc_id, s, e, lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM spans),
+    cut AS (
+        SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, min(s) AS first,
+            string_agg(substr(x, 2 * e + 1, 2 * (coalesce(next, n) - e)), '' ORDER BY s) AS rest
+        FROM ordered JOIN h USING (doc_id) GROUP BY doc_id
+    )
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+        sha256(CASE WHEN n_spans IS NULL THEN unhex(x) ELSE unhex(substr(x, 1, 2 * first) || rest) END) AS kept_sha256
+    FROM h LEFT JOIN cut USING (doc_id)
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    changed = repeated_passages(docs).select(
+        F.col("doc_id").alias("changed_id"),
+        "version",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    whole = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("whole_version"),
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2("text", 256).alias("whole_sha256"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("changed_id")) & (F.col("whole_version") == F.col("version"))
+    return whole.join(changed, same, "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,3 +151,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return with_toxicity(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("sentences").alias("n_offending")
+    )
