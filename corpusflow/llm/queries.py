@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpus_pipeline import ORACLE_SQL, run
 from corpusflow.llm.exact_dups import exact_duplicates
+from corpusflow.llm.mixing import with_slots
 from corpusflow.llm.near_dups import MinHash, near_duplicates
 from corpusflow.llm.repeats import repeated_passages
 from corpusflow.llm.tables import table, whole_text
 from corpusflow.llm.token_counts import with_token_counts
+from corpusflow.llm.tool_calls import SCHEMAS, calls_from_conversations, link_tool_calls
 from corpusflow.llm.toxicity import held_out, train, with_toxicity
 from corpusflow.llm.transducer import with_decoded_text, with_token_ids
+from corpusflow.llm.url_templates import Rule, path_of, url_verdicts
+from corpusflow.llm.weighted_prints import fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +85,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_weighted_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_repeated_passages",
     """
@@ -160,3 +170,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_toxicity(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("sentences").alias("n_offending")
     )
+
+
+@query("op8_mix_sources")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_slots(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+# The rules of the filter's contract.
+URL_RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # The last number in a page's path is the document that the page shows; labels are known for some.
+    number = F.regexp_extract(path_of(F.col("url")), r"/([0-9]+)[^/]*/?$", 1)
+    shown = pages.select("url", number.try_cast("long").alias("doc_id"))
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    labelled = shown.join(table(spark, sf_dir, "labels"), "doc_id").select("url", good.alias("good"))
+    return url_verdicts(pages, URL_RULES, labelled)
+
+
+@query("op10_tool_calls")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_from_conversations(table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, SCHEMAS)
+
+
+@query("pipeline", ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir)
