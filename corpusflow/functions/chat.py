@@ -52,14 +52,25 @@ def _dump(value) -> str:
     return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+def _loaded(text: str):
+    """The JSON value; null if it is malformed or nested too deeply, so one bad row does not end a job."""
+    try:
+        return json.loads(text)
+    except (ValueError, RecursionError):
+        return None
+
+
 @F.arrow_udf(_CALLS)
 def _decode_calls(lists: pa.Array) -> pa.Array:
     """Raw tool-call JSON per message to (name, arguments) text; key order is kept."""
 
     def one(raw):
         found = []
-        for call in json.loads(raw) if raw else []:
-            call = call.get("function") or call
+        calls = _loaded(raw) if raw else []
+        for call in calls if isinstance(calls, list) else []:
+            call = (call.get("function") or call) if isinstance(call, dict) else None
+            if not isinstance(call, dict):
+                continue
             found.append({"name": _dump(call.get("name", "")), "arguments": _dump(call.get("arguments", {}))})
         return found
 
@@ -71,7 +82,8 @@ def _decode_calls(lists: pa.Array) -> pa.Array:
 def _dump_each(texts: pa.Array) -> pa.Array:
     """A JSON list as one JSON text per element."""
     rows = [
-        None if text is None else [json.dumps(x, ensure_ascii=False) for x in json.loads(text)]
+        None if (found := None if text is None else _loaded(text)) is None
+        else [json.dumps(x, ensure_ascii=False) for x in (found if isinstance(found, list) else [found])]
         for text in texts.to_pylist()
     ]
     return pa.array(rows, pa.list_(pa.string()))

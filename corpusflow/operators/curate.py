@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusflow.functions.fence import fence
 from corpusflow.functions.text import clean_text, words_and_marks
-from corpusflow.operators.dedup import deduplicate
+from corpusflow.operators.dedup import near_duplicate_keys
 from corpusflow.operators.schema_ops import is_valid_conversation, view_of
+from corpusflow.session import cut_lineage
 
 Counter = Callable[[Column], Column]
 
@@ -56,58 +57,57 @@ def flag_stages(
     view = view_of(df, text_key)
     reason = F.when(~_length(df, text_key).between(min_chars, max_chars), F.lit("chars"))
     if count is not None and min_tokens > 0:
-        short = ~F.coalesce(count(view), F.lit(0)).between(min_tokens, max_tokens)
+        df = fence(df, {"_n_tokens": F.coalesce(count(view), F.lit(0))})
+        short = ~F.col("_n_tokens").between(min_tokens, max_tokens)
         reason = reason.when(short, F.lit("tokens"))
     if validate and isinstance(df.schema[text_key].dataType, T.ArrayType):
         reason = F.when(~is_valid_conversation(F.col(text_key)), F.lit("invalid")).otherwise(reason)
-    return df.withColumn("_dropped_by", reason)
+    return df.withColumn("_dropped_by", reason).drop("_n_tokens")
 
 
-def process_dataset(
+def process(
     df: DataFrame,
     dedup: bool = True,
     dedup_threshold: int = 3,
     text_key: str = "text",
     order_key: str = "doc_id",
     **stages,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
+    """The curated rows and the report on them, from one pass over ``df``.
+
+    The cleaned rows with their flags are written to the checkpoint folder once; fingerprints, the
+    result and the counts are read from there. Rows are removed by an anti-join with the keys of the
+    near duplicates only.
+    """
+    flagged = cut_lineage(flag_stages(df, text_key=text_key, **stages))
+    kept = flagged.filter(F.col("_dropped_by").isNull()).drop("_dropped_by")
+    duplicates = F.lit(0).cast("long")
+    if dedup:
+        gone = cut_lineage(near_duplicate_keys(kept, dedup_threshold, text_key, order_key))
+        kept = kept.join(gone, order_key, "left_anti")
+        duplicates = gone.agg(F.count(F.lit(1)).alias("n")).scalar()
+    names = ["chars", "tokens"] + (["invalid"] if stages.get("validate") else [])
+    report = flagged.agg(
+        F.count(F.lit(1)).alias("n_total"),
+        *[F.count_if(F.col("_dropped_by") == n).alias(f"dropped_{n}") for n in names],
+    ).withColumn("dropped_duplicates", duplicates)
+    removed = sum((F.col(f"dropped_{n}") for n in names), F.col("dropped_duplicates"))
+    report = report.select(
+        "n_total",
+        (F.col("n_total") - removed).alias("n_kept"),
+        *[f"dropped_{n}" for n in names],
+        "dropped_duplicates",
+        removed.alias("n_removed"),
+        F.round(removed * 100.0 / F.greatest(F.col("n_total"), F.lit(1)), 1).alias("removed_pct"),
+    )
+    return kept, report
+
+
+def process_dataset(df: DataFrame, **options) -> DataFrame:
     """Clean, filter by characters, filter by tokens, remove near duplicates."""
-    kept = flag_stages(df, text_key=text_key, **stages).filter(F.col("_dropped_by").isNull()).drop("_dropped_by")
-    return deduplicate(kept, dedup_threshold, text_key, order_key) if dedup else kept
+    return process(df, **options)[0]
 
 
-def process_report(
-    df: DataFrame,
-    dedup: bool = True,
-    dedup_threshold: int = 3,
-    text_key: str = "text",
-    order_key: str = "doc_id",
-    **stages,
-) -> DataFrame:
+def process_report(df: DataFrame, **options) -> DataFrame:
     """Rows in, rows removed per stage and in all, and the share removed, as one row."""
-    flagged = flag_stages(df, text_key=text_key, **stages)
-    counted = flagged.select("_dropped_by")
-    if dedup:
-        passed = flagged.filter(F.col("_dropped_by").isNull()).select(order_key, text_key)
-        kept = deduplicate(passed, dedup_threshold, text_key, order_key)
-        counted = (
-            counted.filter(F.col("_dropped_by").isNotNull())
-            .unionByName(kept.select(F.lit("kept").alias("_dropped_by")))
-        )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    by = {
-        name: F.count_if(F.col("_dropped_by") == name)
-        for name in (["chars", "tokens"] + (["invalid"] if stages.get("validate") else []))
-    }
-    stay = F.count_if((F.col("_dropped_by") == "kept") if dedup else F.col("_dropped_by").isNull())
-    report = counted.agg(stay.alias("n_kept"), *[c.alias(f"dropped_{n}") for n, c in by.items()])
-    removed = F.col("n_total") - F.col("n_kept")
-    named = [F.col(f"dropped_{n}") for n in by]
-    near = removed
-    for column in named:
-        near = near - column
-    report = report.withColumn("n_total", total)
-    return report.select(
-        "n_total", "n_kept", *named, near.alias("dropped_duplicates"), removed.alias("n_removed"),
-        F.round(removed * 100.0 / F.greatest(F.col("n_total"), F.lit(1)), 1).alias("removed_pct"),
-    )
+    return process(df, **options)[1]

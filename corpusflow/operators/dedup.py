@@ -7,41 +7,54 @@ searched by flipping bits, whose cost per fingerprint is a constant. Both ways a
 
 from __future__ import annotations
 
+import hashlib
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.functions.text import bind, hex_long, tokens
+from corpusflow.functions.text import bind, tokens
 from corpusflow.operators.schema_ops import view_of
 from corpusflow.session import cut_lineage
 
-# Two 32-bit counters per long: a string holds fewer than 2**30 tokens, so no counter overflows.
-_LANES = 0x0000000100000001
+# Tokens whose hashes a Python worker remembers; more only saves time.
+_REMEMBERED = 300_000
 
 
 def simhash64(df: DataFrame, text_key: str = "text", id_key: str = "doc_id") -> DataFrame:
     """``id_key`` and the signed 64-bit ``fingerprint`` of the white-space tokens of each text.
 
-    Bit b is set when more than half of the token hashes have it set. Tokens of a row are summed in
-    the task that read the row, so one row per text is shuffled.
+    Bit b is set when more than half of the token hashes have it set. A row's fingerprint depends on
+    its text alone and is made where the row is read: nothing is shuffled, and ids may repeat.
     """
+    hashes: dict[str, bytes] = {}
+
+    @F.arrow_udf("long")
+    def prints(lists: pa.Array) -> pa.Array:
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if len(hashes) + len(words) > _REMEMBERED:
+            hashes.clear()
+        for word in words:
+            if word not in hashes:
+                hashes[word] = hashlib.md5(word.encode()).digest()[8:]
+        table = np.frombuffer(b"".join(map(hashes.__getitem__, words)), np.uint8).reshape(-1, 8)
+        indices = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        out, at = np.zeros((len(sizes), 8), np.uint8), 0
+        for row, size in enumerate(sizes):
+            ones = np.zeros(64, np.int64)
+            for start in range(at, at + size, 65_536):
+                part = indices[start : min(start + 65_536, at + size)]
+                ones += np.unpackbits(table[part], axis=1).sum(axis=0, dtype=np.int64)
+            out[row] = np.packbits(ones * 2 > size)
+            at += size
+        return pa.array(out.reshape(-1).view(">i8").astype(np.int64))
+
     pieces = tokens(F.coalesce(view_of(df, text_key), F.lit("")))
-    hashed = df.select(id_key, F.explode_outer(pieces).alias("_w")).select(
-        id_key, hex_long(F.substring(F.md5("_w"), 17, 16)).alias("_h")
-    )
-    lanes = [
-        F.sum(F.shiftrightunsigned("_h", j).bitwiseAND(F.lit(_LANES))).alias(f"_s{j}") for j in range(32)
-    ]
-    sums = hashed.groupBy(id_key).agg(F.count("_h").alias("_n"), *lanes)
-    bits = F.lit(0).cast("long")
-    for j in range(32):
-        low = F.col(f"_s{j}").bitwiseAND(F.lit(0xFFFFFFFF))
-        high = F.shiftrightunsigned(F.col(f"_s{j}"), 32)
-        for count, position in ((low, j), (high, j + 32)):
-            value = 1 << position
-            signed = value - (1 << 64) if value >= 1 << 63 else value
-            bits = bits.bitwiseOR(F.when(count * 2 > F.col("_n"), F.lit(signed)).otherwise(F.lit(0)).cast("long"))
-    return sums.select(id_key, bits.alias("fingerprint"))
+    return df.select(id_key, prints(pieces).alias("fingerprint"))
 
 
 def _distance(a: str, b: str) -> Column:
@@ -86,10 +99,10 @@ def _flips(bits: int) -> Column:
 
 def _agreeing_blocks(rows: int, threshold: int) -> int:
     """Fewest agreeing blocks whose keys leave about one fingerprint per key by chance."""
-    for agree in (1, 2):
+    for agree in range(1, 6):
         if rows / 2.0 ** (64 * agree / (threshold + agree)) <= 1:
             return agree
-    return 3
+    return 6
 
 
 def near_fingerprints(
@@ -177,6 +190,17 @@ def _ranked_edges(firsts: DataFrame, threshold: int, order_key: str, **how) -> D
     )
 
 
+def near_duplicate_keys(
+    df: DataFrame, threshold: int = 3, text_key: str = "text", order_key: str = "doc_id", **how
+) -> DataFrame:
+    """``order_key`` of the rows that :func:`deduplicate` drops: usually a small share of all rows."""
+    prints = cut_lineage(simhash64(df, text_key, order_key))
+    firsts = cut_lineage(prints.groupBy("fingerprint").agg(F.min(order_key).alias(order_key)))
+    removed = first_kept(_ranked_edges(firsts, threshold, order_key, **how).select("earlier", "later"))
+    kept = firsts.select(order_key).join(removed.withColumnRenamed("rank", order_key), order_key, "left_anti")
+    return prints.select(order_key).join(kept, order_key, "left_anti")
+
+
 def deduplicate(
     df: DataFrame, threshold: int = 3, text_key: str = "text", order_key: str = "doc_id", **how
 ) -> DataFrame:
@@ -185,10 +209,7 @@ def deduplicate(
     ``order_key`` must be unique. Equal fingerprints share all their neighbours, so only the first
     row of each takes part in the scan.
     """
-    firsts = _first_rows(df, text_key, order_key)
-    removed = first_kept(_ranked_edges(firsts, threshold, order_key, **how).select("earlier", "later"))
-    kept = firsts.select(order_key).join(removed.withColumnRenamed("rank", order_key), order_key, "left_anti")
-    return df.join(kept, order_key, "left_semi")
+    return df.join(near_duplicate_keys(df, threshold, text_key, order_key, **how), order_key, "left_anti")
 
 
 def deduplicate_exact(df: DataFrame, text_key: str = "text", order_key: str = "doc_id") -> DataFrame:

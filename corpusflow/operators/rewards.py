@@ -29,15 +29,10 @@ BUILT_IN_TOOLS = (
 )
 
 
-def bounded_broadcast(table: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after checking that the table is small; otherwise leave it to Spark."""
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
-
-
 def attach_tools(df: DataFrame, registry: DataFrame, key: str, names: str = "tool_names") -> DataFrame:
     """Definitions of the named tools, in the order named, as ``tools``; unknown names in ``unknown``."""
     named = df.select(key, F.posexplode_outer(names).alias("pos", "name"))
-    found = named.join(bounded_broadcast(registry), "name", "left")
+    found = named.join(registry, "name", "left")
     return found.groupBy(key).agg(
         F.transform(
             F.array_sort(F.collect_list(F.when(F.col("definition").isNotNull(), F.struct("pos", "definition")))),

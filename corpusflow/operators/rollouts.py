@@ -155,24 +155,28 @@ def ppo_terms(
 
 def place_reward(tokens: DataFrame, rewards: DataFrame) -> DataFrame:
     """Add ``token_reward``: the sample's reward on its last valid token, zero elsewhere."""
-    ends = tokens.filter("mask = 1").groupBy("sample_id").agg(F.max("pos").alias("pos"))
+    ends = tokens.filter("mask = 1").groupBy("sample_id").agg(F.max("pos").alias("_end"))
     paid = ends.join(rewards.select("sample_id", "reward"), "sample_id")
-    return tokens.join(paid, ["sample_id", "pos"], "left").withColumn(
-        "token_reward", F.coalesce("reward", F.lit(0.0))
-    ).drop("reward")
+    # By sample alone, like the windows that follow, so tokens are shuffled once.
+    here = F.when(F.col("pos") == F.col("_end"), F.col("reward"))
+    return tokens.join(paid, "sample_id", "left").withColumn("token_reward", F.coalesce(here, F.lit(0.0))).drop(
+        "reward", "_end"
+    )
 
 
 def gae(df: DataFrame, gamma: float = 1.0, lam: float = 0.95) -> DataFrame:
     """Add ``advantage`` and ``return`` from ``token_reward`` and ``value``.
 
-    The advantage is a discounted sum of later errors. It is summed within blocks of positions,
-    where the discount cannot underflow, and the blocks of a sample are chained by their starts.
+    The advantage is a discounted sum of later errors. It is summed within blocks of rows, where the
+    discount cannot underflow, and the blocks of a sample are chained by their starts. Rows count by
+    their order within the sample, so positions may start anywhere and leave gaps.
     """
     c = gamma * lam
     along = Window.partitionBy("sample_id").orderBy("pos")
+    step_no = F.row_number().over(along) - 1
     following = F.coalesce(F.lead("value").over(along), F.lit(0.0))
     delta = F.col("token_reward") + gamma * following - F.col("value")
-    rows = df.withColumns({"_d": delta, "_b": F.floor(F.col("pos") / _LANE), "_o": F.col("pos") % _LANE})
+    rows = df.withColumns({"_d": delta, "_b": F.floor(step_no / _LANE), "_o": step_no % _LANE})
     rest = Window.partitionBy("sample_id", "_b").orderBy("pos").rowsBetween(0, Window.unboundedFollowing)
     power = F.pow(F.lit(c), F.col("_o"))
     local = F.sum(F.col("_d") * power).over(rest) / power

@@ -6,6 +6,7 @@ per token id, so counting pairs and applying merges are plain string functions o
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass, field
 
@@ -205,13 +206,31 @@ def train_bpe(
 
 
 def _merge(word: str, ranks: dict) -> list[int]:
+    """Merge the adjacent pair of lowest rank, leftmost first, with a heap over linked positions."""
     ids = [BYTE_IDS[b] for b in word.encode()]
-    while len(ids) > 1:
-        best = min((ranks.get(p, (1 << 60, 0)) + (i,) for i, p in enumerate(zip(ids, ids[1:]))))
-        if best[0] == 1 << 60:
-            break
-        ids[best[2] : best[2] + 2] = [best[1]]
-    return ids
+    size = len(ids)
+    after, before = [*range(1, size + 1)], [*range(-1, size - 1)]
+    heap = [(*ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    heapq.heapify(heap)
+
+    def offer(i: int, j: int) -> None:
+        pair = (ids[i], ids[j])
+        if pair in ranks:
+            heapq.heappush(heap, (*ranks[pair], i, pair))
+
+    while heap:
+        _, made, i, pair = heapq.heappop(heap)
+        j = after[i]
+        if j >= size or (ids[i], ids[j]) != pair:
+            continue  # one of the two has been merged meanwhile
+        ids[i], ids[j] = made, -1
+        after[i] = after[j]
+        if after[i] < size:
+            before[after[i]] = i
+            offer(i, after[i])
+        if before[i] >= 0:
+            offer(before[i], i)
+    return [i for i in ids if i >= 0]
 
 
 def encode(text: Column, model: BpeModel) -> Column:

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.sources.readers import read_parquet, spread
+from corpusflow.sources.readers import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ONE_SPLIT = 128 << 20
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,4 +29,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(read_parquet(spark, [f"{sf_dir}/{name}.parquet"]))
+    """A given table. Readers cut files at row groups, so a small file of one group is one task; it is dealt
+    out by size, a task for each MB. Tables above one split are left as the reader cuts them."""
+    df = read_parquet(spark, [f"{sf_dir}/{name}.parquet"])
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = min(spark.sparkContext.defaultParallelism, size >> 20)
+    return df.repartition(tasks) if 1 < tasks and size < ONE_SPLIT else df

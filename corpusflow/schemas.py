@@ -39,13 +39,17 @@ ALIASES = {
     "agent": {"conversations": ("messages", "dialog"), "gt": ("ground_truth", "answers", "answer")},
 }
 
-# File suffixes per format.
-SUFFIXES = {
-    "json": (".jsonl", ".json"),
-    "csv": (".csv",),
-    "tsv": (".tsv",),
-    "parquet": (".parquet", ".pq"),
-    "text": (".txt", ".text", ".md"),
+# The format that a file suffix stands for.
+FORMAT_OF = {
+    ".jsonl": "json",
+    ".json": "json",
+    ".csv": "csv",
+    ".tsv": "tsv",
+    ".parquet": "parquet",
+    ".pq": "parquet",
+    ".txt": "text",
+    ".text": "text",
+    ".md": "text",
 }
 
 # Message roles a valid conversation may use.

@@ -5,14 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpusflow.functions.text import strip
 from corpusflow.operators.batching import shuffle as seeded_shuffle
 from corpusflow.operators.schema_ops import normalize_schema, validate_schema
-from corpusflow.schemas import MESSAGES, SUFFIXES
-
-_FORMAT_OF = {suffix: fmt for fmt, suffixes in SUFFIXES.items() for suffix in suffixes}
+from corpusflow.schemas import ALIASES, FORMAT_OF as _FORMAT_OF, MESSAGE, MESSAGES, SCHEMAS
 
 
 def _suffix(path: str) -> str:
@@ -75,35 +73,78 @@ def detect_format(spark: SparkSession, path: str) -> str:
     return "parquet" if _first_bytes(spark, path) == b"PAR1" else "json"
 
 
-def read_json(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """JSON lines, or whole-file arrays for the files that start with a bracket."""
-    arrays = [p for p in paths if _first_bytes(spark, p, 1) == b"["]
-    lines = [p for p in paths if p not in arrays]
-    parts = []
-    for group, multi in ((lines, False), (arrays, True)):
-        if group:
-            reader = spark.read.option("multiLine", multi)
-            parts.append((reader.schema(schema) if schema else reader).json(group))
-    return _union(parts)
+def _message_columns(kind: str | None) -> set[str]:
+    """Names under which the kind's message arrays may come."""
+    fields = SCHEMAS[kind].fields if kind in SCHEMAS else []
+    names = set()
+    for field in fields:
+        if field.dataType == MESSAGES:
+            names |= {field.name, *ALIASES.get(kind, {}).get(field.name, ())}
+    return names
 
 
-def read_csv(spark: SparkSession, paths: list[str], sep: str = ",", schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.options(header=True, multiLine=True, escape='"', sep=sep)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(paths)
+def read_json(
+    spark: SparkSession, paths: list[str], schema: T.StructType | None = None, kind: str | None = None, mode: str = "FAILFAST"
+) -> DataFrame:
+    """JSON lines, or whole-file arrays for the files that start with a bracket.
 
+    ``.jsonl`` files are lines and are not opened to find out. A malformed record is an error unless
+    ``mode`` is ``DROPMALFORMED``; :func:`bad_json_lines` lists such lines. With a ``kind``, message
+    arrays are read as such: fields that are missing become null, and decoded ones stay JSON text with
+    their keys in the order of the file.
+    """
+    whole = {p for p in paths if _suffix(p) != ".jsonl" and _first_bytes(spark, p, 1) == b"["}
+    messages = _message_columns(kind)
+    parts = []
+    for group, multi in (([p for p in paths if p not in whole], False), ([p for p in paths if p in whole], True)):
+        if not group:
+            continue
+        reader = spark.read.options(multiLine=multi, mode=mode)
+        typed = schema
+        if typed is None and messages:
+            found = reader.json(group).schema
+            typed = T.StructType([T.StructField(f.name, MESSAGES if f.name in messages else f.dataType) for f in found.fields])
+        parts.append((reader.schema(typed) if typed else reader).json(group))
+    return _union(parts)
 
-def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.parquet(*paths)
 
+def bad_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of JSON-lines files that are not one JSON value, with the file's path."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    return lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull())
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by their first line, found in one distributed pass over the files."""
+    if len(paths) == 1:
+        return {"": list(paths)}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("n")
+    )
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).collect()
+    by_path = {re.sub(r"^file:/*", "/", r["path"]): r["header"] for r in first}
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(by_path.get(re.sub(r"^file:/*", "/", path), ""), []).append(path)
+    return groups
+
+
+def read_csv(
+    spark: SparkSession, paths: list[str], sep: str = ",", schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Delimited files with headers. Files are read together if their headers are the same, and joined by
+    column names. Without ``multi_line``, fields cannot hold line feeds, but large files are split."""
+    parts = []
+    for group in _headers(spark, paths).values():
+        reader = spark.read.options(header=True, multiLine=multi_line, escape='"', sep=sep, mode="FAILFAST")
+        reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+        parts.append(reader.csv(group))
+    return _union(parts)
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table whose files give fewer splits than there are cores.
 
-    Large tables have more splits than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files; of several, a column that some lack is null in their rows."""
+    return spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
 
 
 def read_text(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -112,9 +153,9 @@ def read_text(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.filter(F.length("text") > 0)
 
 
-def _read(spark: SparkSession, fmt: str, paths: list[str]) -> DataFrame:
+def _read(spark: SparkSession, fmt: str, paths: list[str], kind: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     if fmt == "json":
-        return read_json(spark, paths)
+        return read_json(spark, paths, kind=kind, mode=mode)
     if fmt in ("csv", "tsv"):
         return read_csv(spark, paths, "\t" if fmt == "tsv" else ",")
     return read_parquet(spark, paths) if fmt == "parquet" else read_text(spark, paths)
@@ -127,6 +168,40 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return merged
 
 
+def _as_message(item: Column, kind: T.StructType) -> Column:
+    """A message with the canonical fields: absent ones are null, values that are not text become JSON."""
+    types = {f.name: f.dataType for f in kind.fields}
+    fields = []
+    for name in MESSAGE.fieldNames():
+        if name not in types:
+            value = F.lit(None).cast("string")
+        elif isinstance(types[name], (T.StructType, T.ArrayType, T.MapType)):
+            value = F.to_json(item[name])
+        else:
+            value = item[name].cast("string")
+        fields.append(value.alias(name))
+    return F.struct(*fields)
+
+
+def conform(df: DataFrame, kind: str) -> DataFrame:
+    """Canonical columns in their canonical types, whatever types the files had."""
+    for field in SCHEMAS[kind].fields:
+        if field.name not in df.columns:
+            continue
+        have = df.schema[field.name].dataType
+        column = F.col(field.name)
+        if field.dataType == MESSAGES and isinstance(have, T.StringType):
+            column = F.from_json(column, MESSAGES)
+        elif field.dataType == MESSAGES and isinstance(have, T.ArrayType) and isinstance(have.elementType, T.StructType) and have != MESSAGES:
+            column = F.transform(column, lambda m, kind=have.elementType: _as_message(m, kind))
+        elif isinstance(field.dataType, T.ArrayType) and not isinstance(have, T.ArrayType):
+            column = F.when(column.isNotNull(), F.array(column.cast("string")))
+        elif field.dataType != MESSAGES:
+            column = column.cast(field.dataType)
+        df = df.withColumn(field.name, column)
+    return df
+
+
 class CorpusReader:
     """Loads paths, remembering the plan of each path it has seen."""
 
@@ -147,12 +222,15 @@ class CorpusReader:
         seed: int = 42,
         process_fn: Callable[[DataFrame], DataFrame] | None = None,
         strict: bool = False,
+        mode: str = "FAILFAST",
     ) -> DataFrame:
-        """All files of ``paths`` as one table in the kind's canonical columns.
+        """All files of ``paths`` as one table in the kind's canonical columns and types.
 
-        Files of one format are read by one scan; ``process_fn`` maps a DataFrame, so per-row
-        functions go through ``mapInPandas`` or column expressions. Shuffling orders rows by a hash
-        of their content and needs no row key.
+        Files of one format (and, for delimited ones, header) are read by one scan; ``process_fn`` maps a
+        DataFrame, so per-row functions go through ``mapInPandas`` or column expressions. Where several
+        columns may hold a field, a row takes the first that is set. Shuffling orders rows by a hash of
+        their content and needs no row key. A malformed JSON record is an error unless ``mode`` is
+        ``DROPMALFORMED``.
         """
         files = expand_paths(self.spark, paths)
         if not files:
@@ -162,13 +240,13 @@ class CorpusReader:
             groups.setdefault(detect_format(self.spark, path), []).append(path)
         parts = []
         for fmt, members in groups.items():
-            part = self.load(members[0]) if len(members) == 1 else _read(self.spark, fmt, members)
-            part = validate_schema(normalize_schema(part, kind), kind, strict)
+            part = conform(normalize_schema(_read(self.spark, fmt, members, kind, mode), kind), kind)
+            part = validate_schema(part, kind, strict)
             parts.append(process_fn(part) if process_fn else part)
         merged = _union(parts)
         if not shuffle:
             return merged
-        keyed = merged.withColumn("_row", F.to_json(F.struct(*merged.columns)))
+        keyed = merged.withColumn("_row", F.md5(F.to_json(F.struct(*merged.columns))))
         return seeded_shuffle(keyed, seed, "_row").drop("_row")
 
 
@@ -192,12 +270,15 @@ def load_agent_data(spark: SparkSession, paths, **options) -> DataFrame:
     return CorpusReader(spark).load_multi(paths, "agent", **options)
 
 
-def tokenizer_corpus(lines: DataFrame, line_key: str = "value", limit: int | None = 10_000, order_key: str | None = None) -> DataFrame:
-    """Training texts from raw JSON lines: broken lines are skipped, contents joined by line feeds."""
-    if limit is not None and order_key:
+def tokenizer_corpus(lines: DataFrame, line_key: str = "value", limit: int | None = None, order_key: str | None = None) -> DataFrame:
+    """Training texts from raw JSON lines: broken lines are skipped, contents joined by line feeds.
+
+    All lines by default; a ``limit`` takes the first ones by ``order_key``.
+    """
+    if limit is not None:
+        if order_key is None:
+            raise ValueError("a limit needs an order_key")
         lines = lines.orderBy(order_key).limit(limit)
-    elif limit is not None:
-        lines = lines.limit(limit)
     record = F.from_json(F.col(line_key), T.StructType([T.StructField("conversations", MESSAGES)]))
     contents = F.transform(record["conversations"], lambda m: m["content"])
     kept = F.filter(contents, lambda c: F.coalesce(F.length(c) > 0, F.lit(False)))

@@ -14,6 +14,7 @@ def write_examples(df: DataFrame, path: str, world_size: int = 1) -> None:
     """Write planned examples, one folder per epoch and rank, in batch order within each file.
 
     Files are cut along ``idx`` ranges, so every rank reads many files and none grows with the data.
+    Only the epochs and ranks that ``df`` holds are replaced; others at ``path`` stay.
     """
     ranked = df.withColumn("rank", (F.col("idx") % world_size).cast("int"))
     if "epoch" not in df.columns:
@@ -22,6 +23,7 @@ def write_examples(df: DataFrame, path: str, world_size: int = 1) -> None:
         ranked.repartitionByRange("epoch", "rank", "idx")
         .sortWithinPartitions("epoch", "rank", "idx")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("epoch", "rank")
         .parquet(path)
     )
