@@ -42,7 +42,10 @@ Context = tuple[int, int, int, int, int, int, int, bytes | None]
 
 @dataclass(frozen=True)
 class Windows:
+    """Windows of ``length`` bytes; groups of up to ``group_rows`` different contexts are sorted in one task."""
+
     length: int = 100
+    group_rows: int = GROUP_ROWS
 
     @property
     def width(self) -> int:
@@ -319,12 +322,12 @@ def resolve(rows: DataFrame, w: Windows) -> DataFrame:
                     key, held, over = row[0], {}, False
                 keep_earlier(held, row, out)
                 # On the last level all windows under one key are equal, and at most one row is held.
-                if len(held) > GROUP_ROWS and row[6] < w.levels:
+                if len(held) > w.group_rows and row[6] < w.levels:
                     over = True
                     for one in held.values():
                         out += halves(one, w)
                     held = {}
-            if waiting >= GROUP_ROWS:
+            if waiting >= w.group_rows:
                 out += sort_groups(groups, w)
                 groups, waiting = [], 0
             if out:
@@ -367,7 +370,7 @@ def remove(docs: DataFrame, w: Windows) -> DataFrame:
     return docs.mapInArrow(cut, "doc long, version long, spans array<struct<start:int,end:int>>, kept binary")
 
 
-def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
+def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``doc_id, version, spans, kept`` of the documents from which something is removed.
 
     Texts are UTF-8 bytes, null is empty. Removed is each byte covered by a string of ``length`` bytes
@@ -378,10 +381,10 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both are one document. A null id comes before all others (and is returned as null). Texts shorter
     than ``length``, empty texts and empty tables have nothing removed. Other columns are ignored.
     """
-    w = Windows(length)
+    w = Windows(length, group_rows)
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), whole_text(text_col).alias("text"))
     found = repeated_anchors(first_digits(docs.filter(F.octet_length("text") >= length), w))
-    spots = found.groupBy("doc").agg(F.collect_list("pos").alias("spots"))
+    spots = stored(found.groupBy("doc").agg(F.collect_list("pos").alias("spots")), "repeated-anchors")
     work = docs.join(spots, "doc").select("doc", F.xxhash64("text").alias("version"), "text", "spots").dropDuplicates(["doc", "version"])
     work = stored(work, "repeat-candidates")
     level = stored(resolve(contexts(work, w), w), "repeat-level-0")
