@@ -74,19 +74,22 @@ def pattern(parts: DataFrame, cycle: int) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed: int, place: str) -> DataFrame:
+def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed: int, place: str, few: bool) -> DataFrame:
     """``df`` with its 0-based place within its source, in the order of a hash of id and seed.
 
     Rows are dealt by ranges of the hash into groups of about ``GROUP_ROWS`` rows, however large the
-    source; a row's place is its number in its group plus the sizes of the groups before.
+    source; a row's place is its number in its group plus the sizes of the groups before. ``few`` says
+    that the number of sources has been checked against the cycle, so their sizes are broadcast.
     """
     key, share, group, before = fresh(df, "mix_key", "mix_hash", "mix_group", "mix_before")
     hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
     groups = F.ceil(F.col("rows") / GROUP_ROWS)
     many = sizes.select(F.struct("source").alias(key), groups.alias(before))
+    if few:
+        many = F.broadcast(many)
     dealt = (
         df.withColumns({key: F.struct(F.col(source_col).alias("source")), share: hashed})
-        .join(F.broadcast(many), key)  # one row for each source, at most one for each slot of the cycle
+        .join(many, key)  # one row for each source
         .withColumn(group, F.floor(F.conv(F.substring(share, 1, 8), 16, 10).cast("long") * F.col(before) / 2**32))
         .drop(before)
     )
@@ -126,7 +129,7 @@ def with_slots(
         sizes = stored(known, "mix-sizes")
     plan = stored(pattern(targets, cycle), "mix-pattern")  # at most ``cycle`` rows
     key, within, turn = fresh(df, "mix_key", "mix_within", "mix_turn")
-    rows = numbered(df, sizes, id_col, source_col, seed, "place").withColumns(
+    rows = numbered(df, sizes, id_col, source_col, seed, "place", parts is None).withColumns(
         {"block": F.floor(F.col("place") / block_rows), key: F.struct(F.col(source_col).alias("source"))}
     )
     each = F.broadcast(targets.filter("parts > 0").select(F.struct("source").alias(key), F.col("parts").alias(turn)))

@@ -93,7 +93,7 @@ def toxic_world(spark, n=900):
 
 
 def test_toxicity_is_learnt_from_documents_and_found_in_sentences(spark):
-    docs, labels = toxic_world(spark)
+    docs, labels = toxic_world(spark, 1800)
     model = toxicity.train(docs, labels)
     truth = {r.doc_id: r.toxic for r in labels.collect()}
     rows = toxicity.with_toxicity(docs, model).collect()
