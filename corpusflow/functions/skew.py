@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A group is hot above this share of all rows, so at most HOT_LIMIT groups can be hot. That bound
-# is what makes broadcasting the list of hot groups safe at any data size.
-HOT_LIMIT = 1000
+from corpusflow.session import cut_lineage
+
+# Rows of one group that one task may have to handle. It does not grow with the data.
+ROW_BUDGET = 1_000_000
 
 
 def _key(names: list[str]) -> Column:
@@ -21,19 +22,18 @@ def attach(
     keys: list[str],
     spread_by: list[str],
     weight: str,
-    min_rows: int = 200_000,
+    min_rows: int = ROW_BUDGET,
     how: str = "left",
 ) -> DataFrame:
     """Join a one-row-per-key ``table`` onto ``df``, where ``table[weight]`` counts the rows of ``df``.
 
-    Keys holding more than a thousandth of all rows are cut into copies in proportion to their size;
-    a row picks its copy by a hash of ``spread_by``, so reruns of a task choose the same one.
+    Keys holding more than ``min_rows`` rows are cut into as many copies as make each smaller than that;
+    a row picks its copy by a hash of ``spread_by``, so reruns of a task choose the same one. The list of
+    such keys has a row for ``min_rows`` rows of data at most; Spark broadcasts it if it is small.
     """
-    total = table.agg(F.sum(weight).alias("_total")).scalar()
-    limit = F.greatest(F.lit(min_rows), F.coalesce(total, F.lit(0)) / HOT_LIMIT)
-    copies = F.greatest(F.lit(1), F.ceil(F.col(weight) / limit)).cast("int")
+    copies = F.greatest(F.lit(1), F.ceil(F.col(weight) / F.lit(min_rows))).cast("int")
     sized = table.withColumns({"_key": _key(keys), "_copies": copies}).drop(*keys)
-    hot = F.broadcast(sized.filter(F.col("_copies") > 1).select("_key", "_copies"))
+    hot = sized.filter(F.col("_copies") > 1).select("_key", "_copies")
     pick = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_copies")), F.lit(0)).cast("int")
     salted = df.withColumn("_key", _key(keys)).join(hot, "_key", "left").withColumn("_salt", pick).drop("_copies")
     spread = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
@@ -45,7 +45,7 @@ def group_stats(
     keys: list[str],
     aggregates: dict[str, Column],
     spread_by: list[str],
-    min_rows: int = 200_000,
+    min_rows: int = ROW_BUDGET,
 ) -> DataFrame:
     """Attach per-group aggregates to every row: partial aggregation, then a balanced join.
 
@@ -61,35 +61,31 @@ def ordered_index(
     df: DataFrame,
     by: list[str],
     order: list[str],
-    min_rows: int = 200_000,
-    pieces: int = 256,
+    min_rows: int = ROW_BUDGET,
+    pieces: int | None = None,
     running: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``_idx`` (1-based position within ``by`` along ``order``) and ``_n`` (group size).
 
     ``running`` adds inclusive running sums of the given columns. ``order`` must tell rows apart.
 
-    Groups that fit one task are numbered directly. Hot groups are first cut along quantiles of the
-    leading order column (a number or a time), numbered piecewise and shifted by the sizes of the
-    earlier pieces.
+    If no group has more than ``min_rows`` rows, each is numbered in one window. Otherwise all rows are
+    range-partitioned by group and the whole of ``order`` into pieces well below that (or into
+    ``pieces``), whatever the size of a group or the number of its ties; pieces are numbered by
+    themselves and shifted by the sizes of the earlier ones.
     """
-    lead = F.col(order[0])
     keyed = df.withColumn("_key", _key(by))
-    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n").alias("_total")).scalar()
-    limit = F.greatest(F.lit(min_rows), F.coalesce(total, F.lit(0)) / HOT_LIMIT)
-    hot = F.broadcast(sizes.filter(F.col("_n") > limit).select("_key"))
-    grid = [i / pieces for i in range(1, pieces)]
-    bounds = (
-        keyed.select("_key", lead.alias("_lead"))
-        .join(hot, "_key", "left_semi")
-        .groupBy("_key")
-        .agg(F.percentile_approx("_lead", grid, 10_000).alias("_bounds"))
-    )
-    # At most HOT_LIMIT groups with ``pieces`` bounds each.
-    piece = F.coalesce(F.size(F.filter("_bounds", lambda b: b < lead)), F.lit(0))
-    pieced = keyed.join(F.broadcast(bounds), "_key", "left").withColumn("_piece", piece).drop("_bounds")
     running = running or {}
+    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    most, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    if (most or 0) <= min_rows:
+        along, whole = Window.partitionBy("_key").orderBy(*order), Window.partitionBy("_key")
+        added = {"_idx": F.row_number().over(along).cast("long"), "_n": F.count(F.lit(1)).over(whole)}
+        return keyed.withColumns(added | {n: F.sum(c).over(along) for n, c in running.items()}).drop("_key")
+    parts = pieces or -(-2 * total // min_rows)
+    # Stored, since another evaluation of the range partitioning might cut elsewhere.
+    ranged = keyed.repartitionByRange(parts, "_key", *order).withColumn("_piece", F.spark_partition_id())
+    pieced = cut_lineage(ranged)
     sums = {f"_sum_{n}": c for n, c in running.items()}
     counts = pieced.groupBy("_key", "_piece").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(c).alias(n) for n, c in sums.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import chat, text as tx
 from corpusflow.operators import batching, curate, dedup, schema_ops, stats
@@ -91,6 +91,71 @@ def load_mixed_formats(spark, sf):
     return loaded.select("doc_id", F.md5("text").alias("text_md5"), F.col("chars").cast("long").alias("chars"))
 
 
+@query(
+    "load_mixed_columns",
+    "SELECT doc_id, md5(text) AS text_md5 FROM documents UNION ALL SELECT event_id AS doc_id, md5(event_type) AS text_md5 FROM events",
+)
+def load_mixed_columns(spark, sf):
+    """Parquet and delimited files that name and order their columns differently."""
+    path, docs, events = scratch_path(spark, "mixed"), documents(spark, sf), table(spark, sf, "events")
+    half = F.col("doc_id") % 2 == 0
+    docs.filter(half).select("doc_id", "text").write.parquet(f"{path}/a")
+    docs.filter(~half).select(F.col("text").alias("content"), "doc_id").write.parquet(f"{path}/b")
+    half = F.col("event_id") % 2 == 0
+    rows = events.select(F.col("event_id").alias("doc_id"), F.col("event_type").alias("text"))
+    for name, part in (("c", rows.filter(half)), ("d", rows.filter(~half).select(F.col("text").alias("passage"), "doc_id"))):
+        part.write.option("header", True).csv(f"{path}/{name}")
+    loaded = readers.load_pretrain_data(spark, [f"{path}/{n}/part-*" for n in "abcd"])
+    return loaded.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+_CHATS = """c AS (SELECT conv_id, count(*)::INTEGER AS n, md5(string_agg(role || ':' || text, '|' ORDER BY turn)) AS said
+FROM conversations GROUP BY conv_id)"""
+
+
+def _chats(spark, sf) -> DataFrame:
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("t")
+    )
+    return turns.select("conv_id", F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
+
+
+def _said(messages: str) -> Column:
+    return F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|"))
+
+
+@query("load_sft", f"WITH {_CHATS} SELECT conv_id, n, said FROM c")
+def load_sft(spark, sf):
+    path = scratch_path(spark, "sft")
+    _chats(spark, sf).write.json(path)
+    loaded = readers.load_sft_data(spark, f"{path}/part-*")
+    return loaded.select("conv_id", F.size("conversations").alias("n"), _said("conversations").alias("said"))
+
+
+@query("load_dpo", f"WITH {_CHATS} SELECT conv_id, said AS chosen, said AS rejected FROM c")
+def load_dpo(spark, sf):
+    path = scratch_path(spark, "dpo")
+    _chats(spark, sf).select("conv_id", F.col("messages").alias("preferred"), F.to_json("messages").alias("negative")).write.parquet(path)
+    loaded = readers.load_dpo_data(spark, f"{path}/part-*")
+    return loaded.select("conv_id", _said("chosen").alias("chosen"), _said("rejected").alias("rejected"))
+
+
+@query("load_rlaif", f"WITH {_CHATS} SELECT conv_id, n, said FROM c")
+def load_rlaif(spark, sf):
+    path = scratch_path(spark, "rlaif")
+    _chats(spark, sf).withColumnRenamed("messages", "dialog").write.parquet(path)
+    loaded = readers.load_rlaif_data(spark, f"{path}/part-*")
+    return loaded.select("conv_id", F.size("conversations").alias("n"), _said("conversations").alias("said"))
+
+
+@query("load_agent", f"WITH {_CHATS} SELECT conv_id, said, n::VARCHAR AS gt FROM c")
+def load_agent(spark, sf):
+    path = scratch_path(spark, "agent")
+    _chats(spark, sf).withColumn("ground_truth", F.array(F.size("messages").cast("string"))).write.json(path)
+    loaded = readers.load_agent_data(spark, f"{path}/part-*")
+    return loaded.select("conv_id", _said("conversations").alias("said"), F.get("gt", F.lit(0)).alias("gt"))
+
+
 @query(
     "tokenizer_corpus",
     f"""WITH {q.CONVERSATIONS}

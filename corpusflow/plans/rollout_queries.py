@@ -116,8 +116,9 @@ _IDS = f"""l AS (SELECT doc_id AS sample_id, lang, [length(w)::INTEGER FOR w IN
 @query(
     "completion_mask",
     f"""WITH {_IDS}, e AS (SELECT sample_id, unnest(ids) AS x, generate_subscripts(ids, 1) AS p, greatest(len(ids) - 2, 1) AS valid FROM l),
-f AS (SELECT *, min(p) FILTER (x = 9 AND p <= valid) OVER (PARTITION BY sample_id) AS stop FROM e)
-SELECT sample_id, count(*)::INTEGER AS n_ids, count(*) FILTER (p <= valid AND p <= coalesce(stop, 1000000000)) AS n_valid FROM f GROUP BY sample_id""",
+f AS (SELECT *, min(p) FILTER (x = 9 AND p <= valid) OVER (PARTITION BY sample_id) AS stop FROM e),
+g AS (SELECT sample_id, count(*)::INTEGER AS n_ids, count(*) FILTER (p <= valid AND p <= coalesce(stop, 1000000000)) AS n_valid FROM f GROUP BY sample_id)
+SELECT sample_id, coalesce(n_ids, 0)::INTEGER AS n_ids, coalesce(n_valid, 0)::BIGINT AS n_valid FROM l LEFT JOIN g USING (sample_id)""",
 )
 def completion_mask(spark, sf):
     size = F.size("ids")
@@ -125,7 +126,7 @@ def completion_mask(spark, sf):
     pad = F.transform("ids", lambda x, i: (i < valid).cast("int"))
     mask = rollouts.completion_mask(F.col("ids"), 9, pad)
     total = F.aggregate(mask, F.lit(0).cast("long"), lambda a, x: a + x)
-    return _lengths(spark, sf).filter(size > 0).select("sample_id", F.size(mask).alias("n_ids"), total.alias("n_valid"))
+    return _lengths(spark, sf).select("sample_id", F.size(mask).alias("n_ids"), total.alias("n_valid"))
 
 
 @query(
@@ -368,6 +369,19 @@ def top_p(spark, sf):
     return _rounded(rollouts.top_p(best, ["lang"], 0.85), "prob").select("lang", "token", "prob")
 
 
+@query(
+    "top_p_all",
+    f"""WITH {_TOKENS}, {_TEMPERED},
+p AS (SELECT *, exp(logit) / sum(exp(logit)) OVER (PARTITION BY lang) AS prob FROM scored),
+u AS (SELECT *, sum(prob) OVER w - prob AS before, row_number() OVER w AS rn FROM p
+  WINDOW w AS (PARTITION BY lang ORDER BY c DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT lang, token, round(prob, 6) AS prob FROM u WHERE before <= 0.85 OR rn = 1""",
+)
+def top_p_all(spark, sf):
+    """Over all candidates, many of which have equal logits."""
+    return _rounded(rollouts.top_p(_candidates(spark, sf), ["lang"], 0.85), "prob").select("lang", "token", "prob")
+
+
 @query(
     "step_metrics",
     f"""WITH {_TOKENS}, {_ADVANTAGE},

@@ -193,7 +193,8 @@ def conform(df: DataFrame, kind: str) -> DataFrame:
         if field.dataType == MESSAGES and isinstance(have, T.StringType):
             column = F.from_json(column, MESSAGES)
         elif field.dataType == MESSAGES and isinstance(have, T.ArrayType) and isinstance(have.elementType, T.StructType) and have != MESSAGES:
-            column = F.transform(column, lambda m, kind=have.elementType: _as_message(m, kind))
+            element = have.elementType
+            column = F.transform(column, lambda m: _as_message(m, element))
         elif isinstance(field.dataType, T.ArrayType) and not isinstance(have, T.ArrayType):
             column = F.when(column.isNotNull(), F.array(column.cast("string")))
         elif field.dataType != MESSAGES:

@@ -71,3 +71,18 @@ def test_permutation_does_not_depend_on_partitions(spark):
     for line in plans[0]._jdf.queryExecution().executedPlan().toString().splitlines():
         if "+- Window" in line or line.strip().startswith("Window"):
             assert "_b" in line or "_hi" in line
+
+
+def test_ties_and_one_value_are_cut_too(spark):
+    df = spark.range(3000).select(F.lit("m").alias("g"), F.lit(1.0).alias("x"), "id")
+    got = skew.ordered_index(df, ["g"], ["x", "id"], min_rows=100)
+    assert sorted((r.id, r._idx) for r in got.collect()) == [(i, i + 1) for i in range(3000)]
+    pieces = df.repartitionByRange(60, "g", "x", "id").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in pieces.collect()) <= 100
+
+
+def test_groups_above_the_budget_are_cut_however_large_the_table(spark):
+    df = spark.range(40_000).select((F.col("id") % 400).alias("g"), "id")
+    table = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    joined = skew.attach(df, table, ["g"], ["id"], "n", min_rows=50)
+    assert joined.count() == 40_000 and joined.filter("n <> 100").isEmpty()
