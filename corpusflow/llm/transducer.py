@@ -14,7 +14,8 @@ transitions are made when they are first needed.
 from __future__ import annotations
 
 import base64
-import heapq
+import gc
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,15 +27,18 @@ from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
 
 # What a Python worker holds at most before it starts anew; more only saves time.
-MAX_STATES = 120_000
-MAX_PAIRS = 300_000
-MAX_PIECES = 300_000
+MAX_STATES = 200_000
+MAX_PAIRS = 400_000
+MAX_PIECES = 400_000
 # Token ids that the decoder takes at a time.
 DECODE_CHUNK = 65_536
 ROOT = 0
+NEVER = 1 << 62
 RUNS = -1  # the key of a state's runs, beside the bytes
 
-Run = tuple[int, tuple[int, ...], int]
+# The runs of a state, one after the other: how many tokens it holds back, its last token (-1: none), its
+# node in the trie, and the tokens held back. The run that has just ended a token comes last.
+Runs = tuple[int, ...]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,27 +47,22 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The defining procedure: merge the adjacent parts of lowest rank, leftmost first, while any can be."""
-    ends = {i: i + 1 for i in range(len(data))}
-    starts = {i + 1: i for i in range(len(data))}
-    heap = [(ranks[data[i : i + 2]], i, i + 2) for i in range(len(data) - 1) if data[i : i + 2] in ranks]
-    heapq.heapify(heap)
-    while heap:
-        _, a, c = heapq.heappop(heap)
-        b = ends.get(a)
-        if b is None or b == c or ends.get(b) != c:
-            continue
-        del ends[b], starts[b]
-        ends[a], starts[c] = c, a
-        if (d := ends.get(c)) and (rank := ranks.get(data[a:d])) is not None:
-            heapq.heappush(heap, (rank, a, d))
-        if (z := starts.get(a)) is not None and (rank := ranks.get(data[z:c])) is not None:
-            heapq.heappush(heap, (rank, z, c))
-    out, at = [], 0
-    while at < len(data):
-        out.append(ranks[data[at : ends[at]]])
-        at = ends[at]
-    return out
+    """The defining procedure: merge the adjacent parts of lowest rank, leftmost first, while any can be.
+
+    Quadratic, but only ever applied to two tokens side by side.
+    """
+    rank = ranks.get
+    parts = [data[i : i + 1] for i in range(len(data))]
+    pairs = [rank(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+    while pairs and (lowest := min(pairs)) < NEVER:
+        i = pairs.index(lowest)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
+    return [ranks[p] for p in parts]
 
 
 class Transducer:
@@ -91,49 +90,69 @@ class Transducer:
 
     def forget(self) -> None:
         """Start anew, with the start state only. A state maps a byte to the next state and to what is given out."""
-        self.start: dict = {RUNS: ((-1, (), ROOT),)}
-        self.states: dict[tuple[Run, ...], dict] = {self.start[RUNS]: self.start}
+        runs: Runs = (0, -1, ROOT)
+        self.start: dict = {RUNS: runs}
+        self.states: dict[Runs, dict] = {runs: self.start}
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether the merges leave ``last`` (-1: nothing) and ``token`` as they are, side by side."""
-        pair = (last, token)
+        pair = last << 32 | token
         known = self.follows.get(pair)
         if known is None:
             if len(self.follows) >= MAX_PAIRS:
                 self.follows.clear()
-            parts = [p for p in pair if p >= 0]
-            known = self.follows[pair] = merge_by_rank(b"".join(self.token[p] for p in parts), self.ranks) == parts
+            before, after = self.token.get(last, b""), self.token[token]
+            if last >= 0 and before + after in self.ranks:
+                known = False  # the two would be merged
+            else:
+                known = merge_by_rank(before + after, self.ranks) == ([last, token] if last >= 0 else [token])
+            self.follows[pair] = known
         return known
 
-    def advance(self, runs: tuple[Run, ...], byte: int) -> tuple[tuple[Run, ...], tuple[int, ...]]:
+    def advance(self, runs: Runs, byte: int) -> tuple[Runs, tuple[int, ...]]:
         """The runs after one more byte, and the tokens that all of them agree on by then."""
-        inside: list[Run] = []
-        ended: Run | None = None
-        for last, held, node in runs:
-            child = self.children.get(node << 8 | byte)
+        after, ended = [], None
+        child_of, token_at = self.children.get, self.ended.get
+        at, agreed = 0, NEVER
+        while at < len(runs):
+            n, last, node = runs[at], runs[at + 1], runs[at + 2]
+            begin, at = at + 3, at + 3 + n
+            child = child_of(node << 8 | byte)
             if child is None:
                 continue
+            held = runs[begin:at]
             if child in self.inner:
-                inside.append((last, held, child))
-            token = self.ended.get(child, -1)
-            if token >= 0 and self.may_follow(last, token):
-                ended = (token, (*held, token), ROOT)
+                after.append((last, child, held))
+                agreed = min(agreed, n)
+            token = token_at(child)
+            if ended is None and token is not None and self.may_follow(last, token):
+                ended = (token, ROOT, (*held, token))
         if ended is None:
             raise ValueError("the vocabulary lacks a byte")
-        after = [*inside, ended]
-        agreed = min(len(held) for _, held, _ in after)
-        while any(held[:agreed] != ended[1][:agreed] for _, held, _ in inside):
+        after.append(ended)
+        agreed = min(agreed, len(ended[2]))
+        given = ended[2][:agreed]
+        while agreed and any(held[:agreed] != given for _, _, held in after):
             agreed -= 1
-        return tuple((last, held[agreed:], node) for last, held, node in after), ended[1][:agreed]
+            given = given[:agreed]
+        flat: list[int] = []
+        for last, node, held in after:
+            flat += (len(held) - agreed, last, node)
+            flat += held[agreed:] if agreed else held
+        return tuple(flat), given
 
     def step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         """A transition, made the first time that it is taken."""
         runs, given = self.advance(state[RUNS], byte)
-        after = self.states.setdefault(runs, {RUNS: runs})
+        after = self.states.get(runs)
+        if after is None:
+            after = self.states[runs] = {RUNS: runs}
         state[byte] = found = (after, given)
         return found
 
     def encode(self, piece: bytes) -> list[int]:
+        if piece in self.ranks:
+            return [self.ranks[piece]]
         if len(self.states) >= MAX_STATES:
             self.forget()
         out: list[int] = []
@@ -142,7 +161,12 @@ class Transducer:
             state, given = state.get(byte) or self.step(state, byte)
             if given:
                 out += given
-        out += state[RUNS][-1][1]  # the run that has just ended a token holds the rest
+        runs = state[RUNS]
+        # The last run has just ended a token, and what it holds back is the rest: it ends the tuple.
+        at = 0
+        while at + 3 + runs[at] < len(runs):
+            at += 3 + runs[at]
+        out += runs[at + 3 :]
         return out
 
 
@@ -156,7 +180,7 @@ class PieceIds(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MAX_PIECES:
             self.clear()
-        packed = np.array(self.transducer.encode(piece.encode()), np.int32).tobytes()
+        packed = array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) < 100:
             self[piece] = packed
         return packed
@@ -217,7 +241,12 @@ def decode_stream(portions: Iterable[list[int]], token: dict[int, bytes]) -> Ite
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(read_ranks(path))
+    """One encoder for each vocabulary and Python worker. Its tables are many small objects without
+    cycles to collect, so the collector is told to look for some less often."""
+    made = Encoder(read_ranks(path))
+    gc.freeze()
+    gc.set_threshold(100_000, 100, 100)
+    return made
 
 
 @lru_cache(maxsize=2)
