@@ -27,9 +27,9 @@ from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
 
 # What a Python worker holds at most before it starts anew; more only saves time.
-MAX_STATES = 200_000
-MAX_PAIRS = 400_000
-MAX_PIECES = 400_000
+MAX_STATES = 190_000
+MAX_PAIRS = 300_000
+MAX_PIECES = 250_000
 # Token ids that the decoder takes at a time.
 DECODE_CHUNK = 65_536
 ROOT = 0
@@ -72,17 +72,17 @@ class Transducer:
         self.ranks = ranks
         self.token = {rank: data for data, rank in ranks.items()}
         self.children: dict[int, int] = {}  # node * 256 + byte -> node
-        self.ended: dict[int, int] = {}  # node -> the token that ends there
-        self.inner: set[int] = set()
-        nodes = 1
+        self.ended = array("i", [-1])  # for each node, the token that ends there
+        self.inner = bytearray(1)  # for each node, whether longer tokens go on from it
         for data, rank in ranks.items():
             node = ROOT
             for byte in data:
-                self.inner.add(node)
+                self.inner[node] = 1
                 key = node << 8 | byte
                 if key not in self.children:
-                    self.children[key] = nodes
-                    nodes += 1
+                    self.children[key] = len(self.ended)
+                    self.ended.append(-1)
+                    self.inner.append(0)
                 node = self.children[key]
             self.ended[node] = rank
         self.follows: dict[tuple[int, int], bool] = {}
@@ -96,23 +96,20 @@ class Transducer:
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether the merges leave ``last`` (-1: nothing) and ``token`` as they are, side by side."""
-        pair = last << 32 | token
-        known = self.follows.get(pair)
-        if known is None:
-            if len(self.follows) >= MAX_PAIRS:
-                self.follows.clear()
-            before, after = self.token.get(last, b""), self.token[token]
-            if last >= 0 and before + after in self.ranks:
-                known = False  # the two would be merged
-            else:
-                known = merge_by_rank(before + after, self.ranks) == ([last, token] if last >= 0 else [token])
-            self.follows[pair] = known
+        if len(self.follows) >= MAX_PAIRS:
+            self.follows.clear()
+        before, after = self.token.get(last, b""), self.token[token]
+        if last >= 0 and before + after in self.ranks:
+            known = False  # the two would be merged
+        else:
+            known = merge_by_rank(before + after, self.ranks) == ([last, token] if last >= 0 else [token])
+        self.follows[last << 32 | token] = known
         return known
 
     def advance(self, runs: Runs, byte: int) -> tuple[Runs, tuple[int, ...]]:
         """The runs after one more byte, and the tokens that all of them agree on by then."""
         after, ended = [], None
-        child_of, token_at = self.children.get, self.ended.get
+        child_of, token_at, inner, known = self.children.get, self.ended, self.inner, self.follows.get
         at, agreed = 0, NEVER
         while at < len(runs):
             n, last, node = runs[at], runs[at + 1], runs[at + 2]
@@ -121,12 +118,15 @@ class Transducer:
             if child is None:
                 continue
             held = runs[begin:at]
-            if child in self.inner:
+            if inner[child]:
                 after.append((last, child, held))
-                agreed = min(agreed, n)
-            token = token_at(child)
-            if ended is None and token is not None and self.may_follow(last, token):
-                ended = (token, ROOT, (*held, token))
+                if n < agreed:
+                    agreed = n
+            token = token_at[child]
+            if ended is None and token >= 0:
+                fits = known(last << 32 | token)
+                if self.may_follow(last, token) if fits is None else fits:
+                    ended = (token, ROOT, (*held, token))
         if ended is None:
             raise ValueError("the vocabulary lacks a byte")
         after.append(ended)
