@@ -172,7 +172,38 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_mix_sources")
+@query(
+    "op8_mix_sources",
+    """
+    WITH RECURSIVE s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    e AS (SELECT source, n, round(sqrt(n) / sum(sqrt(n)) OVER () * (1000 - count(*) OVER ()), 9) AS exact FROM s),
+    r AS (
+        SELECT source, floor(exact) AS whole, row_number() OVER (ORDER BY exact - floor(exact) DESC, n DESC, source) AS rank,
+            1000 - count(*) OVER () - sum(floor(exact)) OVER () AS spare
+        FROM e
+    ), p AS (SELECT source, (1 + whole + (rank <= spare)::INT)::BIGINT AS parts FROM r),
+    l AS (SELECT list(source ORDER BY source) AS names, list(parts ORDER BY source) AS ps FROM p),
+    edf(t, n, pick) AS (
+        SELECT -1, list_transform(ps, lambda x: 0), 0 FROM l
+        UNION ALL
+        SELECT t + 1, n, coalesce(list_min(list_filter(list_transform(n, lambda k, i:
+            CASE WHEN floor(k * 1000 / ps[i]) <= t + 1 THEN ceil((k + 1) * 1000 / ps[i])::BIGINT * 100000 + i END),
+            lambda x: x IS NOT NULL)) % 100000, 0)::INT
+        FROM (SELECT t, list_transform(n, lambda k, i: k + (i = pick)::INT) AS n, ps FROM edf, l WHERE t < 999)
+    ), slots AS (
+        SELECT names[pick] AS source, ps[pick] AS parts, t AS in_cycle,
+            row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS within
+        FROM edf, l WHERE pick > 0
+    ), d AS (
+        SELECT doc_id, source, parts, row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id), doc_id) - 1 AS place
+        FROM documents JOIN p USING (source)
+    )
+    SELECT doc_id, d.source, place // 8 AS block, place // 8 // d.parts * 1000 + in_cycle AS slot,
+        place // 8 // d.parts * 1000 + floor(within * 1000 / d.parts)::BIGINT AS released,
+        place // 8 // d.parts * 1000 + ceil((within + 1) * 1000 / d.parts)::BIGINT AS due, place
+    FROM d JOIN slots ON slots.source = d.source AND slots.within = place // 8 % d.parts
+    """,
+)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_slots(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
