@@ -218,7 +218,60 @@ URL_RULES = [
 ]
 
 
-@query("op9_url_filter")
+def _tree_level(k: int) -> str:
+    """One level of the path-template tree: children of wide nodes become a wildcard."""
+    return f"""t{k} AS (
+        SELECT t.* EXCLUDE (template), CASE WHEN len(shape) < {k} THEN t.template
+            ELSE list_append(t.template, CASE WHEN children > 30 THEN '*' ELSE shape[{k}] END) END AS template
+        FROM t{k - 1} t LEFT JOIN (
+            SELECT host, template, count(DISTINCT shape[{k}]) AS children FROM t{k - 1} WHERE len(shape) >= {k} GROUP BY host, template
+        ) w ON w.host = t.host AND w.template = t.template
+    )"""
+
+
+_URL_SQL = f"""
+    WITH b AS (
+        SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages
+    ), c AS (
+        SELECT *, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''),
+            lambda x: regexp_replace(x, '[0-9]+', '*', 'g')) AS parts FROM b
+    ), d AS (
+        SELECT page_id, host, path, list_concat(CASE WHEN len(parts) > 4 THEN list_append(parts[1:4], '**') ELSE parts END,
+            CASE WHEN path LIKE '%/' THEN [''] ELSE [] END) AS shape FROM c
+    ), m AS (
+        SELECT host, shape, (quality = 1 AND toxic = 0)::INT AS good
+        FROM d JOIN labels ON doc_id = try_cast(regexp_extract(path, '/([0-9]+)[^/]*/?$', 1) AS BIGINT)
+    ), t0 AS (
+        SELECT host, shape, []::VARCHAR[] AS template, coalesce(n, 0) AS n, coalesce(k, 0) AS k
+        FROM (SELECT DISTINCT host, shape FROM d) LEFT JOIN (SELECT host, shape, count(*) AS n, sum(good) AS k FROM m GROUP BY ALL)
+        USING (host, shape)
+    ), {", ".join(map(_tree_level, range(1, 5)))},
+    shapes AS (SELECT host, shape, list_concat(template, shape[5:]) AS template, n, k FROM t4),
+    g AS (SELECT host, template, template[1:-2] AS parent, sum(n) AS n, sum(k) AS k FROM shapes GROUP BY host, template),
+    r AS (SELECT *, sum(n) OVER w - n AS nr, sum(k) OVER w - k AS kr FROM g WINDOW w AS (PARTITION BY host, parent)),
+    a AS (
+        SELECT *, CASE WHEN n = 0 OR nr = 0 THEN true ELSE abs(k / n - kr / nr)
+            <= 2 * sqrt((k + kr) / (n + nr) * (1 - (k + kr) / (n + nr)) * (1 / n + 1 / nr)) END AS alike FROM r
+    ), j AS (
+        SELECT host, template, CASE WHEN alike THEN sum(n) OVER w ELSE n END AS na, CASE WHEN alike THEN sum(k) OVER w ELSE k END AS ka,
+            (SELECT coalesce(sum(k) / nullif(sum(n), 0), 1.0) FROM g) AS mean
+        FROM a WINDOW w AS (PARTITION BY host, parent, alike)
+    ), v AS (SELECT host, template, (ka + 20.0::DOUBLE * mean) / (na + 20.0::DOUBLE) AS purity FROM j),
+    rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    fit AS (
+        SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+        FROM d JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+    )
+    SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+        '/' || array_to_string(template, '/') AS template, purity
+    FROM d JOIN shapes USING (host, shape) JOIN v USING (host, template) LEFT JOIN fit USING (page_id)
+"""
+
+
+@query("op9_url_filter", _URL_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     # The last number in a page's path is the document that the page shows; labels are known for some.
