@@ -21,6 +21,8 @@ REMEMBERED = 500_000
 STRIDE = 8_192
 # Candidates of one bucket that meet in one task when it has to be searched pair by pair.
 BLOCK_ROWS = 2_000
+# Texts of one group that meet in one task when their sets have to be compared pair by pair.
+TEXT_ROWS = 500
 MIX1, MIX2, MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -260,6 +262,77 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, p: MinHash) -> DataFrame:
     return ordered.mapInArrow(search, "a long, b long").distinct()
 
 
+class BlockIndex:
+    """The sets of one block, laid out by shingle, so a visiting set meets all of them at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        shingles = np.concatenate(sets)
+        order = np.argsort(shingles, kind="stable")
+        self.sizes = np.array([len(s) for s in sets])
+        self.owner = owner[order]
+        self.keys, first = np.unique(shingles[order], return_index=True)
+        self.ends = np.append(first, len(shingles))
+
+    def shared(self, shingles: np.ndarray) -> np.ndarray:
+        """How many shingles each set has in common with the visitor."""
+        at = np.searchsorted(self.keys, shingles)
+        at = at[(at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == shingles)]
+        spans = [self.owner[a:b] for a, b in zip(self.ends[at].tolist(), self.ends[at + 1].tolist())]
+        return np.bincount(np.concatenate(spans), minlength=len(self.sizes)) if spans else np.zeros(len(self.sizes), np.int64)
+
+
+def links_within(grouped: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
+    """Links between different components inside the groups of ``grouped(node, group, root)``.
+
+    A group is connected by promising pairs. Its rows are dealt over blocks of about ``TEXT_ROWS``, and
+    the rows outside its largest component visit every block with their texts. The full sets are
+    compared in the task, so only links leave it: one for each visitor and component of a block.
+    """
+    sizes = stored(grouped.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
+    split = (
+        sizes.groupBy("group")
+        .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.max(F.struct("n", "root"))["root"].alias("main"))
+        .filter("parts > 1")
+        .select("group", "main", F.ceil(F.col("total") / TEXT_ROWS).alias("blocks"))
+    )
+    rows = stored(grouped.join(stored(split, "split-groups"), "group"), "split-members").join(texts, "node")
+    at_home = rows.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")), "visits": F.lit(0)})
+    visits = rows.filter("root <> main").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "visits": F.lit(1)})
+    dealt = at_home.unionByName(visits).select("group", "block", "visits", "node", "root", "text")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        here, index = None, None
+        nodes: list[int] = []
+        roots: list[int] = []
+        sets: list[np.ndarray] = []
+        for batch in batches:
+            found: dict[tuple[int, int], int] = {}
+            for group, block, visiting, node, root, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (group, block) != here:
+                    here, index = (group, block), None
+                    nodes, roots, sets = [], [], []
+                own = shingle_set(text, p.shingle, hashes)
+                if not visiting:
+                    nodes.append(node)
+                    roots.append(root)
+                    sets.append(own)
+                    continue
+                if not sets:
+                    continue
+                index = index or BlockIndex(sets)
+                shared = index.shared(own)
+                for i in np.flatnonzero(100 * shared >= p.percent * (len(own) + index.sizes - shared)).tolist():
+                    if roots[i] != root:
+                        found.setdefault((node, roots[i]), nodes[i])
+            a = [node for node, _ in found]
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(list(found.values()), pa.int64())], ["a", "b"])
+
+    ordered = dealt.repartition(F.col("group"), F.col("block")).sortWithinPartitions("group", "block", "visits")
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinHash = MinHash()) -> DataFrame:
     """One row per row of ``df``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -271,12 +344,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and is kept. An empty table gives an empty result. Other columns are ignored, whatever their names.
 
     Equal sets become one node. Nodes that agree in all minima of a band meet in a bucket. Round one
-    compares each with the bucket's smallest and largest node only, which links a group of copies by a
-    number of pairs in proportion to its size. Round two takes the buckets whose nodes are not all in one
-    component yet and searches the pairs between components block by block. In both, the packed low bits
-    leave the promising pairs, and the full sets decide. So no link between components stays unseen
-    beyond what banding and estimate miss (below 1e-5 at the threshold), and no group is ever expanded
-    into all its pairs or collected.
+    compares each with the bucket's smallest and largest node only, which links most of a group of copies
+    by a number of pairs in proportion to its size. The packed low bits leave the promising pairs, and the
+    full sets decide. Promising pairs also make groups, wider than components. Round two searches what
+    round one left out, block by block: in buckets, promising pairs of different groups, of which there
+    are few; inside a group, the rows outside its largest component, whose sets are compared in the task.
+    So no link between components stays unseen beyond what banding and estimate miss (below 1e-5 at the
+    threshold), and no group is ever expanded into all its pairs or collected.
     """
     rows = stored(signatures(df, id_col, text_col, p).withColumn("row_no", F.monotonically_increasing_id()), "signatures")
     groups = stored(rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min("row_no").alias("node")), "shingle-sets")
@@ -293,9 +367,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = stored(promising(stars.select("s.*").filter("a < b").distinct(), nodes, p), "star-pairs")
     links = stored(confirmed(first, texts, p), "star-links")
     roots = stored(components(links), "star-roots")
-    labelled = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = stored(cross_pairs(stored(labelled, "labelled"), nodes, p).join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    roots = components(links.unionByName(confirmed(second, texts, p)))
+    groups_of = stored(components(first), "star-groups")
+    labelled = members.select("key", "node").join(groups_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    second = stored(cross_pairs(stored(labelled, "labelled"), nodes, p), "cross-pairs")
+    grouped = groups_of.withColumnRenamed("root", "group").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    inside = links_within(stored(grouped, "grouped"), texts, p)
+    roots = components(links.unionByName(confirmed(second, texts, p)).unionByName(inside))
     named = groups.join(roots, "node").select("set_key", "root")
     named = stored(named, "set-roots")
     lowest = rows.join(named, "set_key").groupBy("root").agg(F.min("doc_id").alias("component_id"))
