@@ -35,7 +35,7 @@ class Training:
     sample: int = 3_000
     rounds: int = 120
     rate: float = 0.25
-    decay: float = 3e-5
+    decay: float = 1e-4
     threshold: float = 0.3
 
 
@@ -127,11 +127,11 @@ def fit(bags: list[np.ndarray], words: list[str], labels: np.ndarray, weight: np
     m, v, mb, vb = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for step in range(1, t.rounds + 1):
         word = np.add.reduceat(weights[features], begin)
-        z = np.add.reduceat(word[flat], first) + bias
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        z = np.clip(np.add.reduceat(word[flat], first) + bias, -40, 40)
+        p = 1 / (1 + np.exp(-z))
         total = np.bincount(doc, softplus(z), len(bags))
-        pull = np.where(labels > 0, -1 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * weight
-        pull = np.maximum(pull, -50.0)
+        # Large where a toxic document is taken for clean, and then offset by the smallness of p.
+        pull = np.where(labels > 0, -1 / np.expm1(np.clip(total, 1e-20, 500)), 1.0) * weight
         g = pull[doc] * p / len(bags)
         by_word = np.bincount(flat, np.repeat(g, np.diff(np.append(first, len(flat)))), len(words))
         grad = np.bincount(features, np.repeat(by_word, counts), BUCKETS) + t.decay * weights
