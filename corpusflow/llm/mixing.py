@@ -148,12 +148,21 @@ def with_slots(
     )
 
 
-def mixed_order(df: DataFrame, partitions: int, **options) -> DataFrame:
-    """``df`` in the order of the mixture, range-partitioned, so that written files follow it."""
-    slot, place = fresh(df, "mix_slot", "mix_place")
+def scheduled(df: DataFrame, **options) -> tuple[DataFrame, str, str, str]:
+    """``df`` with three more columns, and their names: block, slot and place of :func:`with_slots`. All
+    columns of ``df`` stay, also those of the same names."""
+    block, slot, place = fresh(df, "mix_block", "mix_slot", "mix_place")
     kept = {c: f"mix_kept_{i}" for i, c in enumerate(df.columns) if c.lower() in ("block", "slot", "released", "due", "place")}
     rows = with_slots(df.withColumnsRenamed(kept), **options)
-    rows = rows.withColumnsRenamed({"slot": slot, "place": place}).drop("block", "released", "due")
-    rows = rows.withColumnsRenamed({v: k for k, v in kept.items()})
+    rows = rows.withColumnsRenamed({"block": block, "slot": slot, "place": place}).drop("released", "due")
+    return rows.withColumnsRenamed({v: k for k, v in kept.items()}), block, slot, place
+
+
+def mixed_order(df: DataFrame, partitions: int, **options) -> DataFrame:
+    """``df`` in the order of the mixture, range-partitioned, so that written files follow it.
+
+    Readers don't keep the order across files; a later stage gets it from :func:`scheduled` again.
+    """
+    rows, _, slot, place = scheduled(df, **options)
     by = (F.col(slot).asc_nulls_last(), F.col(place))
     return rows.repartitionByRange(partitions, *by).sortWithinPartitions(*by).select(*df.columns)

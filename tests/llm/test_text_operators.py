@@ -1,6 +1,7 @@
 """Token, toxicity, mixing, URL and tool-call operators, and the pipeline."""
 
 import base64
+import hashlib
 import json
 import random
 import zlib
@@ -241,3 +242,38 @@ def test_pipeline_on_planted_documents(spark, tmp_path):
     step = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, step, str(tmp_path)).columns == step.columns, name
+
+
+def brute_schedule(parts, cycle):
+    """Source and block of each slot of a cycle: of the released blocks, the earliest deadline, then name."""
+    done, slots = Counter(), []
+    for t in range(cycle):
+        ready = [(-(-(done[s] + 1) * cycle // n), s) for s, n in parts.items() if done[s] * cycle // n <= t]
+        slots.append((min(ready)[1], done[min(ready)[1]]) if ready else None)
+        done.update([min(ready)[1]] if ready else [])
+    return slots
+
+
+def brute_mixture(ids, parts, cycle, block_rows=8):
+    """``{id: (slot, place)}`` for ``ids[source]``."""
+    at = {x: t for t, x in enumerate(brute_schedule(parts, cycle)) if x}
+    out = {}
+    for s, members in ids.items():
+        for place, i in enumerate(sorted(members, key=lambda i: hashlib.md5(f"0:{i}".encode()).hexdigest())):
+            turn, within = divmod(place // block_rows, parts[s])
+            out[i] = (turn * cycle + at[s, within], place)
+    return out
+
+
+def test_pipeline_result_carries_the_mixture(spark, tmp_path, monkeypatch):
+    ids = {"a": range(0, 400), "b": range(400, 490), "c": range(490, 500)}
+    rows = [(i, f"text {i}", "en", s, "x") for s, members in ids.items() for i in members]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, place string")
+    docs.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    last = [x for x in corpus_pipeline.STAGES if x[0] in ("mixing", "encoding")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", last)
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    parts = {r.source: r.parts for r in mixing.tempered_parts(docs).collect()}
+    want = brute_mixture(ids, parts, 1000)
+    assert [r.doc_id for r in sorted(out, key=lambda r: (r.slot, r.place))] == sorted(want, key=want.get)
+    assert {r.doc_id: (r.slot, r.place) for r in out} == want and all(r.block == r.place // 8 for r in out)
