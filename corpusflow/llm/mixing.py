@@ -4,7 +4,9 @@ A source with ``parts`` of the ``cycle`` slots is due its k-th block (from 0) no
 ``floor(k * cycle / parts)`` and before slot ``ceil((k + 1) * cycle / parts)``. Of the blocks that are
 released, each slot takes the one with the earliest deadline. As the parts add up to the cycle, all
 deadlines are met, so after any number of slots each source is less than one block away from its share.
-The schedule repeats after one cycle, so it is worked out for one only, in one row of fixed size.
+The schedule repeats after one cycle, so it is worked out for one only, in one row. The cycle grows with
+the number of sources. Sources with the same parts have the same windows and take turns, so a slot chooses
+among the different parts, not among all sources.
 """
 
 from __future__ import annotations
@@ -16,52 +18,84 @@ from corpusflow.llm.tables import fresh, stored
 # Rows of a source that are numbered in one group, and groups whose sizes are summed in one.
 GROUP_ROWS = 1_000
 SUPER_GROUPS = 4_096
+# Slots of the shortest cycle, and sources for each so many slots. As each source gets one slot before the
+# others go by weight, at most 1 in 50 slots is dealt out evenly.
+CYCLE = 1_000
+CYCLE_SOURCES = 20
+# Slots of the longest cycle whose tables are broadcast by a hint; for longer ones Spark chooses the join.
+BROADCAST_SLOTS = 100_000
+# Slots whose picks are collected in one array before it is put aside, as each addition copies it.
+PICKED = 500
 
 
-def tempered_parts(df: DataFrame, source_col: str = "source", cycle: int = 1_000, power: float = 0.5) -> DataFrame:
+def tempered_parts(df: DataFrame, source_col: str = "source", cycle: int | None = None, power: float = 0.5) -> DataFrame:
     """``source, rows, parts``: target weights in proportion to the sources' rows to a power.
 
     Parts are whole slots of a cycle and add up to it: every source gets one, and the others go by
-    largest remainder (ties: more rows, then name). There may be at most ``cycle`` sources.
+    largest remainder (ties: more rows, then name). By default the cycle has ``CYCLE`` slots for each
+    ``CYCLE_SOURCES`` sources; a given one must have a slot for each source.
     """
     sizes = df.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("rows"))
-    everything = Window.partitionBy()  # one row for each source, at most ``cycle``
+    everything = Window.partitionBy()  # one row for each source
+    n = F.count(F.lit(1)).over(everything)
+    slots = F.ceil(n / CYCLE_SOURCES) * CYCLE if cycle is None else F.lit(cycle)
     share = F.pow("rows", F.lit(power)) / F.sum(F.pow("rows", F.lit(power))).over(everything)
-    spare = F.lit(cycle) - F.count(F.lit(1)).over(everything)
-    exact = sizes.select("source", "rows", F.round(share * spare, 9).alias("exact"))
+    exact = sizes.select("source", "rows", (slots - n).alias("spare"), F.round(share * (slots - n), 9).alias("exact"))
     floored = exact.withColumn("whole", F.floor("exact"))
-    left = F.lit(cycle) - F.count(F.lit(1)).over(everything) - F.sum("whole").over(everything)
+    left = F.col("spare") - F.sum("whole").over(everything)
     ranked = Window.orderBy((F.col("exact") - F.col("whole")).desc(), F.col("rows").desc(), F.col("source"))
     parts = 1 + F.col("whole") + (F.row_number().over(ranked) <= left).cast("int")
     return floored.select("source", "rows", parts.cast("int").alias("parts"))
 
 
 def pattern(parts: DataFrame, cycle: int) -> DataFrame:
-    """``source, within, in_cycle, released, due`` of each block of one cycle of ``parts(source, parts)``."""
-    listed = parts.filter("parts > 0").groupBy().agg(F.array_sort(F.collect_list(F.struct("source", "parts"))).alias("s"))
-    p = F.transform("s", lambda x: x["parts"])
+    """``source, parts, within, in_cycle, released, due`` of each block of one cycle of ``parts(source, parts)``.
+
+    Of equal deadlines, the source that comes first by name goes first.
+    """
+    names = parts.filter("parts > 0").select("source", "parts", F.row_number().over(Window.orderBy("source")).alias("i"))
+    kinds = names.groupBy("parts").agg(F.array_sort(F.collect_list("i")).alias("members"))
+    listed = kinds.groupBy().agg(F.array_sort(F.collect_list(F.struct("parts", "members"))).alias("kinds"))
+    listed = listed.filter(F.size("kinds") > 0)
     whole = F.lit(cycle).cast("long")
 
-    def given(state: Column, k: Column, i: Column) -> Column:
-        return k + F.when(i == state["pick"], 1).otherwise(0)
+    def given(state: Column, k: Column, j: Column) -> Column:
+        return k + F.when(j == state["kind"], 1).otherwise(0)
 
     def slot(state: Column, t: Column) -> Column:
-        def candidate(k: Column, i: Column) -> Column:
-            n, of = given(state, k, i).cast("long"), F.get("p", i)
-            return F.when(F.floor(n * whole / of) <= t, F.struct(F.ceil((n + 1) * whole / of).alias("due"), i.alias("i")))
-
-        return F.struct(
-            F.transform(state["n"], lambda k, i: given(state, k, i)).alias("n"),
-            F.coalesce(F.array_min(F.transform(state["n"], candidate))["i"], F.lit(-1)).alias("pick"),
-            F.concat(state["taken"], F.array(state["pick"])).alias("taken"),
-        )
+        def candidate(k: Column, j: Column) -> Column:
+            kind, done = F.get("kinds", j), given(state, k, j)
+            members, of = kind["members"], kind["parts"]
+            turn = F.floor(done / F.size(members))
+            i = F.get(members, (done % F.size(members)).cast("int"))
+            free = F.floor(turn * whole / of) <= t
+            return F.when(free, F.struct(F.ceil((turn + 1) * whole / of).alias("due"), i.alias("i"), j.alias("kind")))
+
+        best = F.array_min(F.transform(state["n"], candidate))
+        nothing = F.struct(F.lit(None).cast("long").alias("due"), F.lit(-1).alias("i"), F.lit(-1).alias("kind"))
+        bound = F.transform(F.array(F.coalesce(best, nothing)), lambda x: F.struct(
+            F.transform(state["n"], lambda k, j: given(state, k, j)).alias("n"),
+            x["kind"].alias("kind"),
+            F.concat(state["taken"], F.array(x["i"])).alias("taken"),
+        ))
+        return F.get(bound, F.lit(0))
+
+    def state(n: Column, kind: Column) -> Column:
+        return F.struct(n.alias("n"), kind.alias("kind"), F.array().cast("array<int>").alias("taken"))
+
+    def stretch(outer: Column, first: Column) -> Column:
+        slots = F.sequence(first, F.least(first + PICKED, F.lit(cycle)) - 1)
+        bound = F.transform(F.array(F.aggregate(slots, state(outer["n"], outer["kind"]), slot)), lambda s: F.struct(
+            s["n"].alias("n"), s["kind"].alias("kind"), F.concat(outer["picks"], F.array(s["taken"])).alias("picks")
+        ))
+        return F.get(bound, F.lit(0))
 
     start = F.struct(
-        F.transform("p", lambda _: F.lit(0)).alias("n"), F.lit(-1).alias("pick"), F.array().cast("array<int>").alias("taken")
+        F.transform("kinds", lambda _: F.lit(0)).alias("n"), F.lit(-1).alias("kind"), F.array().cast("array<array<int>>").alias("picks")
     )
-    run = F.aggregate(F.sequence(F.lit(0), F.lit(cycle - 1)), start, slot, lambda s: F.slice(F.concat(s["taken"], F.array(s["pick"])), 2, cycle))
-    slots = listed.withColumn("p", p).select("s", F.posexplode(run).alias("in_cycle", "i")).filter("i >= 0")
-    named = slots.select("in_cycle", F.get("s", F.col("i")).alias("x")).select("in_cycle", "x.source", "x.parts")
+    run = F.aggregate(F.sequence(F.lit(0), F.lit(cycle - 1), F.lit(PICKED)), start, stretch, lambda s: F.flatten(s["picks"]))
+    slots = listed.select(F.posexplode(run).alias("in_cycle", "i")).filter("i >= 0")
+    named = slots.join(names, "i").select("source", "parts", "in_cycle")
     order = Window.partitionBy("source").orderBy("in_cycle")
     numbered = named.withColumn("within", F.row_number().over(order) - 1)
     return numbered.select(
@@ -79,7 +113,7 @@ def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed
 
     Rows are dealt by ranges of the hash into groups of about ``GROUP_ROWS`` rows, however large the
     source; a row's place is its number in its group plus the sizes of the groups before. ``few`` says
-    that the number of sources has been checked against the cycle, so their sizes are broadcast.
+    that there are few sources, so their sizes are broadcast.
     """
     key, share, group, before = fresh(df, "mix_key", "mix_hash", "mix_group", "mix_before")
     hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
@@ -107,13 +141,13 @@ def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed
 
 
 def with_slots(
-    df: DataFrame, parts: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block_rows: int = 8, cycle: int = 1_000, seed: int = 0
+    df: DataFrame, parts: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block_rows: int = 8, cycle: int | None = None, seed: int = 0
 ) -> DataFrame:
     """``df`` with ``block, slot, released, due`` and ``place``: the mixture is the order of ``slot, place``.
 
     Within a source, documents follow a hash of their ids, and each ``block_rows`` of them are a block.
     ``parts(source, rows, parts)`` are the targets (by default :func:`tempered_parts`); ``parts`` must add
-    up to ``cycle``. Every row gets exactly one slot: nothing is repeated or dropped. A source that runs
+    up to ``cycle``, which by default is their sum. Any number of sources is scheduled. Every row gets exactly one slot: nothing is repeated or dropped. A source that runs
     out leaves its later slots empty, so the others keep their proportions among themselves. A source
     that is missing from ``parts`` or has none comes after all others (null ``slot``). A null source is a
     source, a null id sorts first within its hash, and repeated rows take places one after the other. An
@@ -121,23 +155,28 @@ def with_slots(
     """
     df = df.drop("block", "slot", "released", "due", "place")
     targets = stored(tempered_parts(df, source_col, cycle) if parts is None else parts, "mix-parts")
-    if targets.count() > cycle:
+    total = targets.filter("parts > 0").agg(F.count(F.lit(1)).alias("n"), F.sum("parts").alias("slots")).first()
+    if cycle is None:
+        cycle = total["slots"] or CYCLE
+    elif total["n"] > cycle:
         raise ValueError(f"more than {cycle} sources: use a longer cycle")
+    few = cycle <= BROADCAST_SLOTS
+    small = F.broadcast if few else lambda d: d
     sizes = targets.select("source", "rows")
     if parts is not None:
         known = df.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("rows"))
         sizes = stored(known, "mix-sizes")
-    plan = stored(pattern(targets, cycle), "mix-pattern")  # at most ``cycle`` rows
+    plan = stored(pattern(targets, cycle), "mix-pattern")  # one row for each slot
     key, within, turn = fresh(df, "mix_key", "mix_within", "mix_turn")
-    rows = numbered(df, sizes, id_col, source_col, seed, "place", parts is None).withColumns(
+    rows = numbered(df, sizes, id_col, source_col, seed, "place", few and parts is None).withColumns(
         {"block": F.floor(F.col("place") / block_rows), key: F.struct(F.col(source_col).alias("source"))}
     )
-    each = F.broadcast(targets.filter("parts > 0").select(F.struct("source").alias(key), F.col("parts").alias(turn)))
+    each = small(targets.filter("parts > 0").select(F.struct("source").alias(key), F.col("parts").alias(turn)))
     rows = rows.join(each, key, "left").withColumns(
         {within: (F.col("block") % F.col(turn)).cast("int"), turn: F.floor(F.col("block") / F.col(turn)) * cycle}
     )
     slots = plan.select(F.struct("source").alias(key), F.col("within").alias(within), "in_cycle", "released", "due")
-    placed = rows.join(F.broadcast(slots), [key, within], "left")
+    placed = rows.join(small(slots), [key, within], "left")
     return placed.select(
         *df.columns,
         "block",

@@ -277,3 +277,31 @@ def test_pipeline_result_carries_the_mixture(spark, tmp_path, monkeypatch):
     want = brute_mixture(ids, parts, 1000)
     assert [r.doc_id for r in sorted(out, key=lambda r: (r.slot, r.place))] == sorted(want, key=want.get)
     assert {r.doc_id: (r.slot, r.place) for r in out} == want and all(r.block == r.place // 8 for r in out)
+
+
+@pytest.mark.parametrize("n", [7, 500])
+def test_schedule_equals_brute_force(spark, n):
+    rng = random.Random(n)
+    parts = {f"s{i:04}": rng.choice([1, 1, 2, 3, 3, 7, 40]) for i in range(n)} | {"big": 100}
+    cycle = sum(parts.values())
+    table = spark.createDataFrame(list(parts.items()), "source string, parts int")
+    got = {r.in_cycle: (r.source, r.within) for r in mixing.pattern(table, cycle).collect()}
+    assert [got.get(t) for t in range(cycle)] == brute_schedule(parts, cycle)
+
+
+def test_many_sources_keep_their_weights(spark):
+    sizes = {f"s{i:04}": 1 for i in range(1_199)} | {"big": 4_000}
+    rows = [s for s, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, source string")
+    roots = sum(n**0.5 for n in sizes.values())
+    parts = {r.source: r.parts for r in mixing.tempered_parts(df).collect()}
+    cycle = sum(parts.values())
+    assert abs(parts["big"] / cycle - 4_000**0.5 / roots) < 0.02 * 4_000**0.5 / roots
+    got = mixing.with_slots(df).collect()
+    assert len(got) == len(rows) and all(r.released <= r.slot < r.due for r in got)
+    assert len({(r.source, r.block) for r in got}) == len({r.slot for r in got})
+    # The weights of 500 sources are not evened out.
+    third = spark.createDataFrame([(f"s{i}", 1) for i in range(499)] + [("big", 249_001)], "source string, n int")
+    third = third.select("source", F.explode(F.sequence(F.lit(1), "n")).alias("doc_id"))
+    parts = {r.source: r.parts for r in mixing.tempered_parts(third).collect()}
+    assert abs(parts["big"] / sum(parts.values()) - 0.5) < 0.02
