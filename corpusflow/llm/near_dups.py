@@ -113,15 +113,20 @@ def band_keys(low: np.ndarray, p: MinHash) -> np.ndarray:
     return key
 
 
+def version_of(text_col: str) -> Column:
+    return F.xxhash64(whole_text(text_col))
+
+
 def signatures(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands, bits`` of each row; the last two are null for empty sets."""
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>"
+    """``doc_id, version, n_shingles, set_key, bands, bits`` of each row; the last two are null for empty
+    sets. ``version`` is a hash of the text, which tells apart rows that share an id."""
+    schema = "doc_id long, version long, n_shingles long, set_key binary, bands array<long>, bits array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, factors = WordHashes(), p.factors()
         for batch in batches:
             sizes, keys, bands, bits = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 shingles = shingle_set(text, p.shingle, hashes)
                 low = minima(shingles, factors) if len(shingles) else None
                 sizes.append(len(shingles))
@@ -129,10 +134,11 @@ def signatures(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFra
                 bands.append(None if low is None else band_keys(low, p).view(np.int64))
                 bits.append(None if low is None else packed_low_bits(low, p.bits).view(np.int64))
             longs = pa.list_(pa.int64())
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(bits, longs)]
-            yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_key", "bands", "bits"])
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(bits, longs)]
+            yield pa.record_batch(columns, ["doc_id", "version", "n_shingles", "set_key", "bands", "bits"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(sign, schema)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), version_of(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(sign, schema)
 
 
 def different_bits(a: Column, b: Column, p: MinHash) -> Column:
@@ -333,25 +339,8 @@ def links_within(grouped: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
     return ordered.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinHash = MinHash()) -> DataFrame:
-    """One row per row of ``df``: ``doc_id, n_shingles, component_id, kept``.
-
-    Two documents are linked when ``100 * |intersection| >= percent * |union|`` of their shingle sets
-    (hashed to 64 bits); ``component_id`` is the smallest id that links lead to, and ``kept`` tells
-    whether it is the row's own. A text with fewer words than a shingle is one shingle; a null or empty
-    text, or one of white space, has none and is linked with nothing. Repeated rows, and different texts
-    under one id, take part as they are. A row with a null id can link others but gets a null component
-    and is kept. An empty table gives an empty result. Other columns are ignored, whatever their names.
-
-    Equal sets become one node. Nodes that agree in all minima of a band meet in a bucket. Round one
-    compares each with the bucket's smallest and largest node only, which links most of a group of copies
-    by a number of pairs in proportion to its size. The packed low bits leave the promising pairs, and the
-    full sets decide. Promising pairs also make groups, wider than components. Round two searches what
-    round one left out, block by block: in buckets, promising pairs of different groups, of which there
-    are few; inside a group, the rows outside its largest component, whose sets are compared in the task.
-    So no link between components stays unseen beyond what banding and estimate miss (below 1e-5 at the
-    threshold), and no group is ever expanded into all its pairs or collected.
-    """
+def judged_rows(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
+    """What :func:`near_duplicates` returns, with the ``version`` of each row's text."""
     rows = stored(signatures(df, id_col, text_col, p).withColumn("row_no", F.monotonically_increasing_id()), "signatures")
     groups = stored(rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min("row_no").alias("node")), "shingle-sets")
     nodes = stored(
@@ -382,16 +371,40 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = stored(linked.unionByName(copies), "components")
     component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return (
-        rows.select("doc_id", "n_shingles", "set_key")
+        rows.select("doc_id", "version", "n_shingles", "set_key")
         .join(table, "set_key", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        .select("doc_id", "version", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinHash = MinHash()) -> DataFrame:
+    """One row per row of ``df``: ``doc_id, n_shingles, component_id, kept``.
+
+    Two documents are linked when ``100 * |intersection| >= percent * |union|`` of their shingle sets
+    (hashed to 64 bits); ``component_id`` is the smallest id that links lead to, and ``kept`` tells
+    whether it is the row's own. A text with fewer words than a shingle is one shingle; a null or empty
+    text, or one of white space, has none and is linked with nothing. Repeated rows, and different texts
+    under one id, take part as they are. A row with a null id can link others but gets a null component
+    and is kept. An empty table gives an empty result. Other columns are ignored, whatever their names.
+
+    Equal sets become one node. Nodes that agree in all minima of a band meet in a bucket. Round one
+    compares each with the bucket's smallest and largest node only, which links most of a group of copies
+    by a number of pairs in proportion to its size. The packed low bits leave the promising pairs, and the
+    full sets decide. Promising pairs also make groups, wider than components. Round two searches what
+    round one left out, block by block: in buckets, promising pairs of different groups, of which there
+    are few; inside a group, the rows outside its largest component, whose sets are compared in the task.
+    So no link between components stays unseen beyond what banding and estimate miss (below 1e-5 at the
+    threshold), and no group is ever expanded into all its pairs or collected.
+    """
+    return judged_rows(df, id_col, text_col, p).drop("version")
+
+
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinHash = MinHash()) -> DataFrame:
-    """``df`` without the rows that :func:`near_duplicates` does not keep; all columns stay as they are."""
-    (ident,) = fresh(df, "dropped_id")
-    found = near_duplicates(df, id_col, text_col, p)
-    dropped = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias(ident)).distinct(), "near-dropped")
-    return df.join(dropped, df[id_col] == dropped[ident], "left_anti")
+    """``df`` without the rows that :func:`near_duplicates` does not keep; all columns stay as they are.
+    Of different texts under one id, only those go that are not kept themselves."""
+    ident, version = fresh(df, "dropped_id", "dropped_version")
+    found = judged_rows(df, id_col, text_col, p).filter(~F.col("kept"))
+    dropped = stored(found.select(F.col("doc_id").alias(ident), F.col("version").alias(version)).distinct(), "near-dropped")
+    same = (df[id_col] == dropped[ident]) & (version_of(text_col) == dropped[version])
+    return df.join(dropped, same, "left_anti")

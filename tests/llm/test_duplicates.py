@@ -103,6 +103,19 @@ def test_near_duplicates_on_odd_rows(spark):
     assert near_dups.near_duplicates(frame(spark, [])).count() == 0
 
 
+def near_copies(n, words=60):
+    """A text and ``n`` others, each of which differs from it in another last word."""
+    base = [f"w{i}" for i in range(words)]
+    return [" ".join(base), *(" ".join([*base[:-1], f"other{k}"]) for k in range(n))]
+
+
+def test_near_duplicates_of_one_id_go_text_by_text(spark):
+    text, other = near_copies(1)
+    rows = [(3, text), (5, other), (5, "a text unlike all the others here"), (5, None), (6, "one more of its own kind")]
+    left = near_dups.drop_near_duplicates(frame(spark, rows))
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+
+
 def test_estimates_follow_similarity():
     p = near_dups.MinHash(shingle=1)
     rng = np.random.default_rng(5)
