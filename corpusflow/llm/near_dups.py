@@ -193,7 +193,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
 
 def texts_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, p: MinHash) -> DataFrame:
     """``node, text`` for ``wanted(doc_id, set_key, node)``. An id may be repeated with other texts, so
-    the set is made again and compared."""
+    the set is made again and compared. Rows without an id have nothing to join by but their sets, which
+    are made first; of those with one set, one text is taken."""
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -205,8 +206,20 @@ def texts_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, p: Mi
             mask = pa.array(keep, pa.bool_())
             yield pa.record_batch([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["node", "text"])
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            keys = [hashlib.blake2b(shingle_set(text, p.shingle, hashes).tobytes(), digest_size=16).digest() for text in texts]
+            yield pa.record_batch([pa.array(keys, pa.binary()), batch.column(0)], ["set_key", "text"])
+
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.join(wanted, "doc_id").select("node", "text", "set_key").mapInArrow(same, "node long, text string")
+    named = docs.join(wanted, "doc_id").select("node", "text", "set_key").mapInArrow(same, "node long, text string")
+    nameless = wanted.filter("doc_id is null").select("set_key", "node")
+    if nameless.isEmpty():
+        return named
+    keys = docs.filter("doc_id is null").select("text").mapInArrow(keyed, "set_key binary, text string")
+    return named.unionByName(keys.join(nameless, "set_key").groupBy("node").agg(F.min("text").alias("text")))
 
 
 def cross_pairs(members: DataFrame, nodes: DataFrame, p: MinHash) -> DataFrame:
@@ -342,7 +355,9 @@ def links_within(grouped: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
 def judged_rows(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
     """What :func:`near_duplicates` returns, with the ``version`` of each row's text."""
     rows = stored(signatures(df, id_col, text_col, p).withColumn("row_no", F.monotonically_increasing_id()), "signatures")
-    groups = stored(rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min("row_no").alias("node")), "shingle-sets")
+    # A row with an id stands for its set if there is one, as texts are found by id.
+    first_row = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("row_no"))), F.min("row_no"))
+    groups = stored(rows.filter("n_shingles > 0").groupBy("set_key").agg(first_row.alias("node")), "shingle-sets")
     nodes = stored(
         rows.drop("set_key").join(groups, rows["row_no"] == groups["node"]).select("node", "doc_id", "set_key", "bands", "bits"), "nodes"
     )

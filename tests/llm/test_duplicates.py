@@ -116,6 +116,18 @@ def test_near_duplicates_of_one_id_go_text_by_text(spark):
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
 
 
+def test_rows_without_id_link_others(spark):
+    text, other = near_copies(1)
+    # Two texts that are near only to a third one, which has no id.
+    bridge = [f"v{i}" for i in range(60)]
+    left, right = " ".join(["new", "start", *bridge[5:]]), " ".join([*bridge[:-5], "new", "end"])
+    rows = [(None, text), (7, text), (9, other), (None, " ".join(bridge)), (None, " ".join(bridge).upper()), (20, left), (21, right)]
+    found = near_dups.near_duplicates(frame(spark, rows, 1), p=near_dups.MinHash(shingle=2))
+    assert by_id(found, "component_id", "kept") == sorted(
+        [(7, 7, True), (9, 7, False), (20, 20, True), (21, 20, False), *[(None, None, True)] * 3], key=str
+    )
+
+
 def test_estimates_follow_similarity():
     p = near_dups.MinHash(shingle=1)
     rng = np.random.default_rng(5)
