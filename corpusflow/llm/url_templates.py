@@ -1,7 +1,8 @@
 """URL filters: rules first, then a tree of path templates for each host. DataFrame operations only.
 
 Paths are read as segments. A segment's digits count as a wildcard; a node of the tree with many
-different children has its children replaced by one wildcard. So each URL gets a template. Siblings
+different children has its children replaced by one wildcard, save those whose labels set them apart.
+So each URL gets a template. Siblings
 whose labelled pages look alike are merged, and a template is rejected if the smoothed share of good
 ones among its labelled pages is too low.
 """
@@ -30,7 +31,9 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """``depth`` segments are told apart, the rest is one tail. ``fanout`` children make a wildcard.
+    """``depth`` segments are told apart; the rest is one tail, save for what its labels set apart. More than
+    ``fanout`` children make a wildcard, with the same exception. A branch is set apart when it has at least
+    ``enough`` labelled pages and its share of good ones differs from the others' by over ``apart`` errors.
     Siblings merge when their shares of good pages differ by less than ``z`` standard errors. A template
     is rejected when its purity, smoothed by ``prior_rows`` pages of the average, is below ``purity``."""
 
@@ -39,6 +42,8 @@ class Tree:
     z: float = 2.0
     prior_rows: float = 20.0
     purity: float = 0.5
+    enough: int = 20
+    apart: float = 4.0
 
 
 def host_of(url: Column) -> Column:
@@ -63,29 +68,85 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.array_max(F.array(nothing, *fits))
 
 
-def segments(path: Column, depth: int) -> Column:
-    """The path's segments with digits as ``*``; from the ``depth``-th on, the rest counts as ``**``."""
+def segments(path: Column) -> Column:
+    """The path's segments with digits as ``*``."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.regexp_replace(s, r"[0-9]+", "*"))
-    cut = F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
-    whole = F.when(F.size(parts) > depth, cut).otherwise(parts)
     # A closing slash is part of the template.
-    return F.when(path.endswith("/"), F.concat(whole, F.array(F.lit("")))).otherwise(whole)
+    return F.when(path.endswith("/"), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+
+
+def n_parts() -> Column:
+    """Segments of ``shape`` without the closing slash."""
+    return F.size("shape") - F.when(F.try_element_at("shape", F.lit(-1)) == "", 1).otherwise(0)
+
+
+def set_apart(n: Column, k: Column, n_all: Column, k_all: Column, tree: Tree) -> Column:
+    """Whether ``n`` labelled pages, ``k`` of them good, differ from the rest of all."""
+    one = F.lit(1.0)
+    mean = F.try_divide(k_all, n_all)
+    error = F.sqrt(mean * (one - mean) * (F.try_divide(one, n) + F.try_divide(one, n_all - n)))
+    gap = F.abs(F.try_divide(k, n) - F.try_divide(k_all - k, n_all - n))
+    return F.coalesce((n >= tree.enough) & (gap > tree.apart * error), F.lit(False))
+
+
+def grown(rows: DataFrame, level: int, tree: Tree) -> DataFrame:
+    """``rows`` with ``template`` one level longer where ``open``. Children are counted and compared with
+    partial aggregation; what is joined back are wide nodes and children with labels enough."""
+    child = F.get("shape", F.lit(level))
+    rows = rows.withColumn("child", child)
+    kids = rows.filter("open").groupBy("host", "template", "child").agg(F.sum("labelled").alias("n"), F.sum("good").alias("k"))
+    nodes = kids.groupBy("host", "template").agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("n_all"), F.sum("k").alias("k_all"))
+    nodes = nodes.filter(F.col("children") > tree.fanout)
+    own = kids.join(nodes, ["host", "template"]).filter(set_apart(F.col("n"), F.col("k"), F.col("n_all"), F.col("k_all"), tree))
+    own = own.select("host", "template", "child", F.lit(True).alias("own"))
+    wide = nodes.select("host", "template", F.lit(True).alias("wide"))
+    out = rows.join(wide, ["host", "template"], "left").join(own, ["host", "template", "child"], "left")
+    step = F.when(F.col("wide") & F.col("own").isNull(), F.lit("*")).otherwise(F.col("child"))
+    return out.withColumn("template", F.when(F.col("open"), F.concat("template", F.array(step))).otherwise(F.col("template"))).drop("child", "wide", "own")
+
+
+def tails(deep: DataFrame, tree: Tree) -> DataFrame:
+    """``deep(host, shape, labelled, good, template)`` with templates beyond ``depth``: the longest beginning
+    of the path whose labels set it apart from the others below the same node, and ``**`` for the rest.
+
+    Goes down as long as a branch has labels enough, good ones and bad: any other has no part to set apart.
+    """
+    sums = (F.sum("labelled").alias("n"), F.sum("good").alias("k"))
+    mixed = (F.col("n") >= tree.enough) & (F.col("k") > 0) & (F.col("k") < F.col("n"))
+    totals = deep.groupBy("host", "template").agg(*sums).select("host", F.col("template").alias("base"), F.col("n").alias("n_all"), F.col("k").alias("k_all"))
+    rows = deep.withColumns({"base": F.col("template"), "found": F.col("template")}).join(totals, ["host", "base"])
+    open_now = (F.col("n_all") >= tree.enough) & (F.col("k_all") > 0) & (F.col("k_all") < F.col("n_all"))
+    rows = stored(rows.withColumn("open", open_now), "url-tails")
+    level = tree.depth
+    while not rows.filter("open").isEmpty():
+        rows = stored(grown(rows, level, tree), "url-tails")
+        level += 1
+        branches = rows.filter("open").groupBy("host", "template").agg(*sums)
+        rows = rows.join(branches, ["host", "template"], "left")
+        better = F.col("open") & set_apart(F.col("n"), F.col("k"), F.col("n_all"), F.col("k_all"), tree)
+        rows = rows.withColumns(
+            {"found": F.when(better, F.col("template")).otherwise(F.col("found")), "open": F.col("open") & mixed & (n_parts() > level)}
+        )
+        rows = stored(rows.drop("n", "k"), "url-tails")
+    nothing = F.array().cast("array<string>")
+    rest = F.when(F.size("found") < n_parts(), F.array(F.lit("**"))).otherwise(nothing)
+    slash = F.when(F.try_element_at("shape", F.lit(-1)) == "", F.array(F.lit(""))).otherwise(nothing)
+    return rows.withColumn("template", F.concat("found", rest, slash)).select(*deep.columns)
 
 
 def generalise(lexical: DataFrame, tree: Tree) -> DataFrame:
     """``lexical(host, shape, ...)`` with ``template``: level by level, the children of nodes with more
-    than ``fanout`` different ones become a wildcard. One row for each host and shape goes through it."""
+    than ``fanout`` different ones become a wildcard, but for those that their labels set apart. One row for
+    each host and shape goes through it."""
     out = lexical.withColumn("template", F.array().cast("array<string>"))
     for level in range(tree.depth):
-        child = F.get("shape", F.lit(level))
-        nodes = out.filter(F.size("shape") > level).groupBy("host", "template").agg(F.count_distinct(child).alias("children"))
-        wide = nodes.filter(F.col("children") > tree.fanout).select("host", "template", F.lit(True).alias("wide"))
-        step = F.when(F.col("wide"), F.lit("*")).otherwise(child)
-        grown = F.when(F.size("shape") > level, F.concat("template", F.array(step))).otherwise(F.col("template"))
-        out = stored(out.join(wide, ["host", "template"], "left").withColumn("template", grown).drop("wide"), "url-tree")
+        out = stored(grown(out.withColumn("open", F.size("shape") > level), level, tree).drop("open"), "url-tree")
+    deep = out.filter(n_parts() > tree.depth)
+    flat = out.filter(n_parts() <= tree.depth)
     rest = F.slice("shape", tree.depth + 1, F.greatest(F.size("shape") - tree.depth, F.lit(0)))
-    return out.withColumn("template", F.concat("template", rest))
+    flat = flat.withColumn("template", F.concat("template", rest))
+    return flat if deep.isEmpty() else flat.unionByName(tails(deep, tree))
 
 
 def judged(templates: DataFrame, tree: Tree) -> DataFrame:
@@ -93,7 +154,7 @@ def judged(templates: DataFrame, tree: Tree) -> DataFrame:
     mean = templates.agg(F.try_divide(F.sum("good"), F.sum("labelled")).alias("mean")).scalar()
     mean = F.coalesce(mean, F.lit(1.0))
     parent = F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0)))
-    # The children of one node: at most ``fanout`` and a wildcard, with or without a closing slash.
+    # The children of one node: at most ``fanout`` or a wildcard and those set apart, with or without a closing slash.
     siblings = Window.partitionBy("host", "parent")
     rows = templates.withColumn("parent", parent)
     n, k = F.col("labelled"), F.col("good")
@@ -133,9 +194,9 @@ def url_verdicts(
     """
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    rows = rows.withColumn("shape", segments(F.col("path"), tree.depth))
+    rows = rows.withColumn("shape", segments(F.col("path")))
     marks = labelled.filter(F.col("good").isNotNull()).select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "good")
-    marks = marks.select("host", segments(F.col("path"), tree.depth).alias("shape"), "good")
+    marks = marks.select("host", segments(F.col("path")).alias("shape"), "good")
     seen = rows.select("host", "shape", F.lit(0).alias("labelled"), F.lit(0).alias("good"))
     both = seen.unionByName(marks.select("host", "shape", F.lit(1).alias("labelled"), F.col("good").cast("int").alias("good")))
     shapes = both.groupBy("host", "shape").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))

@@ -305,3 +305,18 @@ def test_many_sources_keep_their_weights(spark):
     third = third.select("source", F.explode(F.sequence(F.lit(1), "n")).alias("doc_id"))
     parts = {r.source: r.parts for r in mixing.tempered_parts(third).collect()}
     assert abs(parts["big"] / sum(parts.values()) - 0.5) < 0.02
+
+
+def test_bad_sections_are_found_among_many_and_deep(spark):
+    words = [f"{chr(97 + i % 26)}x{chr(97 + i // 26)}" for i in range(40)]
+    urls = [f"http://w.org/{w}/{i}" for w in words for i in range(5)] + [f"http://w.org/spam/{i}" for i in range(200)]
+    urls += [f"http://d.org/a/b/c/d/e/{s}/{i}/" for s in ("spam", "news") for i in range(100)]
+    urls += [f"http://v.org/a/b/c/d/{w}/{s}/{w}/{i}" for w in words for s in ("spam", "news") for i in range(4)]
+    urls += ["http://d.org/a/b/c/d/x/y"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labelled = pages.select("url", F.when(F.col("url").contains("/spam/"), 0).otherwise(1).alias("good"))
+    got = url_templates.url_verdicts(pages, [], labelled).collect()
+    assert len(got) == len(urls)
+    assert all((r.verdict == "block") == ("/spam/" in r.path) for r in got)
+    found = {(r.host, r.template) for r in got}
+    assert {("w.org", "/spam/*"), ("w.org", "/*/*"), ("d.org", "/a/b/c/d/e/spam/**/"), ("d.org", "/a/b/c/d/**"), ("v.org", "/a/b/c/d/*/spam/**")} <= found
