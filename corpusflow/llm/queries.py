@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpus_pipeline import ORACLE_SQL, run
+from corpusflow.llm.alignment import with_alignment
 from corpusflow.llm.exact_dups import exact_duplicates
 from corpusflow.llm.mixing import with_slots
 from corpusflow.llm.near_dups import MinHash, near_duplicates
@@ -288,6 +289,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, SCHEMAS)
 
 
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("pipeline", ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir)
