@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpus_pipeline import ORACLE_SQL, run
 from corpusflow.llm.alignment import with_alignment
 from corpusflow.llm.exact_dups import exact_duplicates
+from corpusflow.llm.leaks import with_leaks
 from corpusflow.llm.mixing import with_slots
 from corpusflow.llm.near_dups import MinHash, near_duplicates
 from corpusflow.llm.repeats import repeated_passages
@@ -289,6 +290,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, SCHEMAS)
 
 
+@query(
+    "op12_decontamination",
+    r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ), b AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ), s AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+    p AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM s),
+    windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS x FROM p),
+    q AS (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, (SELECT DISTINCT n FROM windows)),
+    hits AS (SELECT doc_id, i, q.n, item_id FROM q JOIN windows ON windows.n = q.n AND x = array_to_string(w[i:i + q.n - 1], ' ')),
+    words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
