@@ -19,6 +19,7 @@ from corpusflow.llm.token_counts import with_token_counts
 from corpusflow.llm.tool_calls import SCHEMAS, calls_from_conversations, link_tool_calls
 from corpusflow.llm.toxicity import held_out, train, with_toxicity
 from corpusflow.llm.transducer import with_decoded_text, with_token_ids
+from corpusflow.llm.trie import conversation_trie, numbered_turns, rebuilt
 from corpusflow.llm.url_templates import Rule, path_of, url_verdicts
 from corpusflow.llm.weighted_prints import fingerprints
 
@@ -290,6 +291,51 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, SCHEMAS)
 
 
+@query(
+    "op11_prefix_trie",
+    r"""
+    WITH o AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), n AS (SELECT conv_id, count(*) AS n FROM o GROUP BY conv_id),
+    -- CRC-32 of the digits: a byte is mixed in, then come eight steps.
+    c AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(
+            list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 9 AS h
+        FROM n
+    ), r AS (
+        SELECT c.conv_id, i AS d, role, text FROM c JOIN o ON o.conv_id = base AND i <= h
+        UNION ALL
+        SELECT c.conv_id, i - h + least(h, coalesce(n.n, 0)) AS d, role, text
+        FROM c JOIN o USING (conv_id) LEFT JOIN n ON n.conv_id = base WHERE i > h
+    ), p AS (
+        SELECT conv_id, d, octet_length(encode(text)) AS bytes,
+            md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM r
+    ), m AS (
+        SELECT conv_id, 0 AS d, 0 AS bytes, '' AS k FROM c UNION ALL SELECT conv_id, d, bytes, k FROM p
+    ), q AS (
+        SELECT *, lag(k) OVER w AS parent, lead(d) OVER w IS NULL AS ends FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY d)
+    ), nodes AS (
+        SELECT k, d, min(conv_id) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs, any_value(bytes) AS bytes,
+            string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS ids
+        FROM q GROUP BY k, d
+    ), kids AS (SELECT parent AS k, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+    sums AS (
+        SELECT q.k, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * known.bytes) AS saved
+        FROM known JOIN q ON q.conv_id = known.conv_id AND q.d <= known.d GROUP BY q.k
+    )
+    SELECT x.conv_id, x.d::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves::BIGINT AS n_leaves,
+        saved::BIGINT AS saved_tokens, sha256(coalesce(x.ids, '')) AS ends_sha256
+    FROM known x JOIN sums USING (k) LEFT JOIN nodes y ON y.k = x.parent
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(*rebuilt(numbered_turns(table(spark, sf_dir, "conversations"))))
+
+
 @query(
     "op12_decontamination",
     r"""
