@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions.text import bind, tokens
+from corpusflow.operators.graph import first_kept
 from corpusflow.operators.schema_ops import view_of
 from corpusflow.session import cut_lineage
 
@@ -143,29 +144,6 @@ def near_fingerprints(
     return paired.select("a", "b").unionByName(met).distinct()
 
 
-def first_kept(edges: DataFrame) -> DataFrame:
-    """Vertices removed when scanning in order and dropping whatever is near a kept vertex.
-
-    ``edges`` has ``earlier`` and ``later`` ranks. Vertices without an earlier neighbour left are
-    kept and remove their later neighbours; the rest is decided in the following rounds.
-    """
-    edges = cut_lineage(edges)
-    removed = edges.select(F.col("later").alias("rank")).limit(0)
-    while not edges.isEmpty():
-        followers = edges.select(F.col("later").alias("earlier")).distinct()
-        gone = (
-            edges.join(followers, "earlier", "left_anti").select(F.col("later").alias("rank")).distinct()
-        )
-        gone = cut_lineage(gone)
-        removed = removed.unionByName(gone)
-        edges = cut_lineage(
-            edges.join(gone.withColumnRenamed("rank", "earlier"), "earlier", "left_anti").join(
-                gone.withColumnRenamed("rank", "later"), "later", "left_anti"
-            )
-        )
-    return removed
-
-
 def near_dup_pairs(
     df: DataFrame, threshold: int = 3, text_key: str = "text", order_key: str = "doc_id", **how
 ) -> DataFrame:

@@ -1,7 +1,8 @@
 import random
 
 import pytest
-from corpusflow.operators import dedup
+from corpusflow.operators import dedup, graph
+from corpusflow.session import cut_lineage
 
 
 def near(a, b, k=3):
@@ -39,23 +40,69 @@ def test_flip_masks_cover_the_ball(spark):
     assert all(bin(m & (2**64 - 1)).count("1") <= 2 for m in masks)
 
 
-def test_first_kept_equals_a_scan_in_order(spark):
-    rng = random.Random(7)
-    edges = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(120)}
-    kept, removed = [], set()
-    for v in range(60):
-        if any((min(v, k), max(v, k)) in edges for k in kept):
+def scan(edges):
+    earlier = {}
+    for a, b in edges:
+        earlier.setdefault(b, []).append(a)
+    removed = set()
+    for v in sorted(earlier):
+        if any(e not in removed for e in earlier[v]):
             removed.add(v)
-        else:
-            kept.append(v)
+    return removed
+
+
+def ranks(df):
+    rows = [r["rank"] for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("budget", [1000, 40, 3])
+def test_first_kept_equals_a_scan_in_order(spark, budget):
+    rng = random.Random(7)
+    edges = {tuple(sorted(rng.sample(range(90), 2))) for _ in range(70)}
+    edges |= {(100, v) for v in range(101, 130)} | {(v, v + 1) for v in range(200, 230)}
     frame = spark.createDataFrame(sorted(edges), "earlier long, later long")
-    assert {r["rank"] for r in dedup.first_kept(frame).collect()} == removed
+    assert ranks(graph.first_kept(frame, budget)) == scan(edges)
+    assert ranks(graph.first_kept(frame.limit(0), budget)) == set()
+
+
+@pytest.mark.parametrize("budget", [1_000_000, 6_000])
+def test_a_long_chain_takes_few_checkpoints(spark, monkeypatch, budget):
+    """Above the budget, 5,000 links are split into components first."""
+    made = []
+    for module in (graph, dedup):
+        monkeypatch.setattr(module, "cut_lineage", lambda df: made.append(1) or cut_lineage(df))
+    edges = [(v, v + 1) for v in range(5_000)] + [(10_000 + v, 10_001 + v) for v in range(2_000)]
+    frame = spark.createDataFrame(edges, "earlier long, later long").repartition(4)
+    assert ranks(graph.first_kept(frame, budget)) == scan(edges)
+    assert len(made) < 10
+
+
+def test_components_equal_a_search(spark):
+    rng = random.Random(11)
+    edges = [tuple(rng.sample(range(300), 2)) for _ in range(170)] + [(500, v) for v in range(400, 500)] + [(5, 5)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    found = graph.components(spark.createDataFrame(edges, "a long, b long"), budget=20).collect()
+    roots = {}
+    for node in sorted(near):
+        todo = [node] if node not in roots else []
+        while todo:
+            v = todo.pop()
+            if v not in roots:
+                roots[v] = node
+                todo += near[v]
+    lone = {v for v in near if near[v] == {v}}
+    assert sorted((r.node, r.root) for r in found) == sorted((v, r) for v, r in roots.items() if v not in lone)
 
 
 def test_chain_keeps_every_other_text(spark):
     """A near B near C, but A not near C: the scan keeps A and C, unlike connected components."""
     frame = spark.createDataFrame([(0, 1), (1, 2)], "earlier long, later long")
-    assert [r["rank"] for r in dedup.first_kept(frame).collect()] == [1]
+    assert [r["rank"] for r in graph.first_kept(frame).collect()] == [1]
 
 
 def test_candidate_join_is_an_equi_join(spark):
