@@ -55,7 +55,7 @@ def load_jsonl(spark, sf):
 
 
 def _csv(spark, sf, sep, pattern):
-    path = scratch_path(spark, "delimited")
+    path = scratch_path(spark, "delimited files, 100%")
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
     events.write.options(header=True, escape='"', sep=sep).csv(path)
     files = readers.expand_paths(spark, f"{path}/{pattern}")
@@ -77,6 +77,27 @@ def load_tsv(spark, sf):
     return _csv(spark, sf, "\t", "*.csv")
 
 
+@query("load_quoted_csv", "SELECT doc_id, source, md5(text) AS text_md5 FROM documents")
+def load_quoted_csv(spark, sf):
+    """Texts with line feeds, quotes and commas in fields, in files that are read by ranges."""
+    path = scratch_path(spark, "quoted")
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    documents(spark, sf).select("doc_id", "text", "source").write.options(header=True, escape='"', **kept).csv(path)
+    loaded = readers.read_csv(spark, readers.expand_paths(spark, f"{path}/*.csv"))
+    return loaded.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.md5("text").alias("text_md5"))
+
+
+@query("load_json_arrays", "SELECT doc_id, source, md5(text) AS text_md5 FROM documents")
+def load_json_arrays(spark, sf):
+    """Files that hold one array of 200 documents each, read by ranges."""
+    path = scratch_path(spark, "json arrays")
+    record = F.to_json(F.struct("doc_id", "source", "text"))
+    files = documents(spark, sf).groupBy(F.expr("doc_id div 200")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    loaded = readers.read_json(spark, readers.expand_paths(spark, f"{path}/part-*"))
+    return loaded.select("doc_id", "source", F.md5("text").alias("text_md5"))
+
+
 @query("load_mixed_formats", "SELECT doc_id, md5(text) AS text_md5, length(text) AS chars FROM documents")
 def load_mixed_formats(spark, sf):
     root = scratch_path(spark, "mixed")
@@ -97,7 +118,7 @@ def load_mixed_formats(spark, sf):
 )
 def load_mixed_columns(spark, sf):
     """Parquet and delimited files that name and order their columns differently."""
-    path, docs, events = scratch_path(spark, "mixed"), documents(spark, sf), table(spark, sf, "events")
+    path, docs, events = scratch_path(spark, "mixed columns"), documents(spark, sf), table(spark, sf, "events")
     half = F.col("doc_id") % 2 == 0
     docs.filter(half).select("doc_id", "text").write.parquet(f"{path}/a")
     docs.filter(~half).select(F.col("text").alias("content"), "doc_id").write.parquet(f"{path}/b")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpusflow.functions.text import strip
 from corpusflow.operators.batching import shuffle as seeded_shuffle
 from corpusflow.operators.schema_ops import normalize_schema, validate_schema
+from corpusflow.session import scratch_path
+from corpusflow.sources.ranges import array_elements, csv_records
 from corpusflow.schemas import ALIASES, FORMAT_OF as _FORMAT_OF, MESSAGE, MESSAGES, SCHEMAS
 
 
@@ -83,29 +88,45 @@ def _message_columns(kind: str | None) -> set[str]:
     return names
 
 
+def _array_files(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """The files that begin with a bracket, and the others that hold anything; found by one distributed pass."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.substring(F.regexp_replace("value", r"\A[\s\x{FEFF}]+", ""), 1, 1).alias("mark"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+    marks = lines.filter("start = 0 AND mark <> ''").groupBy("path").agg(F.min_by("mark", "n").alias("mark")).collect()
+    found = sorted((unquote(r["path"]), r["mark"] == "[") for r in marks)  # the paths come as URIs
+    return [p for p, array in found if array], [p for p, array in found if not array]
+
+
 def read_json(
     spark: SparkSession, paths: list[str], schema: T.StructType | None = None, kind: str | None = None, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """JSON lines, or whole-file arrays for the files that start with a bracket.
+    """JSON lines, or whole-file arrays of objects for the files that start with a bracket.
 
-    ``.jsonl`` files are lines and are not opened to find out. A malformed record is an error unless
-    ``mode`` is ``DROPMALFORMED``; :func:`bad_json_lines` lists such lines. With a ``kind``, message
-    arrays are read as such: fields that are missing become null, and decoded ones stay JSON text with
-    their keys in the order of the file.
+    ``.jsonl`` files are lines and are not looked at to find out. Arrays are read by ranges, however they are laid
+    out, and written to the checkpoint folder as lines. A malformed record is an error unless ``mode`` is
+    ``DROPMALFORMED``; :func:`bad_json_lines` lists such lines. With a ``kind``, message arrays are read as
+    such: fields that are missing become null, and decoded ones stay JSON text with their keys in the
+    order of the file.
     """
-    whole = {p for p in paths if _suffix(p) != ".jsonl" and _first_bytes(spark, p, 1) == b"["}
+    lines = [p for p in paths if _suffix(p) == ".jsonl"]
+    unknown = [p for p in paths if _suffix(p) != ".jsonl"]
+    if unknown:
+        arrays, others = _array_files(spark, unknown)
+        if arrays:
+            written = scratch_path(spark, "arrays")
+            array_elements(spark, arrays).write.text(written)
+            others.append(written)
+        lines += others or ([] if lines else unknown)
     messages = _message_columns(kind)
-    parts = []
-    for group, multi in (([p for p in paths if p not in whole], False), ([p for p in paths if p in whole], True)):
-        if not group:
-            continue
-        reader = spark.read.options(multiLine=multi, mode=mode)
-        typed = schema
-        if typed is None and messages:
-            found = reader.json(group).schema
-            typed = T.StructType([T.StructField(f.name, MESSAGES if f.name in messages else f.dataType) for f in found.fields])
-        parts.append((reader.schema(typed) if typed else reader).json(group))
-    return _union(parts)
+    reader = spark.read.options(mode=mode)
+    if schema is None and messages:
+        found = reader.json(lines).schema
+        schema = T.StructType([T.StructField(f.name, MESSAGES if f.name in messages else f.dataType) for f in found.fields])
+    return (reader.schema(schema) if schema else reader).json(lines)
 
 
 def bad_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -114,31 +135,70 @@ def bad_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.filter((F.trim("value") != "") & F.try_parse_json("value").isNull())
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Files by their first line, found in one distributed pass over the files."""
-    if len(paths) == 1:
-        return {"": list(paths)}
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("n")
-    )
-    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).collect()
-    by_path = {re.sub(r"^file:/*", "/", r["path"]): r["header"] for r in first}
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(by_path.get(re.sub(r"^file:/*", "/", path), ""), []).append(path)
-    return groups
+# Types that a column of delimited files may have if all its values look like it, in this order.
+_LOOKS = (
+    ("int", r"\A\s*[+-]?\d+\s*\z"),
+    ("bigint", r"\A\s*[+-]?\d+\s*\z"),
+    ("double", r"\A\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z|\A(NaN|[+-]?Infinity)\z"),
+    ("date", r"\A\d{4}-\d{2}-\d{2}\z"),
+    ("timestamp", r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"),
+    ("boolean", r"\A(?i:true|false)\z"),
+)
+
+
+def _inferred(rows: DataFrame) -> dict[str, str]:
+    """Types of text columns by all their values, in one pass; columns without values are text."""
+    checks = []
+    for i, name in enumerate(rows.columns):
+        value = F.col(f"`{name}`")
+        checks.append(F.count(value).alias(f"n{i}"))
+        for kind, look in _LOOKS:
+            checks.append(F.count_if(value.rlike(look) & value.try_cast(kind).isNotNull()).alias(f"{kind}{i}"))
+    counts = rows.agg(*checks).first()
+    return {
+        name: next((kind for kind, _ in _LOOKS if counts[f"n{i}"] and counts[f"{kind}{i}"] == counts[f"n{i}"]), "string")
+        for i, name in enumerate(rows.columns)
+    }
+
+
+def _column_names(header: str, sep: str) -> list[str]:
+    names = next(csv.reader(io.StringIO(header, newline=""), delimiter=sep))
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
 def read_csv(
     spark: SparkSession, paths: list[str], sep: str = ",", schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """Delimited files with headers. Files are read together if their headers are the same, and joined by
-    column names. Without ``multi_line``, fields cannot hold line feeds, but large files are split."""
+    """Delimited files with headers, read by ranges and joined by column names.
+
+    Files may have different headers, which are matched to them by their own paths. A quoted field may hold line
+    feeds, and large files are split nevertheless. Without ``multi_line``, a record is a line, which saves
+    a pass in Python. Types are those of a ``schema``, by name, else what all values look like. A record with more
+    or fewer fields than its header is an error.
+    """
+    found, firsts = csv_records(spark, paths, sep, multi_line)
+    headers = sorted(r["first"] for r in firsts.select("first").distinct().collect())  # one for each layout
+    if not headers:
+        return spark.createDataFrame([], schema or T.StructType())
     parts = []
-    for group in _headers(spark, paths).values():
-        reader = spark.read.options(header=True, multiLine=multi_line, escape='"', sep=sep, mode="FAILFAST")
-        reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-        parts.append(reader.csv(group))
+    for header in headers:
+        names = _column_names(header, sep)
+        own = found
+        if len(headers) > 1:
+            own = found.join(firsts.filter(F.col("first") == header).select("path"), "path", "left_semi")
+        body = own.filter(~((F.col("start") == 0) & (F.col("k") == 0)))
+        fields = ", ".join(f"c{i} string" for i in range(len(names)))
+        options = {"sep": sep, "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+        rows = body.select(F.from_csv("record", fields, options).alias("r")).select(
+            *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)]
+        )
+        if schema is None:
+            types = _inferred(rows)
+            parts.append(rows.select(*[F.col(f"`{n}`").cast(types[n]).alias(n) for n in names]))
+        else:
+            have = {f.name: F.col(f"`{f.name}`") if f.name in names else F.lit(None) for f in schema.fields}
+            parts.append(rows.select(*[have[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]))
     return _union(parts)
 
 
@@ -153,11 +213,13 @@ def read_text(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.filter(F.length("text") > 0)
 
 
-def _read(spark: SparkSession, fmt: str, paths: list[str], kind: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+def _read(
+    spark: SparkSession, fmt: str, paths: list[str], kind: str | None = None, mode: str = "FAILFAST", multi_line: bool = True
+) -> DataFrame:
     if fmt == "json":
         return read_json(spark, paths, kind=kind, mode=mode)
     if fmt in ("csv", "tsv"):
-        return read_csv(spark, paths, "\t" if fmt == "tsv" else ",")
+        return read_csv(spark, paths, "\t" if fmt == "tsv" else ",", multi_line=multi_line)
     return read_parquet(spark, paths) if fmt == "parquet" else read_text(spark, paths)
 
 
@@ -224,6 +286,7 @@ class CorpusReader:
         process_fn: Callable[[DataFrame], DataFrame] | None = None,
         strict: bool = False,
         mode: str = "FAILFAST",
+        multi_line: bool = True,
     ) -> DataFrame:
         """All files of ``paths`` as one table in the kind's canonical columns and types.
 
@@ -231,7 +294,7 @@ class CorpusReader:
         DataFrame, so per-row functions go through ``mapInPandas`` or column expressions. Where several
         columns may hold a field, a row takes the first that is set. Shuffling orders rows by a hash of
         their content and needs no row key. A malformed JSON record is an error unless ``mode`` is
-        ``DROPMALFORMED``.
+        ``DROPMALFORMED``. Without ``multi_line``, fields of delimited files hold no line feeds.
         """
         files = expand_paths(self.spark, paths)
         if not files:
@@ -241,7 +304,7 @@ class CorpusReader:
             groups.setdefault(detect_format(self.spark, path), []).append(path)
         parts = []
         for fmt, members in groups.items():
-            part = conform(normalize_schema(_read(self.spark, fmt, members, kind, mode), kind), kind)
+            part = conform(normalize_schema(_read(self.spark, fmt, members, kind, mode, multi_line), kind), kind)
             part = validate_schema(part, kind, strict)
             parts.append(process_fn(part) if process_fn else part)
         merged = _union(parts)
