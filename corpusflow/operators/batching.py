@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.text import hex_long, shuffle_key
+from corpusflow.session import cut_lineage
 
 # Rows are spread over 256 * 256 hash buckets. Only the bucket counts are broadcast: a fixed size.
 _FAN = 256
@@ -15,6 +16,23 @@ def shuffle(df: DataFrame, seed: int = 42, key: str = "doc_id") -> DataFrame:
     return df.withColumn("_s", shuffle_key(F.col(key), seed)).orderBy("_s", key).drop("_s")
 
 
+def with_positions(df: DataFrame, name: str = "idx") -> DataFrame:
+    """Add each row's place (from 0) in the order that ``df`` has.
+
+    Rows count within their partition, and the partitions' sizes, one row each, are summed up and broadcast. The
+    rows are stored first, so that a partition read anew holds the same ones.
+    """
+    placed = cut_lineage(df.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    # A row for each partition.
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    place = F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1)
+    return joined.withColumn(name, place).drop("_id", "_part", "_before")
+
+
 def _bucket_offsets(buckets: DataFrame) -> DataFrame:
     """Rows before each bucket, from counts per bucket, without sorting the buckets in one task."""
     outer = F.floor(F.col("_b") / _FAN)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions import parse, score
+from corpusflow.operators.batching import with_positions
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,83 @@ def validate_calls(
     return df.withColumns({"n_calls": F.size(calls), "n_valid": F.size(valid)})
 
 
+def compile_registry(registry: DataFrame) -> DataFrame:
+    """``name, required, not_null, types`` of a registry table ``name, parameters_json[, not_null]``.
+
+    ``parameters_json`` is the JSON schema of a tool's arguments; of it count ``required`` and the ``type`` of each
+    property. ``not_null`` lists arguments that may be empty but not null.
+    """
+    kind = "struct<properties:map<string,struct<type:string>>,required:array<string>>"
+    schema = F.from_json("parameters_json", kind)
+    none = F.array().cast("array<string>")
+    return registry.select(
+        "name",
+        F.coalesce(schema["required"], none).alias("required"),
+        (F.coalesce("not_null", none) if "not_null" in registry.columns else none).alias("not_null"),
+        F.coalesce(F.map_entries(F.transform_values(schema["properties"], lambda _, p: p["type"])), F.array().cast("array<struct<key:string,value:string>>")).alias("types"),
+    )
+
+
+def _is_of_type(value: Column, kind: Column) -> Column:
+    """Whether a JSON text is of a type of JSON schema; types that it does not know fit everything."""
+    number = value.rlike(r"^-?[0-9]")
+    whole = value.rlike(r"^-?[0-9]+(\.0+)?$")
+    checks = {
+        "string": value.startswith('"'), "object": value.startswith("{"), "array": value.startswith("["),
+        "boolean": value.isin("true", "false"), "null": value == "null", "number": number, "integer": whole,
+    }
+    fits = F.lit(True)
+    for name, check in checks.items():
+        fits = F.when(kind == name, check).otherwise(fits)
+    return fits
+
+
+def validate_by_registry(
+    df: DataFrame,
+    registry: DataFrame,
+    key: str,
+    calls: str = "calls",
+    offered: str = "offered",
+    predicates: dict[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
+    """Add ``n_calls`` and ``n_valid``, by the rules of a registry table of any size (see :func:`compile_registry`).
+
+    A call is valid if its tool was offered with the row and is registered, its required arguments are given, the
+    ``not_null`` ones are not null, each argument that is given has its declared type, and the tool's predicate
+    (of the arguments as a VARIANT), if it has one, holds. ``key`` tells rows apart, and names are unique.
+    """
+    each = df.select(key, F.col(offered).alias("_offered"), F.explode(calls).alias("_call"))
+    parsed = each.select(key, "_offered", F.col("_call.name").alias("name"), F.try_parse_json(F.col("_call.decoded")).alias("_v"))
+    joined = parsed.join(compile_registry(registry), "name", "left")
+
+    def argument(name: Column) -> Column:
+        return F.to_json(F.try_variant_get(F.col("_v"), F.concat(F.lit("$['"), name, F.lit("']")), "variant"))
+
+    def given(value: Column) -> Column:
+        return value.isNotNull() & (value != "null")
+
+    ok = F.forall("required", lambda n: F.coalesce(score.truthy(argument(n)), F.lit(False)))
+    ok &= F.forall("not_null", lambda n: F.coalesce(given(argument(n)), F.lit(False)))
+    ok &= F.forall("types", lambda t: ~given(argument(t["key"])) | F.coalesce(_is_of_type(argument(t["key"]), t["value"]), F.lit(True)))
+    for name, holds in (predicates or {}).items():
+        ok &= (F.col("name") != name) | F.coalesce(holds(F.col("_v")), F.lit(False))
+    valid = F.coalesce(ok & F.array_contains("_offered", F.col("name")), F.lit(False))
+    counts = joined.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n_calls"), F.count_if(valid).cast("int").alias("n_valid"))
+    none = F.lit(0)
+    return df.join(counts, key, "left").withColumns({c: F.coalesce(c, none) for c in ("n_calls", "n_valid")})
+
+
+def join_prompts(prompts: DataFrame, completions: DataFrame, n: int) -> DataFrame:
+    """Each completion with its prompt: the completion in place i belongs to the prompt in place i // n.
+
+    Places are those of the rows in the tables as they are ordered, so both must have an order: that of one
+    file, or of a sort. They are numbered by partition, without one window over all. Completions beyond the
+    last prompt are an error in the data and are left out, as are prompts without one.
+    """
+    placed = with_positions(completions, "_at").withColumn("_prompt", F.expr(f"_at div {n}")).drop("_at")
+    return with_positions(prompts, "_prompt").join(placed, "_prompt").drop("_prompt")
+
+
 def merge_deltas(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """Join the fragments of each streamed tool call in arrival order."""
     parts = F.array_sort(F.collect_list(F.struct(F.col(order), "id", "name", "arguments")))

@@ -6,12 +6,15 @@ sample are bounded by the length of a response; everything wider is aggregated,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from corpusflow.functions.skew import attach, group_stats, ordered_index
 from corpusflow.functions.text import bind
+from corpusflow.session import cut_lineage
 
-_LANE = 256  # positions per block of the discounted sums
+_RADIX = 8  # by how much a step of a discounted sum widens it
 
 
 def group_advantage(df: DataFrame, group: list[str], reward: str = "reward", spread_by: list[str] = ["sample_id"]) -> DataFrame:
@@ -164,45 +167,46 @@ def place_reward(tokens: DataFrame, rewards: DataFrame) -> DataFrame:
     )
 
 
+def discounted_rest(rate: float, column: Column, along: WindowSpec) -> Iterator[Column]:
+    """Steps of the sum of ``rate**k`` times the value k rows later, k from 0; each is applied to the one before.
+
+    The maps x -> value + rate * x compose associatively: from sums over s rows, one step makes sums over
+    ``_RADIX * s`` rows. There are as many steps as it takes for the discount to vanish, and no division.
+    """
+    size = 1
+    while (discount := rate**size) > 0:
+        yield sum((F.coalesce(F.lead(column, k * size).over(along), F.lit(0.0)) * discount**k for k in range(1, _RADIX)), column)
+        size *= _RADIX
+
+
 def gae(df: DataFrame, gamma: float = 1.0, lam: float = 0.95) -> DataFrame:
     """Add ``advantage`` and ``return`` from ``token_reward`` and ``value``.
 
-    The advantage is a discounted sum of later errors. It is summed within blocks of rows, where the
-    discount cannot underflow, and the blocks of a sample are chained by their starts. Rows count by
-    their order within the sample, so positions may start anywhere and leave gaps.
+    The advantage is a discounted sum of later errors, by ``gamma * lam`` (0 to 1). Rows count by their order
+    within the sample, so positions may start anywhere and leave gaps. All windows are over the same
+    partitioning and order, so rows are shuffled and sorted once.
     """
-    c = gamma * lam
+    rate = gamma * lam
+    if not 0 <= rate <= 1:
+        raise ValueError("gamma * lam must be between 0 and 1")
     along = Window.partitionBy("sample_id").orderBy("pos")
-    step_no = F.row_number().over(along) - 1
     following = F.coalesce(F.lead("value").over(along), F.lit(0.0))
-    delta = F.col("token_reward") + gamma * following - F.col("value")
-    rows = df.withColumns({"_d": delta, "_b": F.floor(step_no / _LANE), "_o": step_no % _LANE})
-    rest = Window.partitionBy("sample_id", "_b").orderBy("pos").rowsBetween(0, Window.unboundedFollowing)
-    power = F.pow(F.lit(c), F.col("_o"))
-    local = F.sum(F.col("_d") * power).over(rest) / power
-    rows = rows.withColumn("_local", local)
-    # The window above covers _b; a sample has one such row per block, 1/256 of its length.
-    heads = rows.filter("_o = 0").groupBy("sample_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_b", "_local"))), lambda h: h["_local"]).alias("_heads")
-    )
-    step = c**_LANE
-    # Value at the start of block k: its own sum plus the discounted value of the next block.
-    chained = F.aggregate(
-        F.reverse("_heads"),
-        F.array().cast("array<double>"),
-        lambda acc, h: F.concat(F.array(h + step * F.coalesce(F.get(acc, F.lit(0)), F.lit(0.0))), acc),
-    )
-    starts = heads.select("sample_id", chained.alias("_starts"))
-    joined = rows.join(starts, "sample_id")
-    carry = F.coalesce(F.get("_starts", (F.col("_b") + 1).cast("int")), F.lit(0.0))
-    advantage = F.col("_local") + F.pow(F.lit(c), F.lit(_LANE) - F.col("_o")) * carry
-    return joined.withColumn("advantage", advantage).withColumn("return", F.col("advantage") + F.col("value")).drop(
-        "_d", "_b", "_o", "_local", "_starts"
-    )
+    out = df.withColumn("advantage", F.col("token_reward") + gamma * following - F.col("value"))
+    if rate == 1:
+        later = Window.partitionBy("sample_id").orderBy(F.desc("pos"))
+        out = out.withColumn("advantage", F.sum("advantage").over(later.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        for step in discounted_rest(rate, F.col("advantage"), along):
+            out = out.withColumn("advantage", step)
+    return out.withColumn("return", F.col("advantage") + F.col("value"))
 
 
 def whiten(df: DataFrame, column: str = "advantage", mask: str = "mask", eps: float = 1e-8) -> DataFrame:
-    """Centre and scale ``column`` over the masked rows of the whole batch; zero outside the mask."""
+    """Centre and scale ``column`` over the masked rows of the whole batch; zero outside the mask.
+
+    The rows are stored once, and read for the moments and for the result.
+    """
+    df = cut_lineage(df)
     held = F.when(F.col(mask) == 1, F.col(column))
     moments = df.agg(F.struct(F.avg(held).alias("mean"), F.var_pop(held).alias("var")).alias("m")).scalar()
     rows = df.withColumn("_m", moments)
@@ -210,6 +214,15 @@ def whiten(df: DataFrame, column: str = "advantage", mask: str = "mask", eps: fl
     return rows.withColumn(column, scaled).drop("_m")
 
 
+def batch_loss(losses: DataFrame, batches: DataFrame, sample_key: str = "sample_id", batch_key: str = "batch_id") -> DataFrame:
+    """Mean over each batch of its samples' mean losses, which count alike whatever their lengths.
+
+    ``batches`` has one row per sample and batch that it is in; samples without a loss are not counted.
+    """
+    placed = batches.select(sample_key, batch_key).join(losses.select(sample_key, "loss"), sample_key)
+    return placed.groupBy(batch_key).agg(F.count("loss").alias("n_samples"), F.avg("loss").alias("loss"))
+
+
 def dpo_loss(df: DataFrame, beta: float = 0.15) -> DataFrame:
     """Preference margin and loss per pair from ``(pair_id, side, mask, logp_policy, logp_ref)`` tokens."""
     def total(side, column):

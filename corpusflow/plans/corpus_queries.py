@@ -545,7 +545,7 @@ _PLACED = """WITH p AS (SELECT doc_id, lang, row_number() OVER (ORDER BY md5('42
 @query("shuffle_documents", _PLACED.format(epoch=0) + " SELECT doc_id, lang, idx FROM p")
 def shuffle_documents(spark, sf):
     docs = documents(spark, sf).select("doc_id", "lang")
-    return batching.plan_batches(docs, 42, 0).select("doc_id", "lang", "idx")
+    return batching.with_positions(batching.shuffle(docs, 42)).select("doc_id", "lang", "idx")
 
 
 @query(

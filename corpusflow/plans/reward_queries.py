@@ -179,6 +179,35 @@ def validate_calls(spark, sf):
     return rewards.validate_calls(parsed, SPECS).select("event_id", "n_calls", "n_valid")
 
 
+_REGISTERED = """(list_contains(offered, name) AND CASE name
+  WHEN 'error' THEN json_extract(decoded, '$.k') IS NOT NULL
+  WHEN 'signup' THEN json_extract(decoded, '$.k')::VARCHAR <> '0'
+  WHEN 'view' THEN json_extract(decoded, '$.k')::VARCHAR <> '0' AND json_extract(decoded, '$.k')::BIGINT % 2 = 0
+  ELSE false END)"""
+
+
+@query(
+    "validate_by_registry",
+    f"""WITH {COMPLETIONS}, {_calls_sql('comp', 'response')}
+SELECT event_id, count(name)::INTEGER AS n_calls, count(*) FILTER ({_REGISTERED})::INTEGER AS n_valid
+FROM comp LEFT JOIN calls USING (event_id) GROUP BY event_id""",
+)
+def validate_by_registry(spark, sf):
+    """Tools named by event types and sources; clicks declare a type that no call has, views an even number."""
+    tool = F.col("name")
+    kind = F.when(tool == "click", "string").otherwise("integer")
+    needed = F.when(tool == "error", F.lit("[]")).otherwise(F.lit('["k"]'))
+    schema = F.format_string('{"type": "object", "properties": {"k": {"type": "%s"}}, "required": %s}', kind, needed)
+    names = table(spark, sf, "events").filter("event_type <> 'purchase'").select(F.col("event_type").alias("name")).unionByName(
+        table(spark, sf, "documents").select(F.col("source").alias("name"))
+    )
+    listed = F.when(tool == "error", F.array(F.lit("k"))).otherwise(F.array().cast("array<string>"))
+    registry = names.distinct().select("name", schema.alias("parameters_json"), listed.alias("not_null"))
+    even = {"view": lambda v: F.try_variant_get(v, "$.k", "bigint") % 2 == 0}
+    parsed = completions(spark, sf).withColumn("calls", parse.parse_tool_calls(F.col("response")))
+    return rewards.validate_by_registry(parsed, registry, "event_id", predicates=even).select("event_id", "n_calls", "n_valid")
+
+
 def _count(x: str, tag: str) -> str:
     return f"((length({x}) - length(replace({x}, '{tag}', ''))) // {len(tag)})"
 
@@ -267,6 +296,23 @@ def chat_reward(spark, sf):
     return scored.select("event_id", F.round("reward", 6).alias("reward"))
 
 
+@query(
+    "chat_reward_prompts",
+    f"""WITH {COMPLETIONS}, a AS (SELECT *, CASE WHEN contains(response, '</think>') THEN {_AFTER} ELSE response END AS ans FROM comp),
+{_rep_sql('a', 'event_id', 'ans')},
+c AS (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 8 AS at FROM events),
+p AS (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS at FROM customer)
+SELECT c_custkey AS prompt_id, c_name AS prompt, event_id, round(({_format_sql('response', 20)} - rep + {_CLIPPED})::DOUBLE, 6) AS reward
+FROM a JOIN rep USING (event_id) JOIN c USING (event_id) JOIN p ON p.at = c.at""",
+)
+def chat_reward_prompts(spark, sf):
+    """Eight completions to each prompt, which two tables hold in the same order."""
+    prompts = table(spark, sf, "customer").orderBy("c_custkey").select(F.col("c_custkey").alias("prompt_id"), F.col("c_name").alias("prompt"))
+    paired = rewards.join_prompts(prompts, completions(spark, sf).orderBy("event_id"), 8)
+    scored = rewards.chat_reward(paired, scorer=F.col("scorer"))
+    return scored.select("prompt_id", "prompt", "event_id", F.round("reward", 6).alias("reward"))
+
+
 _FINAL = "CASE WHEN unfinished THEN '' WHEN contains(ans, '</tool_call>') THEN list_last(string_split(ans, '</tool_call>')) ELSE ans END"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.functions.skew import attach
 from corpusflow.functions.text import words
-from corpusflow.operators import metrics, rollouts
+from corpusflow.operators import batching, metrics, rollouts
 from corpusflow.plans import sqlparts as q
 from corpusflow.plans.registry import query, table
 from corpusflow.session import cut_lineage
@@ -216,16 +216,46 @@ def _surrogate(spark, sf, kind):
     return _rounded(rollouts.surrogate(token_logps(spark, sf), scored, kind), "loss", digits=5)
 
 
-@query("surrogate_grpo", _surrogate_sql(f"least({_RATIO} * advantage, greatest(least({_RATIO}, 1.2), 0.8) * advantage)"))
+_GRPO = f"least({_RATIO} * advantage, greatest(least({_RATIO}, 1.2), 0.8) * advantage)"
+_CISPO = f"least({_RATIO}, 5.0) * advantage * lp"
+
+
+@query("surrogate_grpo", _surrogate_sql(_GRPO))
 def surrogate_grpo(spark, sf):
     return _surrogate(spark, sf, "grpo")
 
 
-@query("surrogate_cispo", _surrogate_sql(f"least({_RATIO}, 5.0) * advantage * lp"))
+@query("surrogate_cispo", _surrogate_sql(_CISPO))
 def surrogate_cispo(spark, sf):
     return _surrogate(spark, sf, "cispo")
 
 
+def _batch_sql(gain: str) -> str:
+    """Losses per sample first, then their mean per batch of the shuffled samples."""
+    return f"""WITH {_TOKENS}, {_ADVANTAGE},
+l AS (SELECT sample_id, m, -({gain} - 0.1 * {_K3}) AS x FROM tl JOIN adv USING (sample_id)),
+s AS (SELECT sample_id, sum(x * m) / {_M} AS loss FROM l GROUP BY sample_id),
+b AS (SELECT doc_id AS sample_id, (row_number() OVER (ORDER BY md5('42:0:' || doc_id), doc_id) - 1) // 32 AS batch_id FROM documents)
+SELECT batch_id, count(*) AS n_samples, round(avg(loss), 5) + 0.0 AS loss FROM s JOIN b USING (sample_id) GROUP BY batch_id"""
+
+
+def _surrogate_batches(spark, sf, kind):
+    scored = rollouts.group_advantage(_samples(spark, sf), ["lang", "source"])
+    samples = table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"))
+    batches = batching.plan_batches(samples, 42, 0, 32, key="sample_id")
+    return _rounded(rollouts.batch_loss(rollouts.surrogate(token_logps(spark, sf), scored, kind), batches), "loss", digits=5)
+
+
+@query("surrogate_grpo_batches", _batch_sql(_GRPO))
+def surrogate_grpo_batches(spark, sf):
+    return _surrogate_batches(spark, sf, "grpo")
+
+
+@query("surrogate_cispo_batches", _batch_sql(_CISPO))
+def surrogate_cispo_batches(spark, sf):
+    return _surrogate_batches(spark, sf, "cispo")
+
+
 def _rewarded(spark: SparkSession, sf: str) -> DataFrame:
     return rollouts.place_reward(token_logps(spark, sf), _samples(spark, sf))
 
@@ -257,6 +287,24 @@ def gae(spark, sf):
     return _rounded(out, "advantage", "return", digits=5).select("sample_id", "pos", "advantage", "return")
 
 
+@query(
+    "gae_discounts",
+    f"""WITH {_TOKENS}, {_PLACED},
+delta AS (SELECT *, r + coalesce(lead(value) OVER w, 0) - value AS d FROM placed WINDOW w AS (PARTITION BY sample_id ORDER BY pos)),
+s AS (SELECT sample_id, pos, d, sum(d) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS d1,
+  {" + ".join(f"coalesce(lead(d, {k}) OVER w, 0) * 0.01::DOUBLE ** {k}" for k in range(9))} AS d01
+  FROM delta WINDOW w AS (PARTITION BY sample_id ORDER BY pos))
+SELECT sample_id, pos::INTEGER AS pos, lam::DOUBLE AS lam, round(CASE lam WHEN 0 THEN d WHEN 1 THEN d1 ELSE d01 END, 5) + 0.0 AS advantage
+FROM s, (VALUES (0.0), (0.01), (1.0)) t(lam)""",
+)
+def gae_discounts(spark, sf):
+    """Discounts at and near the ends, where powers vanish or don't fall at all."""
+    paid = cut_lineage(_rewarded(spark, sf).select("sample_id", "pos", "token_reward", "value"))
+    outs = [rollouts.gae(paid, lam=lam).withColumn("lam", F.lit(lam)) for lam in (0.0, 0.01, 1.0)]
+    every = outs[0].unionByName(outs[1]).unionByName(outs[2])
+    return _rounded(every, "advantage", digits=5).select("sample_id", "pos", "lam", "advantage")
+
+
 @query(
     "whiten_advantages",
     f"""WITH {_TOKENS}, {_GAE}, mo AS (SELECT avg(a) FILTER (m = 1) AS mu, var_pop(a) FILTER (m = 1) AS v FROM gae)
