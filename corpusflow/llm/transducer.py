@@ -6,9 +6,10 @@ whole text would also be the first one across it in the pair. So a nondeterminis
 bytes along the vocabulary's trie, end a token at any node that is one if it may follow the token
 before, and start anew at the root. After each prefix exactly one of its runs has just ended a token
 (that is the prefix's own encoding); the others are inside one. A deterministic state is the set of
-these runs, each with the tokens that it has ended and not yet given out. What all runs agree on is
-given out, so the output lags behind by a bounded number of bytes (the longest token). States and
-transitions are made when they are first needed.
+these runs, each known by its last token and its node; a transition gives the token that ends with its
+byte. States and transitions are made when they are first needed. The token that ended at a place tells
+where the one before it ended, so the encoding is read backwards from the end. Of a long piece, what all
+runs of a state agree on is given out as it goes, which is behind by a bounded number of bytes.
 """
 
 from __future__ import annotations
@@ -27,17 +28,18 @@ from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
 
 # What a Python worker holds at most before it starts anew; more only saves time.
-MAX_STATES = 190_000
+MAX_STATES = 400_000
 MAX_PAIRS = 300_000
-MAX_PIECES = 250_000
+MAX_PIECES = 200_000
+# Bytes of a piece after which what is certain is given out.
+PORTION = 4_096
 # Token ids that the decoder takes at a time.
 DECODE_CHUNK = 65_536
 ROOT = 0
 NEVER = 1 << 62
-RUNS = -1  # the key of a state's runs, beside the bytes
 
-# The runs of a state, one after the other: how many tokens it holds back, its last token (-1: none), its
-# node in the trie, and the tokens held back. The run that has just ended a token comes last.
+# The runs of a state: the last token and the node of each, the ones inside a token first. The token that
+# the last run has just ended (-1: none) comes at the end; its node is the root.
 Runs = tuple[int, ...]
 
 
@@ -71,8 +73,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: data for data, rank in ranks.items()}
+        self.size = array("i", [len(self.token.get(i, b"")) for i in range(max(self.token) + 1)])
+        self.shift = len(self.size).bit_length()
         self.children: dict[int, int] = {}  # node * 256 + byte -> node
         self.ended = array("i", [-1])  # for each node, the token that ends there
+        self.depth = array("i", [0])
         self.inner = bytearray(1)  # for each node, whether longer tokens go on from it
         for data, rank in ranks.items():
             node = ROOT
@@ -81,18 +86,28 @@ class Transducer:
                 key = node << 8 | byte
                 if key not in self.children:
                     self.children[key] = len(self.ended)
+                    self.depth.append(self.depth[node] + 1)
                     self.ended.append(-1)
                     self.inner.append(0)
                 node = self.children[key]
             self.ended[node] = rank
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        """Start anew, with the start state only. A state maps a byte to the next state and to what is given out."""
-        runs: Runs = (0, -1, ROOT)
-        self.start: dict = {RUNS: runs}
-        self.states: dict[Runs, dict] = {runs: self.start}
+        """Start anew, with the start state (number 0) only."""
+        self.runs: list[Runs] = [(-1,)]
+        self.numbers: dict[Runs, int] = {(-1,): 0}
+        # state * 256 + byte -> next state, and in the lower bits the token that ends there
+        self.moves: dict[int, int] = {}
+
+    def number(self, runs: Runs) -> int:
+        """The state of some runs."""
+        found = self.numbers.get(runs)
+        if found is None:
+            found = self.numbers[runs] = len(self.runs)
+            self.runs.append(runs)
+        return found
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether the merges leave ``last`` (-1: nothing) and ``token`` as they are, side by side."""
@@ -106,68 +121,72 @@ class Transducer:
         self.follows[last << 32 | token] = known
         return known
 
-    def advance(self, runs: Runs, byte: int) -> tuple[Runs, tuple[int, ...]]:
-        """The runs after one more byte, and the tokens that all of them agree on by then."""
-        after, ended = [], None
+    def step(self, state: int, byte: int) -> int:
+        """A transition, made the first time that it is taken."""
+        runs = self.runs[state]
+        after: list[int] = []
+        ended = -1
         child_of, token_at, inner, known = self.children.get, self.ended, self.inner, self.follows.get
-        at, agreed = 0, NEVER
-        while at < len(runs):
-            n, last, node = runs[at], runs[at + 1], runs[at + 2]
-            begin, at = at + 3, at + 3 + n
-            child = child_of(node << 8 | byte)
+        for at in range(0, len(runs), 2):
+            last = runs[at]
+            child = child_of((runs[at + 1] if at + 1 < len(runs) else ROOT) << 8 | byte)
             if child is None:
                 continue
-            held = runs[begin:at]
             if inner[child]:
-                after.append((last, child, held))
-                if n < agreed:
-                    agreed = n
+                after += (last, child)
             token = token_at[child]
-            if ended is None and token >= 0:
+            if ended < 0 <= token:
                 fits = known(last << 32 | token)
                 if self.may_follow(last, token) if fits is None else fits:
-                    ended = (token, ROOT, (*held, token))
-        if ended is None:
+                    ended = token
+        if ended < 0:
             raise ValueError("the vocabulary lacks a byte")
         after.append(ended)
-        agreed = min(agreed, len(ended[2]))
-        given = ended[2][:agreed]
-        while agreed and any(held[:agreed] != given for _, _, held in after):
-            agreed -= 1
-            given = given[:agreed]
-        flat: list[int] = []
-        for last, node, held in after:
-            flat += (len(held) - agreed, last, node)
-            flat += held[agreed:] if agreed else held
-        return tuple(flat), given
-
-    def step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        """A transition, made the first time that it is taken."""
-        runs, given = self.advance(state[RUNS], byte)
-        after = self.states.get(runs)
-        if after is None:
-            after = self.states[runs] = {RUNS: runs}
-        state[byte] = found = (after, given)
-        return found
+        self.moves[state << 8 | byte] = move = self.number(tuple(after)) << self.shift | ended
+        return move
+
+    def trace(self, ended: list[int], at: int) -> list[int]:
+        """The tokens of the first ``at`` bytes, from the tokens that end after each byte."""
+        out, size = [], self.size
+        while at > 0:
+            token = ended[at - 1]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
+        return out
+
+    def agreed(self, ended: list[int], state: int) -> int:
+        """Up to where the encodings that are still possible are the same."""
+        runs = self.runs[state]
+        starts = {len(ended), *(len(ended) - self.depth[node] for node in runs[1::2])}
+        while len(starts) > 1:
+            last = max(starts)
+            starts.remove(last)
+            starts.add(last - self.size[ended[last - 1]])
+        return starts.pop()
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self.states) >= MAX_STATES:
-            self.forget()
-        out: list[int] = []
-        state = self.start
-        for byte in piece:
-            state, given = state.get(byte) or self.step(state, byte)
-            if given:
-                out += given
-        runs = state[RUNS]
-        # The last run has just ended a token, and what it holds back is the rest: it ends the tuple.
-        at = 0
-        while at + 3 + runs[at] < len(runs):
-            at += 3 + runs[at]
-        out += runs[at + 3 :]
-        return out
+        state, out, ended = 0, [], []
+        shift, mask = self.shift, (1 << self.shift) - 1
+        for begin in range(0, len(piece), PORTION):
+            if len(self.runs) >= MAX_STATES:
+                runs = self.runs[state]
+                self.forget()
+                state = self.number(runs)
+            if ended:
+                certain = self.agreed(ended, state)
+                out += self.trace(ended, certain)
+                del ended[:certain]
+            moves = self.moves.get
+            for byte in piece[begin : begin + PORTION]:
+                move = moves(state << 8 | byte)
+                if move is None:
+                    move = self.step(state, byte)
+                state = move >> shift
+                ended.append(move & mask)
+        return out + self.trace(ended, len(ended))
 
 
 class PieceIds(dict):
@@ -176,11 +195,15 @@ class PieceIds(dict):
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MAX_PIECES:
+            self.old = dict(self)
             self.clear()
-        packed = array("i", self.transducer.encode(piece.encode())).tobytes()
+        packed = self.old.get(piece)
+        if packed is None:
+            packed = array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) < 100:
             self[piece] = packed
         return packed
