@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.llm.tables import fresh, shuffle_partitions, stored, whole_text
 
@@ -92,14 +92,22 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """``df`` without the rows that :func:`exact_duplicates` drops; all columns stay as they are."""
-    ident, digest = fresh(df, "dropped_id", "dropped_digest")
-    dropped = (
-        exact_duplicates(df, id_col, text_col, keep)
-        .filter(~F.col("kept"))
-        .select(F.col("doc_id").alias(ident), F.col("text_sha256").alias(digest))
-        .distinct()
-    )
-    dropped = stored(dropped, "exact-dropped")
-    same = df[id_col].eqNullSafe(dropped[ident]) & (F.sha2(whole_text(text_col), 256) == dropped[digest])
-    return df.join(dropped, same, "left_anti")
+    """``df`` with one row of each distinct text, that of the document which :func:`exact_duplicates` keeps.
+
+    All columns stay as they are. Of rows that repeat both id and text, the one with the smallest other
+    columns stays; these few are told apart by partial aggregation, so a row repeated very often moves once per
+    task. Nulls, empty texts and empty tables are as there.
+    """
+    ident, digest, whole = fresh(df, "judged_id", "judged_digest", "whole_row")
+    judged = exact_duplicates(df, id_col, text_col, keep).groupBy("doc_id", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n"))
+    odd = stored(judged.filter("not kept or n > 1").select(F.col("doc_id").alias(ident), F.col("text_sha256").alias(digest), "kept"), "exact-dropped")
+
+    def same(some: DataFrame) -> Column:
+        return df[id_col].eqNullSafe(some[ident]) & (F.sha2(whole_text(text_col), 256) == some[digest])
+
+    single = df.join(odd, same(odd), "left_anti")
+    repeated = odd.filter("kept").drop("kept")
+    if repeated.isEmpty():
+        return single
+    groups = df.join(repeated, same(repeated)).groupBy(ident, digest).agg(F.min(F.struct(*df.columns)).alias(whole))
+    return single.unionByName(groups.select(f"{whole}.*"))

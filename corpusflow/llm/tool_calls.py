@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,46 +16,109 @@ from corpusflow.llm.tables import stored
 # A string argument ``$name`` stands for the result of the call with that identifier.
 REFERENCE = re.compile(r"\$([A-Za-z0-9_-]+)")
 KINDS = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
+# Keywords of JSON schema that are checked, and those that say nothing about values.
+CHECKED = frozenset(
+    "type enum minimum maximum minLength maxLength pattern required properties additionalProperties items minItems maxItems".split()
+)
+NOTES = frozenset("title description default examples $schema $id $comment".split())
+# Calls of one conversation that are put in order in one task; longer conversations go in rounds of joins.
+CALL_BUDGET = 100_000
 
 
-def canonical(value: object) -> str:
-    """JSON with sorted keys, no spaces, and characters as they are; equal values give equal strings."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+def number(text: str) -> float:
+    value = float(text)
+    if math.isinf(value):
+        raise ValueError("a number beyond the range")
+    return value
+
+
+def refuse(text: str) -> None:
+    raise ValueError(f"{text} is not JSON")
+
+
+def plain(value: object) -> object:
+    """Numbers that are equal in the same form: whole ones as integers, up to where these get long."""
+    if isinstance(value, dict):
+        return {k: plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [plain(v) for v in value]
+    if isinstance(value, float) and value.is_integer() and abs(value) < 1e21:
+        return int(value)
+    if isinstance(value, int) and abs(value) >= 10**21 and abs(value) < 10**300 and float(value) == value:
+        return float(value)
+    return value
 
 
-def is_a(value: object, kind: str) -> bool:
-    if kind == "integer":
-        return isinstance(value, int) and not isinstance(value, bool)
-    if kind == "number":
-        return isinstance(value, (int, float)) and not isinstance(value, bool)
-    return isinstance(value, KINDS[kind])
+def read_json(text: str) -> object:
+    """The value of a JSON text. Names that JSON lacks (NaN) and numbers beyond its range are errors."""
+    return plain(json.loads(text, parse_float=number, parse_constant=refuse))
+
+
+def canonical(value: object) -> str:
+    """JSON with sorted keys, no spaces, and characters as they are; equal values give equal strings."""
+    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def is_a(value: object, kind: str | list[str]) -> bool:
+    if isinstance(kind, list):
+        return any(is_a(value, k) for k in kind)
+    if isinstance(value, bool) or kind not in ("integer", "number"):
+        return isinstance(value, KINDS.get(kind, ()))
+    return isinstance(value, int) or isinstance(value, float) and (kind == "number" or value.is_integer())
+
+
+def check_schema(schema: object, path: str = "") -> None:
+    """An error for what :func:`faults` would not look at, so that no rule is passed over in silence."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{path or '.'}: a schema must be an object")
+    if unknown := set(schema) - CHECKED - NOTES:
+        raise ValueError(f"{path or '.'}: keywords that are not checked: {sorted(unknown)}")
+    kinds = schema.get("type", [])
+    if unknown := set(kinds if isinstance(kinds, list) else [kinds]) - set(KINDS) - {"integer", "number"}:
+        raise ValueError(f"{path or '.'}: unknown types: {sorted(unknown)}")
+    re.compile(schema.get("pattern", ""))
+    for name, one in schema.get("properties", {}).items():
+        check_schema(one, f"{path}.{name}")
+    for name in ("items", "additionalProperties"):
+        if not isinstance(schema.get(name, True), bool):
+            check_schema(schema[name], f"{path}.{name}")
 
 
 def faults(value: object, schema: dict, path: str = "") -> list[str]:
-    """What in ``value`` does not fit ``schema``: type, enum, minimum, maximum, required, properties,
-    additionalProperties and items are known. A reference fits any type."""
+    """What in ``value`` does not fit ``schema``, by the keywords in ``CHECKED``. A reference fits any schema."""
     if isinstance(value, str) and REFERENCE.fullmatch(value):
         return []
+    here = path or "."
     kind = schema.get("type")
     if kind and not is_a(value, kind):
-        return [f"{path or '.'}: not {kind}"]
+        return [f"{here}: not {' or '.join(kind) if isinstance(kind, list) else kind}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{path or '.'}: not in enum")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
+        out.append(f"{here}: not in enum")
+    if is_a(value, "number"):
         if value < schema.get("minimum", value):
-            out.append(f"{path or '.'}: below minimum")
+            out.append(f"{here}: below minimum")
         if value > schema.get("maximum", value):
-            out.append(f"{path or '.'}: above maximum")
+            out.append(f"{here}: above maximum")
+    for of, least, most in ((str, "minLength", "maxLength"), (list, "minItems", "maxItems")):
+        if isinstance(value, of):
+            if len(value) < schema.get(least, 0):
+                out.append(f"{here}: shorter than {least}")
+            if len(value) > schema.get(most, len(value)):
+                out.append(f"{here}: longer than {most}")
+    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+        out.append(f"{here}: not of the pattern")
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, other = schema.get("properties", {}), schema.get("additionalProperties", True)
         out += [f"{path}.{name}: missing" for name in sorted(set(schema.get("required", ())) - set(value))]
         for name in sorted(value):
             if name in known:
                 out += faults(value[name], known[name], f"{path}.{name}")
-            elif schema.get("additionalProperties") is False:
+            elif other is False:
                 out.append(f"{path}.{name}: unknown")
-    if isinstance(value, list) and "items" in schema:
+            elif other is not True:
+                out += faults(value[name], other, f"{path}.{name}")
+    if isinstance(value, list) and isinstance(schema.get("items"), dict):
         for i, one in enumerate(value):
             out += faults(one, schema["items"], f"{path}[{i}]")
     return out
@@ -71,7 +136,7 @@ def parsed(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
     def check(raw: str | None, name: str | None) -> tuple[str | None, list[str], list[str]]:
         try:
-            value = json.loads(raw) if raw and raw.strip() else {}
+            value = read_json(raw) if raw and raw.strip() else {}
             text = canonical(value)
             text.encode()
             found = faults(value, schemas[name]) if name in schemas else ["unknown tool"]
@@ -90,12 +155,55 @@ def parsed(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return calls.withColumn("parsed", parse(F.col("raw"), F.col("name"))).select(*[c for c in calls.columns if c != "raw"], "parsed.*")
 
 
+def in_order(needs: dict[str, list[str]]) -> dict[str, int]:
+    """Levels of one conversation's calls: 0 without needs, else one more than the highest of them."""
+    wanted = {c: [n for n in dict.fromkeys(ns) if n in needs] for c, ns in needs.items()}
+    users: dict[str, list[str]] = {}
+    for call, ns in wanted.items():
+        for n in ns:
+            users.setdefault(n, []).append(call)
+    open_needs = {c: len(ns) for c, ns in wanted.items()}
+    level = {c: 0 for c, n in open_needs.items() if not n}
+    ready = list(level)
+    while ready:
+        call = ready.pop()
+        for user in users.get(call, ()):
+            level[user] = max(level.get(user, 0), level[call] + 1)
+            open_needs[user] -= 1
+            if not open_needs[user]:
+                ready.append(user)
+    return {c: at for c, at in level.items() if not open_needs[c]}
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, level`` of ``calls(conv_id, call_id, needs)``: 0 without needs that exist,
     else one more than the highest of them. Calls on or behind a cycle are left out.
 
-    Each round settles the calls whose needs are settled, so rounds follow the longest chain of
-    references; what is left shrinks and is stored, and a round that settles nothing ends it.
+    Conversations of up to ``CALL_BUDGET`` calls are put in order in one task each, however long their chains
+    of references are; only longer ones take a round of joins for each link.
+    """
+    many = calls.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CALL_BUDGET).select("conv_id")
+    many = stored(many, "long-conversations")  # a row for so many calls, at most
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for conv, own in groupby(rows, lambda r: r[0]):
+            found = in_order({call: needs or [] for _, call, needs in own})
+            columns = [pa.array([conv] * len(found), ids), pa.array(found, pa.string()), pa.array(found.values(), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "call_id", "level"])
+
+    ids = pa.string() if calls.schema["conv_id"].dataType.simpleString() == "string" else pa.int64()
+    few = calls.join(F.broadcast(many), "conv_id", "left_anti").select("conv_id", "call_id", "needs")
+    ordered = few.repartition("conv_id").sortWithinPartitions("conv_id")
+    kind = calls.schema["conv_id"].dataType.simpleString()
+    out = ordered.mapInArrow(order, f"conv_id {kind}, call_id string, level int")
+    return out if many.isEmpty() else out.unionByName(levels_by_rounds(calls.join(F.broadcast(many), "conv_id", "left_semi")))
+
+
+def levels_by_rounds(calls: DataFrame) -> DataFrame:
+    """The same as :func:`levels`, by joins. Each round settles the calls whose needs are settled, so rounds
+    follow the longest chain of references; what is left shrinks and is stored, and a round that settles
+    nothing ends it.
     """
     known = calls.select("conv_id", F.col("call_id").alias("need"))
     edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("needs")).alias("need")).join(known, ["conv_id", "need"])
@@ -133,21 +241,27 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     joins nothing. ``level`` orders calls by their ``$identifier`` references (null on or behind a cycle,
     which is an error of the call, and for results): a conversation's topological order is that of
     ``level, turn, pos``. A call is ``valid`` without errors in its arguments; malformed, deeply nested or
-    empty JSON gives a row too. Empty tables give an empty result.
+    empty JSON gives a row too, and so do numbers that JSON does not have. Empty tables give an empty result.
+    A schema with keywords other than ``CHECKED`` and ``NOTES`` is an error at once.
 
     Calls and results meet in a hash join on conversation and identifier, and all ordering is relative to
     one identifier, so a conversation of any length never has to fit a task.
     """
+    for schema in schemas.values():
+        check_schema(schema)
     order = Window.partitionBy("conv_id", "call_id").orderBy("turn", "pos", "name", "raw")
-    ranked = calls.select("conv_id", "turn", "pos", "call_id", "name", "raw").withColumn("copy", F.row_number().over(order))
     named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    ranked = stored(parsed(ranked.withColumn("first", named & (F.col("copy") == 1)).drop("copy"), schemas), "tool-calls")
+    plain_calls = calls.select("conv_id", "turn", "pos", "call_id", "name", "raw")
+    numbered = plain_calls.filter(named).withColumn("first", F.row_number().over(order) == 1)
+    lone = plain_calls.filter(~named).withColumn("first", F.lit(False))  # these never meet in one group
+    ranked = stored(parsed(numbered.unionByName(lone), schemas), "tool-calls")
     firsts = ranked.filter("first")
     starts = firsts.select("conv_id", "call_id", F.col("turn").alias("call_turn"))
     answers = results.select("conv_id", F.col("turn").alias("result_turn"), "call_id", "content").join(starts, ["conv_id", "call_id"], "left")
     answers = answers.withColumn("answers", F.coalesce(F.col("result_turn") > F.col("call_turn"), F.lit(False)))
     by_turn = Window.partitionBy("conv_id", "call_id", "answers").orderBy("result_turn", "content")
-    answers = stored(answers.withColumn("nth", F.row_number().over(by_turn)), "tool-results")
+    numbered = answers.filter("answers").withColumn("nth", F.row_number().over(by_turn))
+    answers = stored(numbered.unionByName(answers.filter("not answers").withColumn("nth", F.lit(0))), "tool-results")
     chosen = answers.filter("answers and nth = 1").select("conv_id", "call_id", "result_turn", "content")
     placed = firsts.join(levels(firsts), ["conv_id", "call_id"], "left").join(chosen, ["conv_id", "call_id"], "left")
     again = ranked.filter(~F.col("first")).withColumns(

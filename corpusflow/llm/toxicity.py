@@ -167,12 +167,18 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
+def no_model() -> tuple[bytes, float]:
+    """Weights and bias by which every document scores near 0."""
+    return np.zeros(BUCKETS, np.float32).tobytes(), -20.0
+
+
 def train(docs: DataFrame, labels: DataFrame, t: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> tuple[bytes, float]:
     """Packed weights (32-bit) and bias, learnt from ``labels(doc_id, toxic)`` that are not held out.
 
     Rows with a null label are left out, and a document labelled twice is toxic if one label says so.
-    With labels of one kind only, or none, all documents score near 0. The sample is bounded by ``t`` and
-    fitted in one task; the result, of fixed size, is stored before it is used.
+    With labels of one kind only, or none, or none of documents in ``docs`` (which may be empty), all documents
+    score near 0. The sample is bounded by ``t`` and fitted in one task; the result, of fixed size, is stored
+    before it is used.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
@@ -183,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, t: Training = Training(), id_col:
         for k, n in sizes.items()
     ]
     if len(chosen) < 2:
-        return np.zeros(BUCKETS, np.float32).tobytes(), -20.0
+        return no_model()
     sample = stored(chosen[0].unionByName(chosen[1]), "toxicity-sample")  # at most 2 * t.sample rows
     texts = docs.select(docs[id_col].alias("doc_id"), whole_text(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     rows = texts.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "label", "weight")
@@ -193,7 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, t: Training = Training(), id_col:
         yield pa.record_batch([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
 
     model = stored(rows.mapInArrow(learn, "weights binary, bias double"), "toxicity-model").first()
-    return bytes(model["weights"]), model["bias"]
+    # Without a labelled document in the table there is no task to fit anything.
+    return (bytes(model["weights"]), model["bias"]) if model else no_model()
 
 
 def scored(text: Column, model: tuple[bytes, float], threshold: float) -> Column:
@@ -233,7 +240,8 @@ def with_toxicity(df: DataFrame, model: tuple[bytes, float], text_col: str = "te
     ``predicted`` (1 if ``score`` does). Columns of these names are replaced.
 
     The score depends on the text alone. Null and empty texts, and texts without a letter, have no
-    sentence and score 0. Rows are scored one by one, without a shuffle; repeated rows score alike.
+    sentence and score 0. Rows are scored one by one, without a shuffle; repeated rows score alike. An empty
+    table stays empty.
     """
     (both,) = fresh(df, "toxicity")
     out = df.withColumn(both, scored(whole_text(text_col), model, threshold))

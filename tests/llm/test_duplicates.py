@@ -51,6 +51,9 @@ def test_exact_duplicates_on_odd_rows(spark):
     left = exact_dups.drop_exact_duplicates(frame(spark, ODD))
     assert left.columns == frame(spark, ODD).columns
     assert sorted(r.doc_id for r in left.collect()) == [2, 3, 5, 6, 7, 8, 9]
+    twice = frame(spark, [r for r in ODD if r[0] is not None] * 2 + [(5, "one")]).union(frame(spark, [(9, "other"), (None, "lone"), (None, "lone")]))
+    once = exact_dups.drop_exact_duplicates(twice)
+    assert sorted(((r.doc_id, r.text) for r in once.collect()), key=str) == sorted({(i, t) for i, t in ODD if i in (2, 3, 5, 6, 7, 8, 9)} | {(9, "other"), (None, "lone")}, key=str)
     assert exact_dups.exact_duplicates(frame(spark, [])).count() == 0
 
 

@@ -67,6 +67,18 @@ def test_transducer_forgets_and_stays_right(monkeypatch):
         assert machine.encode(piece) == ([ranks[piece]] if piece in ranks else transducer.merge_by_rank(piece, ranks))
 
 
+def test_transducer_gives_out_long_pieces_in_portions(monkeypatch):
+    monkeypatch.setattr(transducer, "PORTION", 7)
+    monkeypatch.setattr(transducer, "MAX_STATES", 60)
+    ranks = transducer.read_ranks(RANKS)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(12)
+    machine = transducer.Transducer(ranks)
+    for alphabet in ("ab", "ethanior", "x", "éß日本"):
+        piece = "".join(rng.choice(alphabet) for _ in range(700))
+        assert machine.encode(piece.encode()) == lib.encode_ordinary(piece)
+
+
 def test_decoding_in_any_portions():
     text = "aé€🙂" * 5
     data = text.encode()
@@ -215,6 +227,79 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert tool_calls.link_tool_calls(c.limit(0), r.limit(0), tool_calls.SCHEMAS).count() == 0
 
 
+def brute_links(calls, results):
+    """Status, level and linked turn of each call, and status of each result, by walking through lists."""
+    calls, out = sorted(calls, key=lambda c: (str(c[0]), str(c[3]), *c[1:3], c[4], c[5])), []
+    first = {}
+    for c in calls:
+        if c[0] is not None and c[3] is not None:
+            first.setdefault((c[0], c[3]), c)
+    taken = {}
+    for r in sorted(results, key=lambda r: (r[1], r[3])):
+        call = first.get((r[0], r[2]))
+        status = "orphan"
+        if call and r[1] > call[1]:
+            status = "repeated" if (r[0], r[2]) in taken else None
+            taken.setdefault((r[0], r[2]), r[1])
+        if status:
+            out.append((r[0], r[1], r[2], status, None, None))
+
+    def level(key, path=()):
+        if key in path:
+            return None
+        needs = [(key[0], n) for n in set(json.loads(first[key][5])["needs"]) if (key[0], n[1:]) in first]
+        found = [level((k, n[1:]), (*path, key)) for k, n in needs]
+        return None if None in found else max(found, default=-1) + 1
+
+    for c in calls:
+        key = (c[0], c[3])
+        mine = first.get(key) is c
+        status = "repeated" if None not in key and not mine else "linked" if mine and key in taken else "unanswered"
+        out.append((c[0], c[1], c[3], status, level(key) if mine else None, taken.get(key) if mine else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("budget", [100_000, 4])
+def test_tool_calls_equal_brute_force(spark, monkeypatch, budget):
+    monkeypatch.setattr(tool_calls, "CALL_BUDGET", budget)
+    rng = random.Random(budget)
+    conv = lambda: rng.choice([1, 2, 3, None])
+    ident = lambda: rng.choice([*"abcdefghij", None])
+    needs = lambda: json.dumps({"needs": [f"${rng.choice('abcdefghijz')}" for _ in range(rng.choice([0, 0, 1, 2]))]})
+    calls = [(conv(), rng.randrange(20), k, ident(), "any", needs()) for k in range(40)]
+    calls += [(9, k, 0, f"c{k}", "any", json.dumps({"needs": [f"$c{k - 1}"]})) for k in range(12)]
+    results = [(conv(), rng.randrange(25), ident(), f"r{k}") for k in range(40)]
+    c = spark.createDataFrame(calls, "conv_id long, turn long, pos int, call_id string, name string, raw string").repartition(3)
+    r = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string").repartition(3)
+    rows = tool_calls.link_tool_calls(c, r, {"any": {"properties": {"needs": {"items": {"type": "string"}}}}}).collect()
+    got = [(x.conv_id, x.turn, x.call_id, x.status, x.level, (json.loads(x.json).get("result") or {}).get("turn") if x.name else None) for x in rows]
+    assert sorted(got, key=str) == brute_links(calls, results)
+
+
+def test_numbers_types_and_rules_of_schemas():
+    schema = {"type": "object", "properties": {"a": {"type": ["string", "null"], "minLength": 2, "pattern": "^x"}, "n": {"enum": [1, "b"]}, "i": {"type": "integer"}}, "additionalProperties": {"type": "number", "maximum": 5}}
+    tool_calls.check_schema(schema)
+    fault = lambda text: tool_calls.faults(tool_calls.read_json(text), schema)
+    assert fault('{"a": null, "n": 1.0, "i": 2.0, "other": 4.5}') == []
+    assert fault('{"a": "x", "n": true, "i": 2.5, "other": 6}') == [".a: shorter than minLength", ".i: not integer", ".n: not in enum", ".other: above maximum"]
+    assert fault('{"a": 5, "i": false}') == [".a: not string or null", ".i: not integer"]
+    for text in ("NaN", "[Infinity]", "1e400", '{"a": -1e999}'):
+        with pytest.raises(ValueError):
+            tool_calls.read_json(text)
+    for bad in ({"minProperties": 1}, {"type": "text"}, {"properties": {"a": {"format": "date"}}}, {"items": {"oneOf": []}}):
+        with pytest.raises(ValueError):
+            tool_calls.check_schema(bad)
+    same = ["[1, 1.0, 1e0, 100000000000000000000, 1e20, -0.0]", "[1.0, 1, 10e-1, 1e20, 100000000000000000000.0, 0]"]
+    assert len({tool_calls.canonical(tool_calls.read_json(t)) for t in same}) == 1
+
+
+def test_no_model_without_labelled_documents(spark):
+    docs, labels = toxic_world(spark, 60)
+    for some, known in ((docs.limit(0), labels), (docs.withColumn("doc_id", F.col("doc_id") + 10**6), labels), (docs, labels.limit(0))):
+        model = toxicity.train(some, known)
+        assert [r.predicted for r in toxicity.with_toxicity(some, model).select("predicted").distinct().collect()] in ([], [0])
+
+
 def test_canonical_json_is_stable():
     value = {"b": [1, {"z": None, "a": "é"}], "a": 1.5}
     assert tool_calls.canonical(json.loads(json.dumps(value))) == '{"a":1.5,"b":[1,{"a":"é","z":null}]}'
