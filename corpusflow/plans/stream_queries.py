@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusflow.operators import metrics
 from corpusflow.plans import sqlparts as q
 from corpusflow.plans.corpus_queries import dirty
 from corpusflow.plans.registry import query, table
@@ -39,4 +40,27 @@ def stream_monitor(spark, sf):
     )
     rows.write.parquet(f"{root}/in")
     jobs.stream_monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return jobs.monitored(spark, f"{root}/out")
+
+
+@query(
+    "stream_smooth",
+    f"""WITH r AS (SELECT event_type AS metric, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS step,
+  count(*) OVER (PARTITION BY event_type) AS n FROM events),
+w AS (SELECT metric, step, value, n, least({metrics.WIDEST}, n // {metrics.SHARE}) AS width,
+  list(value) OVER (PARTITION BY metric ORDER BY step ROWS BETWEEN {metrics.WIDEST - 1} PRECEDING AND CURRENT ROW) AS near FROM r)
+SELECT metric, step, value, round(CASE WHEN n > {metrics.FEWEST} THEN list_avg(near[greatest(len(near) - width + 1, 1):]) END, 6) + 0.0 AS smooth FROM w""",
+)
+def stream_smooth(spark, sf):
+    """Rolling means of records that come in five refreshes."""
+    root = scratch_path(spark, "monitor")
+    rows = table(spark, sf, "events").select(
+        F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("step"),
+        F.col("event_type").alias("metric"), "value",
+    )
+    last = table(spark, sf, "events").agg(F.max("event_id")).first()[0]
+    for k in range(5):
+        part = F.floor(F.col("step") * 5 / F.lit((last or 0) + 1)) == k
+        rows.filter(part).write.mode("append").parquet(f"{root}/in")
+        jobs.stream_monitor(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", smoothed_dir=f"{root}/smooth").awaitTermination()
+    return jobs.smoothed(spark, f"{root}/smooth").withColumn("smooth", F.round("smooth", 6) + 0.0)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from corpusflow.operators import curate, metrics
 from corpusflow.operators.schema_ops import normalize_schema, validate_schema
+from corpusflow.streaming.versions import Versions
 
 METRIC_ROW = T.StructType(
     [
@@ -53,6 +58,50 @@ def stream_curate(
     return writer.start(out_dir)
 
 
+LATEST = "metric string, n_records long, latest double"
+SMOOTHED = "metric string, step long, value double, smooth double"
+# What the state of a metric sends out at a refresh: one ``latest`` row, and its smoothed rows. Those that no
+# later record can change are ``final``; while a metric is short, its window still grows, and all its rows are ``open``.
+_SENT = "kind string, metric string, n_records long, latest double, step long, value double, smooth double"
+_STATE = "n long, ts timestamp, at long, latest double, held array<double>"
+# Records from which on the window no longer grows.
+_SETTLED = metrics.WIDEST * metrics.SHARE
+
+
+def _rolling(values: list[float], n: int, upto: int) -> float | None:
+    """The mean at the end of ``values``, which end with record ``upto`` of ``n``; like the batch operator's."""
+    if n <= metrics.FEWEST:
+        return None
+    width = min(metrics.WIDEST, n // metrics.SHARE, upto)
+    total = 0.0
+    for value in values[-width:]:
+        total += value
+    return total / width
+
+
+def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Take a refresh's new records of one metric. The state holds its last 20 values (or all of up to 59)."""
+    n, ts, at, latest, held = state.get if state.exists else (0, None, None, None, [])
+    held = list(held)
+    new = pd.concat(list(frames)).sort_values(["step", "ts"], kind="stable")
+    newest = new.sort_values(["ts", "step"], kind="stable").iloc[-1]
+    if ts is None or (newest["ts"], newest["step"]) >= (ts, at):
+        ts, at, latest = newest["ts"].to_pydatetime(), int(newest["step"]), float(newest["value"])
+    values = held + [float(v) for v in new["value"]]
+    first, total = n - len(held) + 1, n + len(new)  # record numbers of the first value here, and of the last
+    kind = "final" if total >= _SETTLED else "open"
+    # Nothing of a short metric has been final so far, so all its rows are sent.
+    begin = n + 1 if n >= _SETTLED else 1
+    rows = [
+        (kind, key[0], None, None, k, values[k - first], _rolling(values[max(0, k - first + 1 - metrics.WIDEST) : k - first + 1], total, k))
+        for k in range(begin, total + 1)
+    ]
+    state.update((total, ts, at, latest, values[-metrics.WIDEST :] if total >= _SETTLED else values))
+    sent = pd.DataFrame(rows, columns=["kind", "metric", "n_records", "latest", "step", "value", "smooth"])
+    last = pd.DataFrame([("latest", key[0], total, latest, None, None, None)], columns=sent.columns)
+    yield pd.concat([last, sent]).astype({"n_records": "Int64", "step": "Int64", "latest": float, "value": float, "smooth": float})
+
+
 def stream_monitor(
     spark: SparkSession,
     in_dir: str,
@@ -62,21 +111,61 @@ def stream_monitor(
     refresh: str = "5 seconds",
     once: bool = True,
     smoothed_dir: str | None = None,
+    files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Keep the latest value and the record count of every metric in ``out_dir``.
+    """Keep the latest value and the record count of every metric, and with ``smoothed_dir`` their rolling means.
 
-    The state is one row per metric. With ``smoothed_dir`` every refresh also rewrites the rolling
-    means from the records on file, since row windows are not available on streams.
+    Each metric's state is its count, its newest value and its last 20 values, so a refresh reads the new files
+    only. Records of a metric are taken in the order of their steps within a refresh, and refreshes as files come.
+    Outputs are read by :func:`monitored` and :func:`smoothed`. A refresh writes a version of its own, made of the
+    version before and of what has changed, and commits it at the end: readers see whole refreshes, and never an
+    empty table. Rolling means that are final are added to, not written anew.
     """
-    records = spark.readStream.schema(METRIC_ROW).format(fmt).load(in_dir)
-    newest = metrics.latest(records, ["metric"], ["ts", "step"])
+    records = spark.readStream.schema(METRIC_ROW).format(fmt).option("maxFilesPerTrigger", files_per_trigger).load(in_dir)
+    sent = records.groupBy("metric").applyInPandasWithState(_follow, _SENT, _STATE, "update", "NoTimeout")
 
-    def refresh_tables(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    def replace(table: Versions, n: int, changed: DataFrame, touched: DataFrame) -> None:
+        before = table.before(n)
+        if before is not None:
+            old = spark.read.schema(changed.schema).parquet(table.path(before))
+            changed = old.join(touched, "metric", "left_anti").select(*changed.columns).unionByName(changed)
+        changed.write.mode("overwrite").parquet(table.path(n))
+
+    def refresh_tables(batch: DataFrame, n: int) -> None:
+        updates = f"{checkpoint}/refreshed"  # one refresh at a time, and a repeated one starts anew
+        batch.write.mode("overwrite").parquet(updates)
+        changed = spark.read.schema(batch.schema).parquet(updates)
+        touched = changed.filter("kind = 'latest'").select("metric")
+        table = Versions(spark, out_dir)
+        replace(table, n, changed.filter("kind = 'latest'").select("metric", "n_records", "latest"), touched)
         if smoothed_dir:
-            on_file = spark.read.schema(METRIC_ROW).format(fmt).load(in_dir)
-            metrics.smooth(on_file, ["metric"], ["step"]).write.mode("overwrite").parquet(smoothed_dir)
+            means = changed.select("kind", "metric", "step", "value", "smooth")
+            means.filter("kind = 'final'").drop("kind").write.mode("overwrite").parquet(f"{smoothed_dir}/final/refresh={n}")
+            open_rows = Versions(spark, smoothed_dir)
+            replace(open_rows, n, means.filter("kind = 'open'").drop("kind"), touched)
+            open_rows.commit(n)
+        table.commit(n)
 
-    writer = newest.writeStream.outputMode("complete").foreachBatch(refresh_tables).option("checkpointLocation", checkpoint)
+    writer = sent.writeStream.outputMode("update").foreachBatch(refresh_tables).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=refresh)
     return writer.start()
+
+
+def monitored(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``metric, n_records, latest`` as of the last refresh; empty before the first."""
+    table = Versions(spark, out_dir)
+    current = table.current()
+    if current is None:
+        return spark.createDataFrame([], LATEST)
+    return spark.read.schema(LATEST).parquet(table.path(current))
+
+
+def smoothed(spark: SparkSession, smoothed_dir: str) -> DataFrame:
+    """``metric, step, value, smooth`` of all records, as of the last refresh; empty before the first."""
+    table = Versions(spark, smoothed_dir)
+    current = table.current()
+    if current is None:
+        return spark.createDataFrame([], SMOOTHED)
+    final = spark.read.schema(f"{SMOOTHED}, refresh long").parquet(f"{smoothed_dir}/final")
+    final = final.filter(F.col("refresh") <= current).drop("refresh")
+    return final.unionByName(spark.read.schema(SMOOTHED).parquet(table.path(current)))
