@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from corpusflow.functions.fence import fence
 from corpusflow.functions.text import clean_text, words_and_marks
@@ -75,28 +75,33 @@ def process(
 ) -> tuple[DataFrame, DataFrame]:
     """The curated rows and the report on them, from one pass over ``df``.
 
-    The cleaned rows with their flags are written to the checkpoint folder once; fingerprints, the
-    result and the counts are read from there. Rows are removed by an anti-join with the keys of the
-    near duplicates only.
+    The cleaned rows with their flags are written to the checkpoint folder once, and the stages' counts are
+    observed while that happens; fingerprints and the result are read from there. Rows are removed by an
+    anti-join with the keys of the near duplicates only.
     """
-    flagged = cut_lineage(flag_stages(df, text_key=text_key, **stages))
+    names = ["chars", "tokens"] + (["invalid"] if stages.get("validate") else [])
+    counts = Observation()
+    flagged = cut_lineage(
+        flag_stages(df, text_key=text_key, **stages).observe(
+            counts,
+            F.count(F.lit(1)).alias("n_total"),
+            *[F.count_if(F.col("_dropped_by") == n).alias(f"dropped_{n}") for n in names],
+        )
+    )
     kept = flagged.filter(F.col("_dropped_by").isNull()).drop("_dropped_by")
-    duplicates = F.lit(0).cast("long")
+    found = dict(counts.get)
+    found["dropped_duplicates"] = 0
     if dedup:
         gone = cut_lineage(near_duplicate_keys(kept, dedup_threshold, text_key, order_key))
         kept = kept.join(gone, order_key, "left_anti")
-        duplicates = gone.agg(F.count(F.lit(1)).alias("n")).scalar()
-    names = ["chars", "tokens"] + (["invalid"] if stages.get("validate") else [])
-    report = flagged.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        *[F.count_if(F.col("_dropped_by") == n).alias(f"dropped_{n}") for n in names],
-    ).withColumn("dropped_duplicates", duplicates)
-    removed = sum((F.col(f"dropped_{n}") for n in names), F.col("dropped_duplicates"))
-    report = report.select(
+        found["dropped_duplicates"] = gone.count()
+    dropped = [f"dropped_{n}" for n in names] + ["dropped_duplicates"]
+    one = df.sparkSession.range(1).select(*[F.lit(found[c]).cast("long").alias(c) for c in ("n_total", *dropped)])
+    removed = sum((F.col(c) for c in dropped[1:]), F.col(dropped[0]))
+    report = one.select(
         "n_total",
         (F.col("n_total") - removed).alias("n_kept"),
-        *[f"dropped_{n}" for n in names],
-        "dropped_duplicates",
+        *dropped,
         removed.alias("n_removed"),
         F.round(removed * 100.0 / F.greatest(F.col("n_total"), F.lit(1)), 1).alias("removed_pct"),
     )

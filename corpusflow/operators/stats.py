@@ -29,25 +29,25 @@ def describe_dataset(
     All rows are measured unless ``sample`` (and ``token_sample``) ask for the first ones.
     """
     text_key = text_key or find_text_column(df)
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     source = head(df, sample, order_key) if sample else df
-    chars = F.length(view_of(source, text_key, "json"))
+    view = view_of(source, text_key, "json")
     measured = source.select(
-        F.coalesce(chars, F.lit(0)).alias("chars"),
-        (F.coalesce(count(view_of(source, text_key, "json")), F.lit(0)) if count else F.lit(0)).alias("tokens"),
+        F.coalesce(F.length(view), F.lit(0)).alias("chars"),
+        (F.coalesce(count(view), F.lit(0)) if count else F.lit(0)).alias("tokens"),
         *([F.col(order_key)] if order_key else []),
     )
-    pairs = head(measured, token_sample, order_key) if token_sample else measured
-    sums = measured.agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
-    ratio = (
-        pairs.agg((F.sum("chars") / F.nullif(F.sum("tokens"), F.lit(0))).alias("r")).scalar()
-        if count
-        else F.lit(None).cast("double")
-    )
+    per_token = (F.sum("chars") / F.nullif(F.sum("tokens"), F.lit(0))) if count else F.lit(None).cast("double")
+    sums = measured.agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"), per_token.alias("_ratio"))
+    if token_sample:
+        sums = sums.withColumn("_ratio", head(measured, token_sample, order_key).agg(per_token.alias("r")).scalar() if count else F.col("_ratio"))
+    # Without samples all of it comes from one scan of the text.
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar() if sample else F.col("n")
     named = sums.select(
         F.lit(len(df.columns)).alias("n_columns"),
         (F.coalesce(F.col("chars"), F.lit(0)) / F.greatest(F.col("n"), F.lit(1))).alias("avg_chars"),
-    ).withColumns({"n_rows": rows, "_ratio": ratio})
+        "_ratio",
+        "n",
+    ).withColumn("n_rows", rows)
     return named.select(
         "n_rows",
         "n_columns",
