@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 from corpusflow.functions.text import SPACE, bind, hash_uniform, hex_long, strip
@@ -236,52 +239,56 @@ def parse_chat(prompt: Column) -> Column:
     )
 
 
-def _starts(ids: Column, sequence: list[int]) -> Column:
-    """0-based positions where ``sequence`` begins."""
-    def here(p):
-        hit = F.get(ids, p) == sequence[0]
-        for offset, token in enumerate(sequence[1:], start=1):
-            hit = hit & (F.get(ids, p + offset) == token)
-        return F.coalesce(hit, F.lit(False))
+def _marked(ids: np.ndarray, ends_at: np.ndarray, sequence: list[int]) -> np.ndarray:
+    """Places right after an occurrence of ``sequence``; ``ends_at`` is where each place's array ends."""
+    found = np.ones(max(len(ids) - len(sequence), 0), bool)
+    for k, one in enumerate(sequence):
+        found &= ids[k : len(ids) - len(sequence) + k] == one
+    after = np.flatnonzero(found) + len(sequence)
+    return after[after < ends_at[after - len(sequence)]]
 
-    return F.filter(F.when(F.size(ids) > 0, F.sequence(F.lit(0), F.size(ids) - 1)), here)
 
+def _inside(lists: pa.ListArray, bos: list[int], eos: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The arrays' ids one after the other, which of them lie in spans, and where the arrays begin and end.
 
-def span_mask(ids: Column, bos: list[int], eos: list[int]) -> Column:
-    """1 from after each ``bos`` through the next ``eos`` (or the end of the array), else 0.
-
-    The opening id of each sequence must occur only at its start, as special ids do; then the spans
-    cannot overlap and every position can be judged on its own.
+    Both marks are matched in one go over the batch: a place is inside if the last opening that has ended
+    by then is in its array, and later than the start of the last closing that has.
+    """
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(np.concatenate([[0], sizes]))
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    begin, stop = np.repeat(ends[:-1], sizes), np.repeat(ends[1:], sizes)
+    opened, closed = np.full(len(ids), -1), np.full(len(ids), -1)
+    after = _marked(ids, stop, bos)
+    opened[after] = after
+    after = _marked(ids, stop, eos)
+    closed[after] = after - len(eos)
+    if len(ids):
+        opened, closed = np.maximum.accumulate(opened), np.maximum.accumulate(closed)
+    return ids, (opened >= begin) & (closed < opened), ends
+
+
+def _span_udf(bos: list[int], eos: list[int], give: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
+    """A function of an id array, which ``give`` makes from the ids and their being inside of spans.
+
+    The opening id of each sequence must occur only at its start, as special ids do; then spans cannot overlap.
     """
-    clash = bos[0] in bos[1:] + eos or eos[0] in eos[1:] + bos
-    if clash:
+    if bos[0] in bos[1:] + eos or eos[0] in eos[1:] + bos:
         raise ValueError("bos and eos sequences must open with ids that occur nowhere else in them")
 
-    def spans(known):
-        return F.transform(
-            F.transform(known["opens"], lambda p: p + len(bos)),
-            lambda s: F.struct(
-                s.alias("s"),
-                F.coalesce(
-                    F.array_min(F.filter(known["closes"], lambda e: e >= s)) + len(eos), F.size(known["ids"])
-                ).alias("e"),
-            ),
-        )
+    @F.arrow_udf("array<int>")
+    def spans(lists: pa.Array) -> pa.Array:
+        ids, inside, ends = _inside(lists, bos, eos)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(give(ids, inside).astype(np.int32)), mask=lists.is_null())
 
-    def judge(known):
-        return bind(
-            spans(known),
-            lambda found: F.transform(
-                known["ids"], lambda x, j: F.exists(found, lambda p: (j >= p["s"]) & (j < p["e"])).cast("int")
-            ),
-        )
+    return spans
 
-    marks = bind(
-        ids,
-        lambda x: F.struct(
-            x.alias("ids"),
-            _starts(x, bos).alias("opens"),
-            _starts(x, eos).alias("closes"),
-        ),
-    )
-    return bind(marks, judge)
+
+def span_mask(ids: Column, bos: list[int], eos: list[int]) -> Column:
+    """1 from after each ``bos`` through the next ``eos`` (or the end of the array), else 0; null for null."""
+    return _span_udf(bos, eos, lambda _, inside: inside)(ids)
+
+
+def span_labels(ids: Column, bos: list[int], eos: list[int], ignore: int) -> Column:
+    """The ids within spans as of :func:`span_mask`, and ``ignore`` elsewhere."""
+    return _span_udf(bos, eos, lambda ids, inside: np.where(inside, ids, ignore))(ids)

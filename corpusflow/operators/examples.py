@@ -34,9 +34,7 @@ def answer_marks(model: BpeModel) -> tuple[list[int], list[int]]:
 
 def span_labels(df: DataFrame, model: BpeModel, ids: str = "input_ids") -> DataFrame:
     """Add ``labels``: the ids inside assistant turns, everything else ignored."""
-    mask = chat.span_mask(F.col(ids), *answer_marks(model))
-    labels = F.zip_with(F.col(ids), mask, lambda x, m: F.when(m == 1, x).otherwise(F.lit(IGNORE)))
-    return df.withColumn("labels", labels)
+    return df.withColumn("labels", chat.span_labels(F.col(ids), *answer_marks(model), IGNORE))
 
 
 def sft_text(messages: Column, key: Column, ratio: float = 0.2, keep: float = 0.2, seed: int = 42, with_calls: bool = True) -> Column:

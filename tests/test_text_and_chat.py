@@ -1,4 +1,5 @@
 import json
+import random
 import re
 import unicodedata
 
@@ -118,6 +119,25 @@ def test_span_mask(spark, ids, mask):
     assert df.select(chat.span_mask(F.col("x"), [1, 7], [2, 9]).alias("m")).first().m == mask
 
 
+def test_spans_of_a_batch_stay_in_their_arrays(spark):
+    rng = random.Random(4)
+    rows = [[rng.choice([1, 7, 2, 9, 5]) for _ in range(rng.randrange(9))] for _ in range(300)] + [None, [], [1], [7], [5, 1, 7], [2], [9, 5]]
+
+    def brute(ids):
+        out = [0] * len(ids)
+        for p in range(len(ids) - 1):
+            if ids[p : p + 2] == [1, 7]:
+                end = next((e + 2 for e in range(p + 2, len(ids) - 1) if ids[e : e + 2] == [2, 9]), len(ids))
+                out[p + 2 : end] = [1] * (end - p - 2)
+        return out
+
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, x array<int>").coalesce(1)
+    both = df.select("i", "x", chat.span_mask(F.col("x"), [1, 7], [2, 9]).alias("m"), chat.span_labels(F.col("x"), [1, 7], [2, 9], -100).alias("l"))
+    for r in both.collect():
+        assert r.m == (None if r.x is None else brute(r.x)), r.x
+        assert r.l == (None if r.x is None else [v if m else -100 for v, m in zip(r.x, r.m)])
+
+
 def test_span_mask_refuses_ambiguous_marks():
     with pytest.raises(ValueError):
         chat.span_mask(F.col("x"), [1, 2], [2, 1])
