@@ -232,6 +232,23 @@ def _tree_level(k: int) -> str:
     )"""
 
 
+def _branch_level(k: int) -> str:
+    """One level of the tree that verdicts come from: children that differ from the rest of their node, or a wildcard."""
+    return f"""c{k} AS (
+        SELECT * EXCLUDE (open), CASE WHEN open THEN shape[{k}] END AS child, open AS was,
+            sum(n) OVER c AS nc, sum(k) OVER c AS kc, sum(n) OVER p AS np, sum(k) OVER p AS kp
+        FROM b{k - 1} WINDOW c AS (PARTITION BY host, branch, open, shape[{k}]), p AS (PARTITION BY host, branch, open)
+    ), s{k} AS (
+        SELECT * EXCLUDE (branch), CASE WHEN NOT was THEN branch ELSE list_append(branch, CASE WHEN np > nc AND
+            abs((kc + 20.0::DOUBLE * kp / np) / (nc + 20.0::DOUBLE) - (kp - kc) / (np - nc))
+            > 4 * sqrt(kp / np * (1 - kp / np) * (1 / (nc + 20.0::DOUBLE) + 1 / (np - nc))) THEN child ELSE '*' END) END AS branch FROM c{k}
+    ), b{k} AS (
+        SELECT host, shape, template, n, k, branch,
+            was AND len(shape) > {k} AND sum(k) OVER g > 0 AND sum(k) OVER g < sum(n) OVER g AS open
+        FROM s{k} WINDOW g AS (PARTITION BY host, branch, was)
+    )"""
+
+
 _URL_SQL = f"""
     WITH b AS (
         SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -252,16 +269,11 @@ _URL_SQL = f"""
         USING (host, shape)
     ), {", ".join(map(_tree_level, range(1, 5)))},
     shapes AS (SELECT host, shape, list_concat(template, shape[5:]) AS template, n, k FROM t4),
-    g AS (SELECT host, template, template[1:-2] AS parent, sum(n) AS n, sum(k) AS k FROM shapes GROUP BY host, template),
-    r AS (SELECT *, sum(n) OVER w - n AS nr, sum(k) OVER w - k AS kr FROM g WINDOW w AS (PARTITION BY host, parent)),
-    a AS (
-        SELECT *, CASE WHEN n = 0 OR nr = 0 THEN true ELSE abs(k / n - kr / nr)
-            <= 2 * sqrt((k + kr) / (n + nr) * (1 - (k + kr) / (n + nr)) * (1 / n + 1 / nr)) END AS alike FROM r
-    ), j AS (
-        SELECT host, template, CASE WHEN alike THEN sum(n) OVER w ELSE n END AS na, CASE WHEN alike THEN sum(k) OVER w ELSE k END AS ka,
-            (SELECT coalesce(sum(k) / nullif(sum(n), 0), 1.0) FROM g) AS mean
-        FROM a WINDOW w AS (PARTITION BY host, parent, alike)
-    ), v AS (SELECT host, template, (ka + 20.0::DOUBLE * mean) / (na + 20.0::DOUBLE) AS purity FROM j),
+    b0 AS (SELECT *, []::VARCHAR[] AS branch, len(shape) > 0 AND sum(k) OVER g > 0 AND sum(k) OVER g < sum(n) OVER g AS open
+        FROM shapes WINDOW g AS (PARTITION BY host)),
+    {", ".join(map(_branch_level, range(1, 6)))},
+    v AS (SELECT host, shape, (sum(k) OVER g + 20.0::DOUBLE * mean) / (sum(n) OVER g + 20.0::DOUBLE) AS purity
+        FROM b5, (SELECT coalesce(sum(k) / nullif(sum(n), 0), 1.0) AS mean FROM shapes) WINDOW g AS (PARTITION BY host, branch)),
     rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
         ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
     fit AS (
@@ -270,7 +282,7 @@ _URL_SQL = f"""
     )
     SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
         '/' || array_to_string(template, '/') AS template, purity
-    FROM d JOIN shapes USING (host, shape) JOIN v USING (host, template) LEFT JOIN fit USING (page_id)
+    FROM d JOIN shapes USING (host, shape) JOIN v USING (host, shape) LEFT JOIN fit USING (page_id)
 """
 
 

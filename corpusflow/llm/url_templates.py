@@ -2,16 +2,19 @@
 
 Paths are read as segments. A segment's digits count as a wildcard; a node of the tree with many
 different children has its children replaced by one wildcard, save those whose labels set them apart.
-So each URL gets a template. Siblings
-whose labelled pages look alike are merged, and a template is rejected if the smoothed share of good
-ones among its labelled pages is too low.
+So each URL gets a template, which says what its path looks like.
+
+Verdicts come from a second tree of the same paths, by labels alone: at each node, whatever the number of
+its children, those whose labelled pages differ from the rest stay apart, and all others are merged into a
+wildcard. It goes down as long as a branch has good and bad pages. A branch is rejected if the smoothed share
+of good ones among its labelled pages is too low.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.llm.tables import fresh, stored
 
@@ -31,15 +34,15 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """``depth`` segments are told apart; the rest is one tail, save for what its labels set apart. More than
-    ``fanout`` children make a wildcard, with the same exception. A branch is set apart when it has at least
-    ``enough`` labelled pages and its share of good ones differs from the others' by over ``apart`` errors.
-    Siblings merge when their shares of good pages differ by less than ``z`` standard errors. A template
-    is rejected when its purity, smoothed by ``prior_rows`` pages of the average, is below ``purity``."""
+    """Templates tell ``depth`` segments apart; the rest is one tail, save for what its labels set apart. More
+    than ``fanout`` children make a wildcard, save those with ``enough`` labelled pages whose share of good ones
+    differs from the others' by over ``apart`` errors. None of the three bears on verdicts: there a child is its own
+    branch if its share, smoothed by ``prior_rows`` pages of its node's average, differs from its siblings' by over
+    ``apart`` errors. A branch is rejected when its purity, smoothed by as many pages of the average, is below
+    ``purity``."""
 
     depth: int = 4
     fanout: int = 30
-    z: float = 2.0
     prior_rows: float = 20.0
     purity: float = 0.5
     enough: int = 20
@@ -149,28 +152,57 @@ def generalise(lexical: DataFrame, tree: Tree) -> DataFrame:
     return flat if deep.isEmpty() else flat.unionByName(tails(deep, tree))
 
 
-def judged(templates: DataFrame, tree: Tree) -> DataFrame:
-    """``templates(host, template, labelled, good)`` with ``rejected``."""
-    mean = templates.agg(F.try_divide(F.sum("good"), F.sum("labelled")).alias("mean")).scalar()
-    mean = F.coalesce(mean, F.lit(1.0))
-    parent = F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0)))
-    # The children of one node: at most ``fanout`` or a wildcard and those set apart, with or without a closing slash.
-    siblings = Window.partitionBy("host", "parent")
-    rows = templates.withColumn("parent", parent)
-    n, k = F.col("labelled"), F.col("good")
-    rows = rows.withColumns({"n_rest": F.sum(n).over(siblings) - n, "k_rest": F.sum(k).over(siblings) - k})
+def differs(n: Column, k: Column, n_all: Column, k_all: Column, tree: Tree) -> Column:
+    """Whether ``n`` labelled pages of a child, ``k`` of them good, differ from the rest of its node.
+
+    The child's share is smoothed, so few pages differ little; no number of pages or of siblings is a border.
+    """
     one = F.lit(1.0)
-    pooled = F.try_divide(k + F.col("k_rest"), n + F.col("n_rest"))
-    error = F.sqrt(pooled * (one - pooled) * (F.try_divide(one, n) + F.try_divide(one, F.col("n_rest"))))
-    apart = F.abs(F.try_divide(k, n) - F.try_divide(F.col("k_rest"), F.col("n_rest")))
-    # Null where one side has no labelled page: such a branch has nothing of its own and goes with the others.
-    alike = apart <= tree.z * error
-    rows = rows.withColumn("alike", F.coalesce(alike, F.lit(True)))
-    merged = Window.partitionBy("host", "parent", "alike")
-    n_all = F.when(F.col("alike"), F.sum(n).over(merged)).otherwise(n)
-    k_all = F.when(F.col("alike"), F.sum(k).over(merged)).otherwise(k)
-    rows = rows.withColumn("purity", (k_all + tree.prior_rows * mean) / (n_all + tree.prior_rows))
-    return rows.select("host", "template", "purity", (F.col("purity") < tree.purity).alias("rejected"))
+    mean = F.try_divide(k_all, n_all)
+    smooth = (k + tree.prior_rows * mean) / (n + tree.prior_rows)
+    error = F.sqrt(mean * (one - mean) * (one / (n + tree.prior_rows) + F.try_divide(one, n_all - n)))
+    gap = F.abs(smooth - F.try_divide(k_all - k, n_all - n))
+    return F.coalesce(gap > tree.apart * error, F.lit(False))
+
+
+def branches(shapes: DataFrame, tree: Tree) -> DataFrame:
+    """``shapes(host, shape, labelled, good)`` with ``branch``: the path with ``*`` for what labels don't set apart.
+
+    All rows go down level by level while their branch holds good and bad pages; what is left of a path below
+    is of no account. Sums are made by partial aggregation, and only children that differ are joined back.
+    """
+    sums = (F.sum("labelled").alias("n"), F.sum("good").alias("k"))
+    mixed = (F.col("k") > 0) & (F.col("k") < F.col("n"))
+
+    def reopened(rows: DataFrame, level: int) -> DataFrame:
+        held = rows.groupBy("host", "branch").agg(*sums).filter(mixed).select("host", "branch", F.lit(True).alias("mixed"))
+        out = rows.join(held, ["host", "branch"], "left")
+        return out.withColumn("open", F.col("mixed").isNotNull() & (F.size("shape") > level)).drop("mixed")
+
+    level = 0
+    rows = stored(reopened(shapes.withColumn("branch", F.array().cast("array<string>")), level), "url-branches")
+    while not rows.filter("open").isEmpty():
+        rows = rows.withColumn("child", F.when(F.col("open"), F.get("shape", F.lit(level))))
+        kids = rows.filter("open").groupBy("host", "branch", "child").agg(*sums)
+        nodes = kids.groupBy("host", "branch").agg(F.sum("n").alias("n_all"), F.sum("k").alias("k_all"))
+        apart = kids.join(nodes, ["host", "branch"]).filter(differs(F.col("n"), F.col("k"), F.col("n_all"), F.col("k_all"), tree))
+        rows = rows.join(apart.select("host", "branch", "child", F.lit(True).alias("own")), ["host", "branch", "child"], "left")
+        step = F.when(F.col("own"), F.col("child")).otherwise("*")
+        rows = rows.withColumn("branch", F.when(F.col("open"), F.concat("branch", F.array(step))).otherwise(F.col("branch")))
+        level += 1
+        closed = rows.filter("not open").drop("child", "own", "open").withColumn("open", F.lit(False))
+        rows = stored(reopened(rows.filter("open").drop("child", "own", "open"), level).unionByName(closed), "url-branches")
+    return rows.drop("open")
+
+
+def judged(shapes: DataFrame, tree: Tree) -> DataFrame:
+    """``shapes(host, shape, branch, labelled, good, ...)`` with ``purity`` and ``rejected`` of their branches."""
+    mean = shapes.agg(F.try_divide(F.sum("good"), F.sum("labelled")).alias("mean")).scalar()
+    mean = F.coalesce(mean, F.lit(1.0))
+    totals = shapes.groupBy("host", "branch").agg(F.sum("labelled").alias("n"), F.sum("good").alias("k"))
+    purity = (F.col("k") + tree.prior_rows * mean) / (F.col("n") + tree.prior_rows)
+    rated = totals.select("host", "branch", purity.alias("purity"), (purity < tree.purity).alias("rejected"))
+    return shapes.join(rated, ["host", "branch"])
 
 
 def url_verdicts(
@@ -185,7 +217,7 @@ def url_verdicts(
 
     ``labelled(url, good)`` are URLs with known quality (1 good, 0 bad; nulls are left out). A null URL, or one
     without ``://``, has an empty host and path, which no rule fits; its template is empty. Without any
-    label everything that no rule blocks is allowed. Repeated rows are judged alike; an empty table gives
+    label everything that no rule blocks is allowed. ``purity`` is that of the URL's branch. Repeated rows are judged alike; an empty table gives
     an empty result; other columns are ignored.
 
     Rows are summed by host and shape with partial aggregation, so a host with any share of the rows
@@ -201,8 +233,7 @@ def url_verdicts(
     both = seen.unionByName(marks.select("host", "shape", F.lit(1).alias("labelled"), F.col("good").cast("int").alias("good")))
     shapes = both.groupBy("host", "shape").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
     shapes = stored(generalise(stored(shapes, "url-shapes"), tree), "url-templates")
-    templates = shapes.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
-    verdicts = shapes.join(judged(templates, tree), ["host", "template"]).select("host", "shape", "template", "purity", "rejected")
+    verdicts = judged(branches(shapes, tree), tree).select("host", "shape", "template", "purity", "rejected")
     verdicts = stored(verdicts, "url-verdicts")
     (fit,) = fresh(rows, "fit")
     joined = rows.join(verdicts, ["host", "shape"], "left").withColumn(fit, matching_rule(F.col("host"), F.col("path"), rules))

@@ -392,6 +392,20 @@ def test_many_sources_keep_their_weights(spark):
     assert abs(parts["big"] / sum(parts.values()) - 0.5) < 0.02
 
 
+@pytest.mark.parametrize("bad", [5, 19, 21, 200])
+def test_a_verdict_does_not_hang_on_the_number_of_siblings(spark, bad):
+    """The same section among 3, 30, 31 and 60 siblings with the same 300 good pages in all."""
+    urls = [f"http://h{n}.org/{chr(97 + i % n % 26)}z{chr(97 + i % n // 26)}/{i}" for n in (3, 30, 31, 60) for i in range(300)]
+    urls += [f"http://h{n}.org/spam/{i}" for n in (3, 30, 31, 60) for i in range(bad)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labelled = pages.select("url", F.when(F.col("url").contains("/spam/"), 0).otherwise(1).alias("good"))
+    rows = url_templates.url_verdicts(pages, [], labelled).collect()
+    seen = {(r.host, "/spam/" in r.path): (r.verdict, round(r.purity, 9)) for r in rows}
+    assert len({seen[h, True] for h, _ in seen}) == 1 and len({seen[h, False] for h, _ in seen}) == 1
+    purity = 20 * 300 / (300 + bad) / (bad + 20)  # no good page, and 20 of the average
+    assert seen["h3.org", True] == ("block" if purity < 0.5 else "allow", round(purity, 9)) and seen["h3.org", False][0] == "allow"
+
+
 def test_bad_sections_are_found_among_many_and_deep(spark):
     words = [f"{chr(97 + i % 26)}x{chr(97 + i // 26)}" for i in range(40)]
     urls = [f"http://w.org/{w}/{i}" for w in words for i in range(5)] + [f"http://w.org/spam/{i}" for i in range(200)]
