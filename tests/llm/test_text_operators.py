@@ -401,9 +401,10 @@ def test_a_verdict_does_not_hang_on_the_number_of_siblings(spark, bad):
     labelled = pages.select("url", F.when(F.col("url").contains("/spam/"), 0).otherwise(1).alias("good"))
     rows = url_templates.url_verdicts(pages, [], labelled).collect()
     seen = {(r.host, "/spam/" in r.path): (r.verdict, round(r.purity, 9)) for r in rows}
-    assert len({seen[h, True] for h, _ in seen}) == 1 and len({seen[h, False] for h, _ in seen}) == 1
+    # Good sections of another size may stand alone or together, but the verdict on them is the same.
+    assert len({seen[h, True] for h, _ in seen}) == 1 and {seen[h, False][0] for h, _ in seen} == {"allow"}
     purity = 20 * 300 / (300 + bad) / (bad + 20)  # no good page, and 20 of the average
-    assert seen["h3.org", True] == ("block" if purity < 0.5 else "allow", round(purity, 9)) and seen["h3.org", False][0] == "allow"
+    assert seen["h3.org", True] == ("block" if purity < 0.5 else "allow", round(purity, 9))
 
 
 def test_bad_sections_are_found_among_many_and_deep(spark):
