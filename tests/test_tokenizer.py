@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def texts(spark):
-    return table(spark, SF, "documents").select("doc_id", F.substring("text", 1, 100000).alias("text"))
+    return table(spark, SF, "documents").select("doc_id", "text")
 
 
 @pytest.fixture(scope="module")
