@@ -28,9 +28,9 @@ from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import whole_text
 
 # What a Python worker holds at most before it starts anew; more only saves time.
-MAX_STATES = 400_000
-MAX_PAIRS = 300_000
-MAX_PIECES = 200_000
+MAX_STATES = 250_000
+MAX_PAIRS = 200_000
+MAX_PIECES = 150_000
 # Bytes of a piece after which what is certain is given out.
 PORTION = 4_096
 # Token ids that the decoder takes at a time.
