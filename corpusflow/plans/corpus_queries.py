@@ -235,26 +235,17 @@ def validate_schema(spark, sf):
     return schema_ops.validate_schema(gaps, "pretrain", strict=True).select("doc_id", "lang")
 
 
-_SHAPES = (
-    '{"chosen": [], "rejected": [], "text": "x"}',
-    '{"conversations": [{"role": "user", "content": "hi"}], "gt": ["1"]}',
-    '{"conversations": [{"role": "assistant", "content": "a"}, {"role": "user", "content": ""}]}',
-    '{"conversations": [{"role": "user", "content": ""}, {"role": "assistant", "content": ""}]}',
-    '{"conversations": []}',
-    '{"text": "x", "messages": []}',
-    '{"dialog": [], "content": "x"}',
-    '{"passage": "x", "chosen": []}',
-    '{"label": 1}',
-)
-
-
-@query(
-    "detect_kind_rows",
-    "WITH r AS (SELECT doc_id, CASE doc_id % 9 "
-    + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SHAPES))
-    + """ END AS j FROM documents),
-k AS (SELECT doc_id, j, json_keys(j) AS ks, json_extract(j, '$.conversations[#-1]') AS l FROM r)
-SELECT doc_id, CASE
+# Records of every kind, made of the tables: texts under several names, and conversations as messages, answers,
+# preference pairs and prompts that end on an empty turn.
+_RECORDS = """m AS (SELECT conv_id, list(json_object('role', role, 'content', text) ORDER BY turn) AS m FROM conversations GROUP BY conv_id),
+r AS (SELECT 'document' AS origin, doc_id AS id, CASE lang WHEN 'en' THEN json_object('doc_id', doc_id, 'text', text)
+    WHEN 'fr' THEN json_object('content', text, 'source', source) WHEN 'de' THEN json_object('passage', text, 'chosen', lang)
+    ELSE json_object('words', text) END AS j FROM documents
+  UNION ALL SELECT 'conversation', conv_id, CASE conv_id % 5 WHEN 0 THEN json_object('conversations', m) WHEN 1 THEN json_object('messages', m)
+    WHEN 2 THEN json_object('conversations', m, 'gt', m[1]) WHEN 3 THEN json_object('chosen', m, 'rejected', m)
+    ELSE json_object('conversations', list_append(m, json_object('role', 'user', 'content', ''))) END FROM m),
+k AS (SELECT *, json_keys(j) AS ks, json_extract(j, '$.conversations[#-1]') AS l FROM r),
+kinds AS (SELECT origin, id, CASE
   WHEN list_has_all(ks, ['chosen', 'rejected']) THEN 'dpo'
   WHEN list_has_all(ks, ['conversations', 'gt']) THEN 'agent'
   WHEN list_contains(ks, 'conversations') AND json_extract_string(l, '$.role') = 'user'
@@ -263,22 +254,35 @@ SELECT doc_id, CASE
   WHEN list_contains(ks, 'text') THEN 'pretrain'
   WHEN list_has_any(ks, ['messages', 'dialog', 'chat']) THEN 'sft'
   WHEN list_has_any(ks, ['content', 'passage', 'document']) THEN 'pretrain'
-  ELSE 'unknown' END AS kind FROM k""",
-)
-def detect_kind_rows(spark, sf):
-    shape = F.get(F.array(*[F.lit(s) for s in _SHAPES]), (F.col("doc_id") % len(_SHAPES)).cast("int"))
-    return documents(spark, sf).select("doc_id", schema_ops.detect_kind_col(shape).alias("kind"))
+  ELSE 'unknown' END AS kind FROM k)"""
+
 
+def _records(spark, sf) -> DataFrame:
+    text, lang = F.col("text"), F.col("lang")
+    named = F.when(lang == "en", F.to_json(F.struct("doc_id", "text"))).when(lang == "fr", F.to_json(F.struct(text.alias("content"), "source")))
+    named = named.when(lang == "de", F.to_json(F.struct(text.alias("passage"), lang.alias("chosen"))))
+    docs = documents(spark, sf).select(
+        F.lit("document").alias("origin"), F.col("doc_id").alias("id"), named.otherwise(F.to_json(F.struct(text.alias("words")))).alias("j")
+    )
+    m, shape = F.col("messages"), F.col("conv_id") % 5
+    asks = F.concat(m, F.array(F.struct(F.lit("user").alias("role"), F.lit("").alias("content"))))
+    made = F.when(shape == 0, F.to_json(F.struct(m.alias("conversations")))).when(shape == 1, F.to_json(F.struct("messages")))
+    made = made.when(shape == 2, F.to_json(F.struct(m.alias("conversations"), m[0].alias("gt"))))
+    made = made.when(shape == 3, F.to_json(F.struct(m.alias("chosen"), m.alias("rejected")))).otherwise(F.to_json(F.struct(asks.alias("conversations"))))
+    chats = _chats(spark, sf).select(F.lit("conversation").alias("origin"), F.col("conv_id").alias("id"), made.alias("j"))
+    return docs.unionByName(chats).select("origin", "id", schema_ops.detect_kind_col(F.col("j")).alias("kind"))
 
-_NAMES = ("pretrain_a", "SFT-v2", "dpo_pairs", "rlaif", "Agent_x", "medical", "notes", "chat_reward", "toolset")
+
+@query("detect_kind_rows", f"WITH {_RECORDS} SELECT origin, id, kind FROM kinds")
+def detect_kind_rows(spark, sf):
+    return _records(spark, sf)
 
 
 @query(
     "detect_task_rows",
-    "WITH f AS (SELECT doc_id, lower('/data/' || source || '/' || CASE doc_id % 9 "
-    + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_NAMES))
-    + """ END || '.jsonl') AS p FROM documents)
-SELECT doc_id, CASE
+    f"""WITH {_RECORDS}, f AS (SELECT origin, id, lower('/data/' || left(origin, 4) || '/' || CASE id % 3 WHEN 0 THEN upper(kind) ELSE kind END
+  || CASE id % 4 WHEN 3 THEN '_medical' ELSE '' END || '.jsonl') AS p FROM kinds)
+SELECT origin, id, CASE
   WHEN regexp_matches(p, 'pretrain') THEN 'pretrain'
   WHEN regexp_matches(p, 'sft|chat|instruct|conversation') THEN 'full_sft'
   WHEN regexp_matches(p, 'dpo|preference|chosen|reject') THEN 'dpo'
@@ -288,9 +292,11 @@ SELECT doc_id, CASE
   ELSE 'full_sft' END AS task FROM f""",
 )
 def detect_task_rows(spark, sf):
-    name = F.get(F.array(*[F.lit(s) for s in _NAMES]), (F.col("doc_id") % len(_NAMES)).cast("int"))
-    path = F.concat(F.lit("/data/"), F.col("source"), F.lit("/"), name, F.lit(".jsonl"))
-    return documents(spark, sf).select("doc_id", schema_ops.detect_task(path).alias("task"))
+    """Files named by what their records are."""
+    kind = F.when(F.col("id") % 3 == 0, F.upper("kind")).otherwise(F.col("kind"))
+    topic = F.when(F.col("id") % 4 == 3, F.lit("_medical")).otherwise(F.lit(""))
+    path = F.concat(F.lit("/data/"), F.left("origin", F.lit(4)), F.lit("/"), kind, topic, F.lit(".jsonl"))
+    return _records(spark, sf).select("origin", "id", schema_ops.detect_task(path).alias("task"))
 
 
 @query(

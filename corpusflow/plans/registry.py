@@ -30,8 +30,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Readers cut files at row groups, so a small file of one group is one task; it is dealt
-    out by size, a task for each MB. Tables above one split are left as the reader cuts them."""
+    out by size, a task for each 128 KB (rows are small where there are many). Tables above one split are left as
+    the reader cuts them."""
     df = read_parquet(spark, [f"{sf_dir}/{name}.parquet"])
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    tasks = min(spark.sparkContext.defaultParallelism, size >> 20)
+    tasks = min(spark.sparkContext.defaultParallelism, size >> 17)
     return df.repartition(tasks) if 1 < tasks and size < ONE_SPLIT else df
