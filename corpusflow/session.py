@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -50,9 +51,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_to_clear: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for intermediate tables."""
-    return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared checkpoint folder for intermediate tables.
+
+    They go when the driver's program ends; :func:`clear_scratch` removes them before.
+    """
+    root = checkpoint_root(spark)
+    if root not in _to_clear:
+        _to_clear.add(root)
+        atexit.register(_clear_at_end, spark)
+    return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def _clear_at_end(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session was stopped before
+        clear_scratch(spark)
 
 
 def clear_scratch(spark: SparkSession) -> None:
