@@ -1,9 +1,10 @@
 """Benchmark decontamination: words of documents inside windows of benchmark items, as a set join.
 
 A window is a short run of an item's words; it occurs in a document if all of its shingles (runs of a few
-words) stand there in place. So one of them is enough to find all its occurrences: the one that is rarest
-in the documents. Only that one is joined, candidates that would not fit into the document are left out,
-and the others are compared word by word. All of it is DataFrame operations.
+words) stand there in place. One pass over the documents notes where the benchmark's shingles stand. Of a
+window, the shingle that is rarest in the documents is enough to find all its occurrences: only that one is
+joined, and each candidate is kept if every other shingle of the window stands at its place beside it. All of it
+is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -37,14 +38,6 @@ def part(words: Column, start: Column, size: Column) -> Column:
     return F.array_join(F.slice(words, start + 1, size), " ")
 
 
-def shingles(df: DataFrame, size: int, pos: str, key: str, words: str = "words") -> DataFrame:
-    """A row for each run of ``size`` words: where it begins, and its 64-bit key."""
-    last = F.size(words) - size
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last))
-    hashed = F.xxhash64(F.lit(size), *[F.get(F.col(words), F.col(pos) + k) for k in range(size)])
-    return df.withColumn(pos, F.explode(starts)).withColumn(key, hashed)
-
-
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df``, to be broadcast if its ``rows`` are few enough."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -59,53 +52,69 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
     return placed.select("item", "n_words", part(F.col("words"), F.col("start"), F.col("n_words")).alias("content")).distinct()
 
 
-def rarest_shingles(docs: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
-    """``key, offset, size`` beside each window of ``windows(content, n_words)``: its shingle with the fewest
-    occurrences in ``docs(words)``. Windows with a shingle that never occurs cannot occur, and are left out.
+def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
+    """``content, n_words, offset, shingle, size`` of the shingles of each window; a shorter window is one."""
+    split = windows.withColumns({"words": F.split("content", " "), "size": F.least("n_words", F.lit(shingle))})
+    placed = split.withColumn("offset", F.explode(F.sequence(F.lit(0), F.col("n_words") - F.col("size"))))
+    return placed.withColumn("shingle", part(F.col("words"), F.col("offset"), F.col("size"))).drop("words")
+
+
+def word_key(words: Column, pos: Column, size: int) -> Column:
+    return F.xxhash64(F.lit(size), *[F.get(words, pos + k) for k in range(size)])
+
+
+def standing(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``doc, pos, id, n_words``: where the ``shingles(id, shingle, size)`` stand in ``docs(doc, words)``.
+
+    Each document has a row with its ``n_words`` too, and no ``pos`` and ``id``.
+    """
+    kind = "doc", "pos", "id", "n_words"
+    nothing = F.lit(None).cast("long")
+    n_words = F.size("words").cast("long")
+    out = None
+    for row in shingles.groupBy("size").count().orderBy("size").collect():  # a row for each size up to the shingle's
+        size = row["size"]
+        words = F.split("shingle", " ")
+        some = shingles.filter(F.col("size") == size).select("id", "shingle", word_key(words, F.lit(0), size).alias("key"))
+        last = F.size("words") - size
+        if out is None:  # the first size brings the documents' own rows, as place -1
+            placed = docs.withColumn("pos", F.explode(F.sequence(F.lit(-1), F.greatest(last, F.lit(-1)))))
+            key = F.when(F.col("pos") >= 0, word_key(F.col("words"), F.col("pos"), size))
+            how = "left"
+        else:
+            placed = docs.withColumn("pos", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))))
+            key, how = word_key(F.col("words"), F.col("pos"), size), "inner"
+        met = placed.withColumn("key", key).join(small(some, row["count"]), "key", how)
+        same = F.when(F.col("id").isNotNull(), part(F.col("words"), F.col("pos"), F.lit(size)) == F.col("shingle"))
+        own = F.col("pos") < 0
+        found = met.filter(same | own).select(
+            "doc", F.when(~own, F.col("pos")).alias("pos"), "id", F.when(own, n_words).alias("n_words")
+        )
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return docs.select("doc", nothing.cast("int").alias("pos"), nothing.alias("id"), n_words.alias("n_words"))
+    return out.select(*kind)
+
+
+def occurrences(stands: DataFrame, placed: DataFrame) -> DataFrame:
+    """``doc, start, end, content`` of each place where all shingles of a window of
+    ``placed(content, n_words, offset, id)`` are among ``stands(doc, pos, id)``.
     """
-    split = windows.withColumn("words", F.split("content", " "))
-    held = []
-    for size in range(1, shingle + 1):
-        # Windows of fewer words than a shingle are one shingle.
-        of_size = F.col("n_words") >= size if size == shingle else F.col("n_words") == size
-        held.append(shingles(split.filter(of_size), size, "offset", "key").withColumn("size", F.lit(size)).drop("words"))
-    every = held[0]
-    for more in held[1:]:
-        every = every.unionByName(more)
-    every = stored(every, "item-shingles")
-    keys = every.select("key", "size").distinct()
-    n_keys = keys.groupBy("size").count().collect()  # a row for each size up to ``shingle``
-    counts = [
-        shingles(docs, row["size"], "pos", "key")
-        .select("key")
-        .join(small(keys.filter(F.col("size") == row["size"]).select("key"), row["count"]), "key")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("count"))
-        for row in n_keys
-    ]
-    if not counts:
-        return every.withColumn("count", F.lit(0).cast("long"))
-    found = counts[0]
-    for more in counts[1:]:
-        found = found.unionByName(more)
-    counted = every.join(found, "key", "left").fillna(0, ["count"])
-    first = F.min(F.struct("count", "key", "offset", "size")).alias("rarest")
-    rarest = counted.groupBy("content", "n_words").agg(first).filter(F.col("rarest.count") > 0)
-    return rarest.select("content", "n_words", "rarest.*")
-
-
-def occurrences(docs: DataFrame, rarest: DataFrame) -> DataFrame:
-    """``doc, start, end, content`` for each place in ``docs(doc, words)`` where a window stands."""
-    hits = docs.limit(0).select("doc", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("content"))
-    for row in rarest.groupBy("size").count().collect():  # a row for each size of shingles
-        some = rarest.filter(F.col("size") == row["size"]).select("key", "offset", "content", "n_words")
-        met = shingles(docs, row["size"], "pos", "key").join(small(some, row["count"]), "key")
-        start = F.col("pos") - F.col("offset")
-        fits = (start >= 0) & (start + F.col("n_words") <= F.size("words"))
-        same = F.when(fits, part(F.col("words"), start, F.col("n_words")) == F.col("content"))
-        found = met.filter(same).select("doc", start.alias("start"), (start + F.col("n_words")).alias("end"), "content")
-        hits = hits.unionByName(found)
-    return hits
+    counts = stands.groupBy("id").agg(F.count(F.lit(1)).alias("count"))
+    first = F.min(F.struct(F.coalesce("count", F.lit(0).cast("long")).alias("count"), "id", "offset")).alias("rarest")
+    windows = placed.join(counts, "id", "left").groupBy("content", "n_words").agg(first, F.count(F.lit(1)).alias("shingles"))
+    # A window with a shingle that never occurs cannot occur.
+    windows = windows.filter(F.col("rarest.count") > 0).select("content", "n_words", "shingles", F.col("rarest.id").alias("id"), "rarest.offset")
+    windows = stored(windows, "rarest")
+    begun = stands.join(small(windows, windows.count()), "id").withColumn("start", F.col("pos") - F.col("offset")).filter("start >= 0")
+    begun = begun.select("doc", "start", "content", "n_words", "shingles")
+    wanted = begun.join(small(placed.select("content", "offset", "id"), placed.count()), "content")
+    wanted = wanted.withColumn("pos", F.col("start") + F.col("offset"))
+    held = wanted.join(stands, ["doc", "pos", "id"]).groupBy("doc", "start", "content").agg(
+        F.first("n_words").alias("n_words"), F.first("shingles").alias("shingles"), F.count(F.lit(1)).alias("held")
+    )
+    whole = held.filter("held = shingles")
+    return whole.select("doc", "start", (F.col("start") + F.col("n_words")).alias("end"), "content")
 
 
 def covered(spans: Column) -> Column:
@@ -150,23 +159,27 @@ def with_leaks(
     same = F.struct(F.col(id_col).alias("id"), F.xxhash64(whole).alias("version"))  # a struct's nulls are equal
     keyed = docs.select(same.alias("doc"), words_of(F.col(text_col)).alias("words"))
     listed = stored(item_windows(items, window, item_col, item_text_col), "item-windows")
-    distinct = listed.select("content", "n_words").distinct()
-    rarest = stored(rarest_shingles(keyed.select("words"), distinct, shingle), "rarest")
-    hits = stored(occurrences(keyed, rarest), "hits")
+    spread = window_shingles(listed.select("content", "n_words").distinct(), shingle)
+    shingles = spread.select("shingle", "size").distinct().withColumn("id", F.monotonically_increasing_id())
+    shingles = stored(shingles, "benchmark-shingles")
+    placed = stored(spread.join(shingles, ["shingle", "size"]).select("content", "n_words", "offset", "id"), "window-shingles")
+    noted = stored(standing(keyed, shingles), "shingle-places")
+    # Rows that repeat id and text have noted the same places.
+    hits = stored(occurrences(noted.filter("id IS NOT NULL").select("doc", "pos", "id").distinct(), placed), "hits")
     spans = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("hits"))
     in_items = hits.select("doc", "content").distinct().join(small(listed, listed.count()), "content")
     named = in_items.groupBy("doc").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    found = spans.join(named, "doc").select(F.col("doc").alias(key), F.struct("hits", "items").alias("found"))
-    every = docs.select(
-        F.struct(*rest.columns).alias("row"), same.alias(key), F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_words")
-    )
+    sizes = noted.filter("id IS NULL").groupBy("doc").agg(F.max("n_words").alias("n_words"))
+    found = sizes.join(spans, "doc", "left").join(named, "doc", "left")
+    found = found.select(F.col("doc").alias(key), F.struct("n_words", "hits", "items").alias("found"))
+    every = docs.select(F.struct(*rest.columns).alias("row"), same.alias(key))
     return every.join(found, key, "left").select(
         "row.*",
-        "n_words",
+        F.col("found.n_words").alias("n_words"),
         F.coalesce(covered(F.col("found.hits")), F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("found.hits", F.array().cast("array<struct<start:int,end:int>>")).alias("hits"),
         F.coalesce("found.items", F.array().cast("array<string>")).alias("items"),
-        F.col("found").isNotNull().alias("contaminated"),
+        F.col("found.hits").isNotNull().alias("contaminated"),
     )
 
 
