@@ -66,7 +66,8 @@ def _at_rank(rank: Column) -> Column:
 def profile(df: DataFrame, by: list[str], text_key: str = "text", sample: int | None = None, order_key: str | None = None) -> DataFrame:
     """Per group: rows, rounded mean, exact p50 and p90 by rank, longest, and token estimates.
 
-    Ranks are read off a histogram of lengths, so only distinct lengths are ever sorted.
+    Ranks are read off a histogram of lengths, so only distinct lengths are ever sorted. Without ``by``, they are
+    all in one window: as many rows as there are different lengths, however many texts there are.
     """
     source = head(df, sample, order_key) if sample else df
     lengths = source.select(*by, F.coalesce(F.length(view_of(source, text_key, "json")), F.lit(0)).alias("_len"))
