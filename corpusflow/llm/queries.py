@@ -18,7 +18,7 @@ from corpusflow.llm.tables import table, whole_text
 from corpusflow.llm.token_counts import with_token_counts
 from corpusflow.llm.tool_calls import SCHEMAS, calls_from_conversations, link_tool_calls
 from corpusflow.llm.toxicity import held_out, train, with_toxicity
-from corpusflow.llm.transducer import with_decoded_text, with_token_ids
+from corpusflow.llm.transducer import with_round_trip
 from corpusflow.llm.trie import conversation_trie, numbered_turns, rebuilt
 from corpusflow.llm.url_templates import Rule, path_of, url_verdicts
 from corpusflow.llm.weighted_prints import fingerprints
@@ -157,7 +157,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
-    both = with_decoded_text(with_token_ids(docs, ranks).drop("text"), ranks)
+    both = with_round_trip(docs, ranks)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

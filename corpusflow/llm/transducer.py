@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.functions.fence import fence
 from corpusflow.llm.pieces import cut
-from corpusflow.llm.tables import whole_text
+from corpusflow.llm.tables import fresh, whole_text
 
 # What a Python worker holds at most before it starts anew; more only saves time.
 MAX_STATES = 250_000
@@ -74,7 +75,6 @@ class Transducer:
         self.ranks = ranks
         self.token = {rank: data for data, rank in ranks.items()}
         self.size = array("i", [len(self.token.get(i, b"")) for i in range(max(self.token) + 1)])
-        self.shift = len(self.size).bit_length()
         self.children: dict[int, int] = {}  # node * 256 + byte -> node
         self.ended = array("i", [-1])  # for each node, the token that ends there
         self.depth = array("i", [0])
@@ -98,8 +98,7 @@ class Transducer:
         """Start anew, with the start state (number 0) only."""
         self.runs: list[Runs] = [(-1,)]
         self.numbers: dict[Runs, int] = {(-1,): 0}
-        # state * 256 + byte -> next state, and in the lower bits the token that ends there
-        self.moves: dict[int, int] = {}
+        self.moves = Moves(self)
 
     def number(self, runs: Runs) -> int:
         """The state of some runs."""
@@ -121,8 +120,8 @@ class Transducer:
         self.follows[last << 32 | token] = known
         return known
 
-    def step(self, state: int, byte: int) -> int:
-        """A transition, made the first time that it is taken."""
+    def step(self, state: int, byte: int) -> tuple[int, int]:
+        """A transition: the next state times 256, and the token that ends with the byte."""
         runs = self.runs[state]
         after: list[int] = []
         ended = -1
@@ -142,8 +141,7 @@ class Transducer:
         if ended < 0:
             raise ValueError("the vocabulary lacks a byte")
         after.append(ended)
-        self.moves[state << 8 | byte] = move = self.number(tuple(after)) << self.shift | ended
-        return move
+        return self.number(tuple(after)) << 8, ended
 
     def trace(self, ended: list[int], at: int) -> list[int]:
         """The tokens of the first ``at`` bytes, from the tokens that end after each byte."""
@@ -168,27 +166,35 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        state, out, ended = 0, [], []
-        shift, mask = self.shift, (1 << self.shift) - 1
+        state, out, ended = 0, [], []  # the state's number times 256
         for begin in range(0, len(piece), PORTION):
             if len(self.runs) >= MAX_STATES:
-                runs = self.runs[state]
+                runs = self.runs[state >> 8]
                 self.forget()
-                state = self.number(runs)
+                state = self.number(runs) << 8
             if ended:
-                certain = self.agreed(ended, state)
+                certain = self.agreed(ended, state >> 8)
                 out += self.trace(ended, certain)
                 del ended[:certain]
-            moves = self.moves.get
+            moves, append = self.moves, ended.append
             for byte in piece[begin : begin + PORTION]:
-                move = moves(state << 8 | byte)
-                if move is None:
-                    move = self.step(state, byte)
-                state = move >> shift
-                ended.append(move & mask)
+                state, token = moves[state | byte]
+                append(token)
         return out + self.trace(ended, len(ended))
 
 
+class Moves(dict):
+    """Transitions by state * 256 + byte, made when they are first taken."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer = transducer
+
+    def __missing__(self, key: int) -> tuple[int, int]:
+        self[key] = move = self.transducer.step(key >> 8, key & 255)
+        return move
+
+
 class PieceIds(dict):
     """Packed ids of the pieces met so far; a missing one goes through the transducer."""
 
@@ -254,11 +260,32 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def decode_stream(portions: Iterable[list[int]], token: dict[int, bytes]) -> Iterator[str]:
+class TokenBytes:
+    """The bytes of all tokens, one after the other, so that those of many ids are taken at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        token = {rank: data for data, rank in ranks.items()}
+        sizes = np.array([len(token.get(i, b"")) for i in range(max(token) + 1)])
+        self.known = np.array([i in token for i in range(max(token) + 1)])
+        self.ends = np.cumsum(sizes)
+        self.begins = self.ends - sizes
+        self.sizes = sizes
+        self.data = np.frombuffer(b"".join(token.get(i, b"") for i in range(max(token) + 1)), np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("an id outside the vocabulary")
+        sizes = self.sizes[ids]
+        upto = np.cumsum(sizes)
+        total = int(upto[-1]) if len(ids) else 0
+        return self.data[np.repeat(self.begins[ids] - upto + sizes, sizes) + np.arange(total)].tobytes()
+
+
+def decode_stream(portions: Iterable[np.ndarray], token: TokenBytes) -> Iterator[str]:
     """Text of a stream of token ids, in portions, each cut at a whole character."""
     stream = Utf8Stream()
     for ids in portions:
-        yield stream.feed(b"".join(map(token.__getitem__, ids)))
+        yield stream.feed(token.join(ids))
     yield stream.finish()
 
 
@@ -273,8 +300,17 @@ def encoder(path: str) -> Encoder:
 
 
 @lru_cache(maxsize=2)
-def vocabulary_bytes(path: str) -> dict[int, bytes]:
-    return {rank: data for data, rank in read_ranks(path).items()}
+def vocabulary_bytes(path: str) -> TokenBytes:
+    return TokenBytes(read_ranks(path))
+
+
+def packed_ids(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def decoded(ids: np.ndarray, token: TokenBytes) -> str:
+    return "".join(decode_stream((ids[i : i + DECODE_CHUNK] for i in range(0, len(ids), DECODE_CHUNK)), token))
 
 
 def encode_text(text: Column, ranks_path: str) -> Column:
@@ -283,9 +319,7 @@ def encode_text(text: Column, ranks_path: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         pack = encoder(ranks_path).packed
-        packed = [pack(t) if t else b"" for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, packed)]) // 4
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        return packed_ids([pack(t) if t else b"" for t in texts.to_pylist()])
 
     return encode(text)
 
@@ -296,29 +330,49 @@ def decode_ids(ids: Column, ranks_path: str) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         token = vocabulary_bytes(ranks_path)
-        out: list[str | None] = []
-        for one in lists:
-            if not one.is_valid:
-                out.append(None)
-                continue
-            flat = one.values.to_numpy(zero_copy_only=False)
-            portions = (flat[i : i + DECODE_CHUNK].tolist() for i in range(0, len(flat), DECODE_CHUNK))
-            out.append("".join(decode_stream(portions, token)))
-        return pa.array(out, pa.string())
+        return pa.array(
+            [decoded(one.values.to_numpy(zero_copy_only=False), token) if one.is_valid else None for one in lists], pa.string()
+        )
 
     return decode(ids)
 
 
+def round_trip(text: Column, ranks_path: str) -> Column:
+    """A struct of the ``ids`` of a text and of what they are ``decoded`` to, in one call to Python."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        pack, token = encoder(ranks_path).packed, vocabulary_bytes(ranks_path)
+        packed = [pack(t) if t else b"" for t in texts.to_pylist()]
+        back = pa.array([decoded(np.frombuffer(p, np.int32), token) for p in packed], pa.string())
+        return pa.StructArray.from_arrays([packed_ids(packed), back], ["ids", "decoded"])
+
+    return both(text)
+
+
 def with_token_ids(df: DataFrame, ranks_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with the token ids of each whole text in ``ids_col`` (replaced if it exists).
 
     ``ranks_path`` is a file of base64 tokens and ranks, readable on every executor. Null and empty texts
     have an empty array. There are no special tokens: their strings are ordinary text. Nothing is
-    shuffled; rows keep their other columns, and repeated rows are encoded alike.
+    shuffled; rows keep their other columns, and repeated rows are encoded alike. The ids are made once,
+    even if what follows hands them to Python again.
     """
-    return df.withColumn(ids_col, encode_text(whole_text(text_col), ranks_path))
+    return fence(df, {ids_col: encode_text(whole_text(text_col), ranks_path)})
 
 
 def with_decoded_text(df: DataFrame, ranks_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` with the text of ``ids_col`` in ``text_col`` (replaced if it exists)."""
+    """``df`` with the text of ``ids_col`` in ``text_col`` (replaced if it exists).
+
+    A null array has no text, an empty one the empty text; ids outside the vocabulary are an error. Long arrays
+    are decoded in portions. Nothing is shuffled, and repeated rows are decoded alike.
+    """
     return df.withColumn(text_col, decode_ids(F.col(ids_col), ranks_path))
+
+
+def with_round_trip(df: DataFrame, ranks_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """:func:`with_token_ids` and :func:`with_decoded_text` in one call to Python: texts are encoded once, and the
+    ids are decoded before they leave. Rows and other columns, nulls, empty and long texts are as there."""
+    (both,) = fresh(df, "round_trip")
+    made = fence(df, {both: round_trip(whole_text(text_col), ranks_path)}, list(df.columns))
+    return made.withColumns({ids_col: F.col(both)["ids"], decoded_col: F.col(both)["decoded"]}).drop(both)

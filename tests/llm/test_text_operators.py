@@ -54,6 +54,11 @@ def test_transducer_equals_the_library_and_round_trips(spark):
     rows = transducer.with_decoded_text(transducer.with_token_ids(odd(spark), RANKS), RANKS).collect()
     assert len(rows) == 5 and all(r.decoded == (r.text or "") for r in rows)
     assert transducer.with_token_ids(odd(spark, []), RANKS).count() == 0
+    once = transducer.with_round_trip(odd(spark), RANKS)
+    assert sorted(once.columns) == sorted([*odd(spark).columns, "decoded"])
+    key = lambda r: (str(r.doc_id), r.text or "", r.decoded, r.ids)
+    assert sorted(map(key, once.collect())) == sorted(map(key, rows))
+    assert transducer.with_round_trip(odd(spark, []), RANKS).count() == 0
 
 
 def test_transducer_forgets_and_stays_right(monkeypatch):
