@@ -125,12 +125,15 @@ def near_fingerprints(
     paired_keys = sizes.filter(F.col("n") <= crowded).select("t", "v")
     crowded_keys = sizes.filter(F.col("n") > crowded).select("t", "v")
 
-    small = keyed.join(paired_keys, ["t", "v"], "left_semi")
+    # Spark's size estimates know nothing of the rows that an explode adds, so none of these may be broadcast.
+    small = keyed.join(paired_keys.hint("merge"), ["t", "v"], "left_semi")
     left = small.withColumnRenamed("fingerprint", "a")
     right = small.withColumnRenamed("fingerprint", "b")
-    paired = left.join(right, ["t", "v"]).filter((F.col("a") < F.col("b")) & (_distance("a", "b") <= threshold))
+    paired = left.join(right.hint("merge"), ["t", "v"]).filter((F.col("a") < F.col("b")) & (_distance("a", "b") <= threshold))
 
-    members = keyed.join(crowded_keys, ["t", "v"], "left_semi").select("fingerprint").distinct()
+    # Dealt out by number, else few members go to one task, which makes some 2,000 rows of each.
+    dealt = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = keyed.join(crowded_keys, ["t", "v"], "left_semi").select("fingerprint").repartition(dealt, "fingerprint").distinct()
     near, far = threshold // 2, threshold - threshold // 2
 
     def around(name, bits):
@@ -139,7 +142,7 @@ def near_fingerprints(
         return members.select(fingerprint.alias(name), F.explode(flipped).alias("m"))
 
     one, other = around("a", near), around("b", far)
-    met = one.join(other, "m").filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= threshold))
+    met = one.join(other.hint("merge"), "m").filter((F.col("a") != F.col("b")) & (_distance("a", "b") <= threshold))
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return paired.select("a", "b").unionByName(met).distinct()
 

@@ -34,6 +34,16 @@ def test_near_fingerprints_are_exactly_the_brute_force_pairs(spark, crowded, agr
     assert {(r.a, r.b) for r in found} == brute_pairs(values) and len(found) == len(brute_pairs(values))
 
 
+def test_exploded_fingerprints_are_never_broadcast(spark):
+    prints = spark.createDataFrame([(v,) for v in fingerprints(2, 60, 3)], "fingerprint long")
+    found = dedup.near_fingerprints(prints, 3, crowded=2, agree=2)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("Initial Plan")[0].splitlines() if "BroadcastHashJoin" in line]
+    # The keys that many share are few and may be broadcast; fingerprints and their flips may not.
+    assert all("LeftSemi" in line for line in joins) and "SortMergeJoin [m#" in plan
+
+
 def test_flip_masks_cover_the_ball(spark):
     masks = spark.range(1).select(dedup._flips(2).alias("m")).first().m
     assert len(masks) == len(set(masks)) == 1 + 64 + 64 * 63 // 2
