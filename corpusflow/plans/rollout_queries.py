@@ -6,14 +6,14 @@ source (old policy) and overall (reference).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.functions.skew import attach
 from corpusflow.functions.text import words
 from corpusflow.operators import batching, metrics, rollouts
 from corpusflow.plans import sqlparts as q
 from corpusflow.plans.registry import query, table
-from corpusflow.session import cut_lineage
+from corpusflow.session import cut_lineage, scratch_path
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,32 +22,59 @@ def _words(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _frequencies(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (lang, source, token): its count, and log-probabilities under three word models."""
     # The models read these counts many times; written once, the texts are scanned once.
-    grain = cut_lineage(_words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c")))
-    vocab = grain.select(F.count_distinct("token").alias("v")).scalar()
-
-    def model(keys, name):
-        counts = grain.groupBy(*keys, "token").agg(F.sum("c").alias("ct"))
-        if keys:
-            totals = grain.groupBy(*keys).agg(F.sum("c").alias("n"))
-            counts = counts.join(totals, keys)
-        else:
-            counts = counts.withColumn("n", grain.agg(F.sum("c").alias("n")).scalar())
-        return counts.select(*keys, "token", F.log((F.col("ct") + 1) / (F.col("n") + vocab)).alias(name))
-
-    out = grain
-    for keys, name in ((["lang"], "logp_policy"), (["source"], "logp_old"), ([], "logp_ref")):
+    grain = _stored(_words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c")), "grain")
+    vocab, total = grain.agg(F.count_distinct("token"), F.sum("c")).first()
+    counts = grain.repartition("token")  # serves all three windows
+    for keys in (["lang"], ["source"], []):
         # A token has at most one row per language and source here, so no key is hot.
-        out = out.join(model(keys, name), [*keys, "token"])
-    return cut_lineage(out)
-
-
-def token_logps(spark: SparkSession, sf: str) -> DataFrame:
-    scored = attach(
-        _words(spark, sf), _frequencies(spark, sf), ["lang", "source", "token"], ["sample_id", "pos"], "c"
-    ).drop("c")
+        counts = counts.withColumn("_".join(["n", *keys]), F.sum("c").over(Window.partitionBy("token", *keys)))
+    for key in ("lang", "source"):
+        counts = counts.join(grain.groupBy(key).agg(F.sum("c").alias(f"all_{key}")), key)
+
+    def logp(n, of):
+        return F.log((F.col(n) + 1) / (of + F.lit(vocab)))
+
+    scored = counts.select(
+        "lang", "source", "token", "c",
+        logp("n_lang", F.col("all_lang")).alias("logp_policy"),
+        logp("n_source", F.col("all_source")).alias("logp_old"),
+        logp("n", F.lit(total)).alias("logp_ref"),
+    )
+    return _stored(scored, "frequencies")
+
+
+def _frequent(freq: DataFrame, rows: int) -> Column:
+    """The condition that holds for the most frequent tokens, ``rows`` at most."""
+    rung = F.floor(F.log2("c") * 8)
+    held = freq.groupBy(rung.alias("rung")).agg(F.count(F.lit(1)).alias("n")).collect()  # a few hundred at most
+    least, so_far = None, 0
+    for r in sorted(held, reverse=True):
+        so_far += r.n
+        if so_far > rows:
+            break
+        least = r.rung
+    return F.lit(False) if least is None else rung >= least
+
+
+def token_logps(spark: SparkSession, sf: str, broadcast_rows: int = 200_000) -> DataFrame:
+    """All tokens with their log-probabilities. The most frequent ones, up to a fixed number, meet theirs where
+    they are read, and so stay beside the others of their text; the rest is shuffled."""
+    keys, freq = ["lang", "source", "token"], _frequencies(spark, sf)
+    frequent = _frequent(freq, broadcast_rows)
+    tokens, common = _words(spark, sf), F.broadcast(freq.filter(frequent).drop("c"))
+    near = tokens.join(common, keys)
+    # What is less frequent than so many others has a small share of all tokens, so no key is hot.
+    far = tokens.join(common, keys, "left_anti").join(freq.filter(~frequent).drop("c").hint("merge"), keys, "left")
+    scored = near.unionByName(far).select(*tokens.columns, "logp_policy", "logp_old", "logp_ref")
     return scored.withColumns(
         {"value": F.col("logp_policy") - F.col("logp_ref"), "mask": (F.col("pos") % 7 != 3).cast("int")}
     )

@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.functions import skew
 from corpusflow.operators import batching, rewards, rollouts
+from corpusflow.plans import rollout_queries
 
 
 def tokens(spark, sizes, seed=1):
@@ -82,3 +84,32 @@ def test_calls_against_a_registry(spark):
     small = {"add": lambda v: F.try_variant_get(v, "$.a", "double") < 5}
     got = {r.id: (r.n_calls, r.n_valid) for r in rewards.validate_by_registry(df, registry, "id", predicates=small).collect()}
     assert got == {i: (1, int(ok)) for i, (_, _, ok) in enumerate(calls)} | {99: (0, 0), 98: (1, 0)}
+
+
+def test_a_batch_of_long_rows_is_spread_by_its_ids(spark, monkeypatch):
+    asked = []
+
+    def stats(df, keys, aggregates, spread_by, min_rows=skew.ROW_BUDGET):
+        asked.append(min_rows)
+        return skew.group_stats(df, keys, aggregates, spread_by, 2)
+
+    monkeypatch.setattr(rollouts, "group_stats", stats)
+    rows = [("b", i, [7] * (i + 1), [8] * i, [1] * i, [-0.5] * i) for i in range(9)]
+    schema = "batch string, sample_id long, prompt_ids array<int>, response_ids array<int>, response_mask array<int>, response_logps array<double>"
+    packed = rollouts.pack_rollouts(spark.createDataFrame(rows, schema), ["batch"], 300).collect()
+    assert len(packed) == 9 and {len(r.input_ids) for r in packed} == {17}
+    assert asked[0] * 300 <= 10_000_000
+
+
+def test_frequent_and_rare_tokens_get_the_same_log_probabilities(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "b", "c", f"w{i}x{j}"]) for j in range(rng.randint(0, 30))) for i in range(40)]
+    rows = [(i, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2"])) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def scored(most):
+        return sorted(map(str, rollout_queries.token_logps(spark, str(tmp_path), most).collect()))
+
+    assert scored(0) == scored(12) == scored(10**6) and len(scored(0)) == sum(len(t.split()) for t in texts)
+    plan = rollout_queries.token_logps(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
