@@ -14,6 +14,7 @@ from corpusflow.functions.skew import attach, group_stats, ordered_index
 from corpusflow.functions.text import bind
 from corpusflow.session import cut_lineage
 
+_ID_BUDGET = 6_000_000  # ids of one batch that one task takes, some 16 bytes each with mask and log-probability
 _RADIX = 8  # by how much a step of a discounted sum widens it
 
 
@@ -41,7 +42,7 @@ def pack_rollouts(
 ) -> DataFrame:
     """Join prompt and response, keep the last ``max_total_len`` ids, pad to the longest of the batch.
 
-    Reads ``prompt_ids``, ``response_ids``, ``response_mask`` and ``response_logps``.
+    Rows hold whole sequences, so a batch is spread over tasks by its number of ids. Reads ``prompt_ids``, ``response_ids``, ``response_mask`` and ``response_logps``.
     """
     prompt = F.size("prompt_ids")
     ids = _last(F.concat("prompt_ids", "response_ids"), max_total_len)
@@ -60,7 +61,7 @@ def pack_rollouts(
     packed = packed.withColumn("seq_len", F.size("input_ids")).withColumn(
         "prompt_len", F.when(first > 0, first - 1).otherwise(F.size("mask"))
     )
-    sized = group_stats(packed, batch, {"_longest": F.max("seq_len")}, spread_by)
+    sized = group_stats(packed, batch, {"_longest": F.max("seq_len")}, spread_by, max(1, _ID_BUDGET // max(1, max_total_len)))
     gap = F.col("_longest") - F.col("seq_len")
     missing = F.greatest(F.col("_longest") - 1 - F.size("old_logps"), F.lit(0))
     return sized.withColumns(
