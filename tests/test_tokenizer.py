@@ -1,7 +1,10 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
 
+from corpusflow.functions import chat
+from corpusflow.functions.portions import portions
 from corpusflow.operators import examples, rollouts, tokenizer as tk
 from corpusflow.plans.registry import table
 
@@ -96,3 +99,28 @@ def test_pretrain_labels_ignore_every_pad(spark):
     rows = examples.pretrain_examples(df, 8).collect()
     assert rows[0].input_ids == [1, 5, 0, 6, 2, 0, 0, 0] and rows[0].labels == [1, 5, -100, 6, 2, -100, -100, -100]
     assert rows[1].input_ids == [1, 7, 7, 7, 7, 7, 7, 2]
+
+
+def test_portions_are_bounded_and_whole():
+    rows = [[1, 2], None, [], [3] * 9, [4], [5, 6, 7], None]
+    lists = pa.array([[0], *rows], pa.list_(pa.int32())).slice(1)
+    cut = list(portions(lists, 4))
+    assert pa.concat_arrays(cut).to_pylist() == rows
+    assert all(len(p.flatten()) <= 4 or len(p) == 1 for p in cut) and len(cut) == 3
+    assert [len(p) for p in portions(lists.slice(0, 0))] == [0]
+
+
+def test_long_batches_are_taken_in_portions(spark, monkeypatch):
+    taken = []
+    whole = tk.portions
+
+    def watched(lists):
+        return whole(lists, 5)
+
+    monkeypatch.setattr(tk, "portions", watched)
+    monkeypatch.setattr(chat, "portions", watched)
+    monkeypatch.setattr(chat, "_inside", lambda lists, *marks, f=chat._inside: taken.append(len(lists.flatten())) or f(lists, *marks))
+    lists = pa.array([[1, 9, 1, 9, 2], None, [1], [9, 9, 2, 9], []], pa.list_(pa.int32()))
+    spans = chat.span_mask.__globals__["_span_udf"]([1], [2], lambda ids, inside: inside)
+    assert spans.func(lists).to_pylist() == [[0, 1, 1, 1, 1], None, [0], [0, 0, 0, 0], []]
+    assert max(taken) <= 5 and len(taken) > 1
