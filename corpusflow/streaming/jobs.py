@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -66,40 +67,46 @@ _SENT = "kind string, metric string, n_records long, latest double, step long, v
 _STATE = "n long, ts timestamp, at long, latest double, held array<double>"
 # Records from which on the window no longer grows.
 _SETTLED = metrics.WIDEST * metrics.SHARE
+# Rows that are given out at a time.
+_PIECE = 20_000
 
 
-def _rolling(values: list[float], n: int, upto: int) -> float | None:
-    """The mean at the end of ``values``, which end with record ``upto`` of ``n``; like the batch operator's."""
+def _rolling(values: np.ndarray, at: np.ndarray, n: int, upto: np.ndarray) -> np.ndarray:
+    """The means at the ends ``at`` of ``values``, which are records ``upto`` of ``n``; like the batch operator's."""
     if n <= metrics.FEWEST:
-        return None
-    width = min(metrics.WIDEST, n // metrics.SHARE, upto)
-    total = 0.0
-    for value in values[-width:]:
-        total += value
-    return total / width
+        return np.full(len(at), np.nan)
+    widest = min(metrics.WIDEST, n // metrics.SHARE)
+    total = np.zeros(len(at))
+    for back in range(widest - 1, -1, -1):  # in the order of the records
+        total = np.where(upto > back, total + values[np.maximum(at - back, 0)], total)
+    return total / np.minimum(widest, upto)
 
 
 def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Take a refresh's new records of one metric. The state holds its last 20 values (or all of up to 59)."""
+    """Take a refresh's new records of one metric. The state holds its last 20 values (or all of up to 59).
+
+    Records are three numbers each here, and what is sent is made and given out piece by piece.
+    """
     n, ts, at, latest, held = state.get if state.exists else (0, None, None, None, [])
-    held = list(held)
-    new = pd.concat(list(frames)).sort_values(["step", "ts"], kind="stable")
-    newest = new.sort_values(["ts", "step"], kind="stable").iloc[-1]
-    if ts is None or (newest["ts"], newest["step"]) >= (ts, at):
-        ts, at, latest = newest["ts"].to_pydatetime(), int(newest["step"]), float(newest["value"])
-    values = held + [float(v) for v in new["value"]]
-    first, total = n - len(held) + 1, n + len(new)  # record numbers of the first value here, and of the last
+    columns = zip(*[[f[c].to_numpy() for c in ("step", "ts", "value")] for f in frames])
+    step, when, value = (np.concatenate(c) for c in columns)
+    newest = np.lexsort((step, when))[-1]
+    newest_ts = pd.Timestamp(when[newest])
+    if ts is None or (newest_ts, step[newest]) >= (ts, at):
+        ts, at, latest = newest_ts.to_pydatetime(), int(step[newest]), float(value[newest])
+    values = np.concatenate([np.array(held, float), value[np.lexsort((when, step))].astype(float)])
+    first, total = n - len(held) + 1, n + len(value)  # record numbers of the first value here, and of the last
     kind = "final" if total >= _SETTLED else "open"
     # Nothing of a short metric has been final so far, so all its rows are sent.
     begin = n + 1 if n >= _SETTLED else 1
-    rows = [
-        (kind, key[0], None, None, k, values[k - first], _rolling(values[max(0, k - first + 1 - metrics.WIDEST) : k - first + 1], total, k))
-        for k in range(begin, total + 1)
-    ]
-    state.update((total, ts, at, latest, values[-metrics.WIDEST :] if total >= _SETTLED else values))
-    sent = pd.DataFrame(rows, columns=["kind", "metric", "n_records", "latest", "step", "value", "smooth"])
-    last = pd.DataFrame([("latest", key[0], total, latest, None, None, None)], columns=sent.columns)
-    yield pd.concat([last, sent]).astype({"n_records": "Int64", "step": "Int64", "latest": float, "value": float, "smooth": float})
+    state.update((total, ts, at, latest, [float(v) for v in (values[-metrics.WIDEST :] if total >= _SETTLED else values)]))
+    types = {"n_records": "Int64", "step": "Int64", "latest": float, "value": float, "smooth": float}
+    names = ["kind", "metric", "n_records", "latest", "step", "value", "smooth"]
+    yield pd.DataFrame([("latest", key[0], total, latest, None, None, None)], columns=names).astype(types)
+    for start in range(begin, total + 1, _PIECE):
+        k = np.arange(start, min(start + _PIECE, total + 1))
+        rows = {"kind": kind, "metric": key[0], "n_records": None, "latest": None, "step": k, "value": values[k - first]}
+        yield pd.DataFrame(rows | {"smooth": _rolling(values, k - first, total, k)}, columns=names).astype(types)
 
 
 def stream_monitor(

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +36,28 @@ def test_refreshes_equal_batch(spark, tmp_path):
     assert len(Versions(spark, f"{tmp_path}/out").committed()) == 2
 
 
+class State:
+    exists = False
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_many_records_of_a_metric_are_sent_in_pieces():
+    start, rng, state, sent, n = dt.datetime(2024, 1, 1), random.Random(4), State(), [], 60_000
+    values = [rng.random() for _ in range(n)]
+    frames = (
+        pd.DataFrame({"ts": [start + dt.timedelta(seconds=i) for i in part], "step": part, "value": [values[i] for i in part]})
+        for part in (range(n - 1000, n), *(range(b, b + 1000) for b in range(0, n - 1000, 1000)))
+    )
+    for frame in jobs._follow(("loss",), frames, state):
+        assert len(frame) <= n // 2
+        sent += list(frame[frame["kind"] == "final"][["step", "value", "smooth"]].itertuples(index=False, name=None))
+    want = [(k, values[k - 1], sum(values[max(0, k - 20) : k]) / min(20, k)) for k in range(1, n + 1)]
+    assert [r[:2] for r in sent] == [r[:2] for r in want] and [r[2] for r in sent] == pytest.approx([r[2] for r in want])
+    assert state.get == (n, start + dt.timedelta(seconds=n - 1), n - 1, values[-1], values[-20:])
+
+
 def test_an_uncommitted_version_is_not_read(spark, tmp_path):
     table = Versions(spark, f"{tmp_path}/t")
     spark.range(3).write.parquet(table.path(0))
