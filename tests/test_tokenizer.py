@@ -101,6 +101,17 @@ def test_pretrain_labels_ignore_every_pad(spark):
     assert rows[1].input_ids == [1, 7, 7, 7, 7, 7, 7, 2]
 
 
+def test_a_partition_gives_one_row_per_pair(spark):
+    words = ["aab", "aaaa", "ba", "x", "\u00e9a"] * 30
+    state = spark.createDataFrame([("".join(tk._symbol(i) for i in w.encode()), k + 1) for k, w in enumerate(words)], "s string, n long")
+    rows = tk._pairs(state.filter(F.length("s") > 1).coalesce(1)).collect()
+    want = {}
+    for k, w in enumerate(words):
+        for pair in zip(w.encode(), w.encode()[1:]):
+            want[pair] = want.get(pair, 0) + k + 1
+    assert {tuple(ord(c) - tk._SYMBOLS for c in r.p): r.n for r in rows} == want and len(rows) == len(want)
+
+
 def test_portions_are_bounded_and_whole():
     rows = [[1, 2], None, [], [3] * 9, [4], [5, 6, 7], None]
     lists = pa.array([[0], *rows], pa.list_(pa.int32())).slice(1)
