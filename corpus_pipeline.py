@@ -2,7 +2,7 @@
 
 Toxic documents go, of exact copies the one with the largest id stays, of near duplicates (five words,
 similarity 0.8) the one with the smallest id stays, the rest is put in the order of a mixture of its
-sources, and is encoded with byte-level BPE. The result carries the order as ``slot, place``.
+sources, and is encoded with byte-level BPE. The result carries the order as ``position``, and as ``slot, place``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.llm.exact_dups import drop_exact_duplicates
-from corpusflow.llm.mixing import mixed_order, scheduled
+from corpusflow.llm.mixing import mixed_order, positioned, scheduled
 from corpusflow.llm.near_dups import drop_near_duplicates
 from corpusflow.llm.tables import shuffle_partitions, stored, table
 from corpusflow.llm.toxicity import drop_toxic, train
@@ -38,23 +38,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts all documents in the order of the mixture; the files that are written follow it."""
+    """Puts all documents in the order of the mixture; the files that are written follow it, and encoding goes by them."""
     return mixed_order(docs, shuffle_partitions(spark))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, whether decoding them gives its text back, and its turn in the mixture.
 
-    Reading files does not keep their order, so the schedule is made again from the same rows: ordered by
-    ``slot, place``, the result is the mixture.
+    ``position`` is where the files of the stage before have a document, and each source's documents take its
+    blocks in that order: ordered by ``position``, and by ``slot, place``, the result is the mixture.
     """
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    rows, block, slot, place = scheduled(docs)
-    turn = (F.col(block).alias("block"), F.col(slot).alias("slot"), F.col(place).alias("place"))
+    docs, position = positioned(docs)
+    rows, block, slot, place = scheduled(docs, order_col=position)
+    turn = (F.col(position).alias("position"), F.col(block).alias("block"), F.col(slot).alias("slot"), F.col(place).alias("place"))
     both = with_round_trip(rows.select("doc_id", "source", "text", *turn), ranks)
     return both.select(
         "doc_id",
         "source",
+        "position",
         "block",
         "slot",
         "place",

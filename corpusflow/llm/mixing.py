@@ -11,6 +11,7 @@ among the different parts, not among all sources.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.llm.tables import fresh, stored
@@ -108,25 +109,59 @@ def pattern(parts: DataFrame, cycle: int) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed: int, place: str, few: bool) -> DataFrame:
-    """``df`` with its 0-based place within its source, in the order of a hash of id and seed.
+def positioned(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with one more column, and its name: the 0-based number of each row in the order it was written in.
+
+    A write numbers its files as it does its partitions, so that is the order of the files' numbers and, within a
+    file, of its rows, however Spark deals files to tasks. What is not read straight from Parquet files is written
+    first, one partition after the other.
+    """
+    position, path, row = fresh(df, "mix_position", "mix_path", "mix_row")
+
+    def located(table: DataFrame) -> DataFrame:
+        read = table.metadataColumn("_metadata")
+        return table.withColumns({path: read["file_path"], row: read["row_index"]})
+
+    try:
+        rows = located(df)
+    except AnalysisException:
+        rows = located(stored(df, "mix-written"))
+    sizes = rows.groupBy(path).agg((F.max(row) + 1).alias("n"))  # one row for each file
+    # A name is part-<partition>-<id of the write>-c<file of the partition>.
+    of = [F.regexp_extract(path, p, 1) for p in ("^(.*/)", "/part-([0-9]+)[^/]*$", "-c([0-9]+)[^/]*$")]
+    running = Window.orderBy(of[0], of[1].try_cast("long"), of[2].try_cast("long"), path)
+    before = stored(sizes.select(path, (F.sum("n").over(running) - F.col("n")).alias(position)), "mix-files")
+    rows = rows.join(F.broadcast(before), path).withColumn(position, F.col(position) + F.col(row))
+    return rows.drop(path, row), position
+
+
+def numbered(
+    df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed: int, place: str, few: bool, order_col: str | None = None
+) -> DataFrame:
+    """``df`` with its 0-based place within its source, in the order of a hash of id and seed, or of ``order_col``.
 
     Rows are dealt by ranges of the hash into groups of about ``GROUP_ROWS`` rows, however large the
     source; a row's place is its number in its group plus the sizes of the groups before. ``few`` says
-    that there are few sources, so their sizes are broadcast.
+    that there are few sources, so their sizes are broadcast. Groups by ``order_col`` are ``GROUP_ROWS`` numbers wide.
     """
     key, share, group, before = fresh(df, "mix_key", "mix_hash", "mix_group", "mix_before")
-    hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
-    groups = F.ceil(F.col("rows") / GROUP_ROWS)
-    many = sizes.select(F.struct("source").alias(key), groups.alias(before))
-    if few:
-        many = F.broadcast(many)
-    dealt = (
-        df.withColumns({key: F.struct(F.col(source_col).alias("source")), share: hashed})
-        .join(many, key)  # one row for each source
-        .withColumn(group, F.floor(F.conv(F.substring(share, 1, 8), 16, 10).cast("long") * F.col(before) / 2**32))
-        .drop(before)
-    )
+    keyed = df.withColumn(key, F.struct(F.col(source_col).alias("source")))
+    if order_col is None:
+        hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
+        groups = F.ceil(F.col("rows") / GROUP_ROWS)
+        many = sizes.select(F.struct("source").alias(key), groups.alias(before))
+        if few:
+            many = F.broadcast(many)
+        dealt = (
+            keyed.withColumn(share, hashed)
+            .join(many, key)  # one row for each source
+            .withColumn(group, F.floor(F.conv(F.substring(share, 1, 8), 16, 10).cast("long") * F.col(before) / 2**32))
+            .drop(before)
+        )
+        ties = [F.col(id_col), F.xxhash64(*[F.col(c) for c in df.columns])]
+    else:
+        dealt = keyed.withColumns({share: F.col(order_col), group: F.floor(F.col(order_col) / GROUP_ROWS)})
+        ties = []
     counts = stored(dealt.groupBy(key, group).agg(F.count(F.lit(1)).alias("n")), "mix-groups")
     sums = counts.groupBy(key, F.floor(F.col(group) / SUPER_GROUPS).alias("super")).agg(F.sum("n").alias("all"))
     running = Window.partitionBy(key).orderBy("super")
@@ -134,18 +169,19 @@ def numbered(df: DataFrame, sizes: DataFrame, id_col: str, source_col: str, seed
     inside = Window.partitionBy(key, "super").orderBy(group)
     offsets = counts.withColumn("super", F.floor(F.col(group) / SUPER_GROUPS)).withColumn("own", F.sum("n").over(inside) - F.col("n"))
     offsets = stored(offsets.join(sums, [key, "super"]).select(key, group, (F.col("own") + F.col("ahead")).alias(before)), "mix-offsets")
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    order = Window.partitionBy(key, group).orderBy(share, F.col(id_col), tie)
+    order = Window.partitionBy(key, group).orderBy(share, *ties)
     ranked = dealt.withColumn(place, F.row_number().over(order) - 1)
     return ranked.join(offsets, [key, group]).withColumn(place, F.col(place) + F.col(before)).drop(key, group, share, before)
 
 
 def with_slots(
-    df: DataFrame, parts: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block_rows: int = 8, cycle: int | None = None, seed: int = 0
+    df: DataFrame, parts: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block_rows: int = 8, cycle: int | None = None, seed: int = 0,
+    order_col: str | None = None,
 ) -> DataFrame:
     """``df`` with ``block, slot, released, due`` and ``place``: the mixture is the order of ``slot, place``.
 
-    Within a source, documents follow a hash of their ids, and each ``block_rows`` of them are a block.
+    Within a source, documents follow a hash of their ids, or ``order_col`` (different numbers, none null), and each
+    ``block_rows`` of them are a block.
     ``parts(source, rows, parts)`` are the targets (by default :func:`tempered_parts`); ``parts`` must add
     up to ``cycle``, which by default is their sum. Any number of sources is scheduled. Every row gets exactly one slot: nothing is repeated or dropped. A source that runs
     out leaves its later slots empty, so the others keep their proportions among themselves. A source
@@ -168,7 +204,7 @@ def with_slots(
         sizes = stored(known, "mix-sizes")
     plan = stored(pattern(targets, cycle), "mix-pattern")  # one row for each slot
     key, within, turn = fresh(df, "mix_key", "mix_within", "mix_turn")
-    rows = numbered(df, sizes, id_col, source_col, seed, "place", few and parts is None).withColumns(
+    rows = numbered(df, sizes, id_col, source_col, seed, "place", few and parts is None, order_col).withColumns(
         {"block": F.floor(F.col("place") / block_rows), key: F.struct(F.col(source_col).alias("source"))}
     )
     each = small(targets.filter("parts > 0").select(F.struct("source").alias(key), F.col("parts").alias(turn)))
@@ -200,7 +236,7 @@ def scheduled(df: DataFrame, **options) -> tuple[DataFrame, str, str, str]:
 def mixed_order(df: DataFrame, partitions: int, **options) -> DataFrame:
     """``df`` in the order of the mixture, range-partitioned, so that written files follow it.
 
-    Readers don't keep the order across files; a later stage gets it from :func:`scheduled` again.
+    Readers don't keep the order across files; a later stage gets it back with :func:`positioned`.
     """
     rows, _, slot, place = scheduled(df, **options)
     by = (F.col(slot).asc_nulls_last(), F.col(place))

@@ -8,6 +8,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import tokenizers
@@ -369,6 +371,44 @@ def test_pipeline_result_carries_the_mixture(spark, tmp_path, monkeypatch):
     assert {r.doc_id: (r.slot, r.place) for r in out} == want and all(r.block == r.place // 8 for r in out)
 
 
+def test_encoding_follows_what_mixing_has_written(spark, tmp_path, monkeypatch):
+    ids = {"a": range(0, 3000), "b": range(3000, 3700), "c": range(3700, 3720), None: range(3720, 3750)}
+    rows = [(i, f"text {i} " * (1 + 40 * (i % 7 == 0)), s) for s, members in ids.items() for i in members]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    encoding = corpus_pipeline.STAGES[-1]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [x for x in corpus_pipeline.STAGES if x[0] in ("mixing", "encoding")])
+    out = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: r.position)
+    assert [r.position for r in out] == list(range(3750))
+    assert out == sorted(out, key=lambda r: (r.slot, r.place)) and {r.source for r in out[:200]} == set(ids)
+    # Another order in the files is another result, also where a partition is written to several files.
+    backwards = lambda spark, docs, _: docs.repartitionByRange(3, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("mixing", backwards), encoding])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    out = {r.doc_id: r for r in got.collect()}
+    assert [out[i].position for i in range(3749, -1, -1)] == list(range(3750))
+    for members in ids.values():
+        assert [(out[i].place, out[i].block) for i in reversed(members)] == [(k, k // 8) for k in range(len(members))]
+
+
+def test_positions_are_those_in_the_files(spark, tmp_path):
+    for n, name in enumerate(("part-9", "part-99999-x-c000", "part-100000-x-c999", "part-100000-x-c1000", "part-x")):
+        pq.write_table(pa.table({"doc_id": [10 * n, 10 * n + 1], "_metadata": [0, 0]}), f"{tmp_path}/{name}.parquet")
+    rows, position = mixing.positioned(spark.read.parquet(str(tmp_path)))
+    got = sorted(rows.collect(), key=lambda r: r[position])
+    assert [r.doc_id for r in got] == [40, 41, 0, 1, 10, 11, 20, 21, 30, 31] and [r[position] for r in got] == list(range(10))
+    assert rows.columns == ["doc_id", "_metadata", position]
+    # What was not read from files is written in the order of its partitions.
+    made = spark.range(100, numPartitions=7).withColumn("mix_position", F.lit("own")).repartitionByRange(4, F.desc("id")).sortWithinPartitions(F.desc("id"))
+    rows, position = mixing.positioned(made)
+    assert sorted((r[position], r.id) for r in rows.collect()) == [(k, 99 - k) for k in range(100)]
+    assert rows.columns == ["id", "mix_position", position] and mixing.positioned(made.limit(0))[0].count() == 0
+
+
 @pytest.mark.parametrize("n", [7, 500])
 def test_schedule_equals_brute_force(spark, n):
     rng = random.Random(n)
