@@ -12,6 +12,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.functions.memory import tidy
+from corpusflow.functions.portions import row_portions
 from corpusflow.llm.graph import components
 from corpusflow.llm.tables import fresh, stored, whole_text
 
@@ -124,7 +126,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFra
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, factors = WordHashes(), p.factors()
-        for batch in batches:
+        for batch in (rows for b in batches for rows in row_portions(b, 2)):
             sizes, keys, bands, bits = [], [], [], []
             for text in batch.column(2).to_pylist():
                 shingles = shingle_set(text, p.shingle, hashes)
@@ -138,7 +140,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFra
             yield pa.record_batch(columns, ["doc_id", "version", "n_shingles", "set_key", "bands", "bits"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), version_of(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(sign, schema)
+    return rows.mapInArrow(tidy(sign), schema)
 
 
 def different_bits(a: Column, b: Column, p: MinHash) -> Column:
@@ -175,7 +177,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         last_text, last_set = None, None
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in row_portions(whole, 2, 3)):
             a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
             linked = []
             for left, right in zip(text_a, text_b):
@@ -188,7 +190,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
             yield pa.record_batch([pa.array(a, pa.int64()).filter(mask), pa.array(b, pa.int64()).filter(mask)], ["a", "b"])
 
     side = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def texts_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, p: MinHash) -> DataFrame:
@@ -198,7 +200,7 @@ def texts_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, p: Mi
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (rows for b in batches for rows in row_portions(b, 1)):
             keep = [
                 hashlib.blake2b(shingle_set(text, p.shingle, hashes).tobytes(), digest_size=16).digest() == key
                 for text, key in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
@@ -208,17 +210,17 @@ def texts_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, p: Mi
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (rows for b in batches for rows in row_portions(b, 0)):
             texts = batch.column(0).to_pylist()
             keys = [hashlib.blake2b(shingle_set(text, p.shingle, hashes).tobytes(), digest_size=16).digest() for text in texts]
             yield pa.record_batch([pa.array(keys, pa.binary()), batch.column(0)], ["set_key", "text"])
 
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    named = docs.join(wanted, "doc_id").select("node", "text", "set_key").mapInArrow(same, "node long, text string")
+    named = docs.join(wanted, "doc_id").select("node", "text", "set_key").mapInArrow(tidy(same), "node long, text string")
     nameless = wanted.filter("doc_id is null").select("set_key", "node")
     if nameless.isEmpty():
         return named
-    keys = docs.filter("doc_id is null").select("text").mapInArrow(keyed, "set_key binary, text string")
+    keys = docs.filter("doc_id is null").select("text").mapInArrow(tidy(keyed), "set_key binary, text string")
     return named.unionByName(keys.join(nameless, "set_key").groupBy("node").agg(F.min("text").alias("text")))
 
 
@@ -278,7 +280,7 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, p: MinHash) -> DataFrame:
                 yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     ordered = dealt.repartition(F.col("key"), F.col("block")).sortWithinPartitions("key", "block", "visits")
-    return ordered.mapInArrow(search, "a long, b long").distinct()
+    return ordered.mapInArrow(tidy(search), "a long, b long").distinct()
 
 
 class BlockIndex:
@@ -326,7 +328,7 @@ def links_within(grouped: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
         nodes: list[int] = []
         roots: list[int] = []
         sets: list[np.ndarray] = []
-        for batch in batches:
+        for batch in (rows for b in batches for rows in row_portions(b, 5)):
             found: dict[tuple[int, int], int] = {}
             for group, block, visiting, node, root, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (group, block) != here:
@@ -349,7 +351,7 @@ def links_within(grouped: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(list(found.values()), pa.int64())], ["a", "b"])
 
     ordered = dealt.repartition(F.col("group"), F.col("block")).sortWithinPartitions("group", "block", "visits")
-    return ordered.mapInArrow(compare, "a long, b long")
+    return ordered.mapInArrow(tidy(compare), "a long, b long")
 
 
 def judged_rows(df: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:

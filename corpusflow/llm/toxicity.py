@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.functions.memory import give_back, other_work, tidy
+from corpusflow.functions.portions import row_portions, text_portions
 from corpusflow.llm.tables import fresh, stored, whole_text
 
 BUCKETS = 1 << 17
@@ -148,7 +150,7 @@ def fit_rows(batches: Iterator[pa.RecordBatch], t: Training) -> tuple[np.ndarray
     """Fit from batches of ``text, label, weight``."""
     numbers: dict[str, int] = {}
     bags, labels, weight = [], [], []
-    for batch in batches:
+    for batch in (rows for b in batches for rows in row_portions(b, 0)):
         for text, label, w in zip(*(c.to_pylist() for c in batch.columns)):
             parts = PARTS.findall(text.lower())
             bag = np.array([-1 if p in ENDS else numbers.setdefault(p, len(numbers)) for p in parts], np.int64)
@@ -198,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, t: Training = Training(), id_col:
         weights, bias = fit_rows(batches, t)
         yield pa.record_batch([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
 
-    model = stored(rows.mapInArrow(learn, "weights binary, bias double"), "toxicity-model").first()
+    model = stored(rows.mapInArrow(tidy(learn), "weights binary, bias double"), "toxicity-model").first()
     # Without a labelled document in the table there is no task to fit anything.
     return (bytes(model["weights"]), model["bias"]) if model else no_model()
 
@@ -211,10 +213,11 @@ def scored(text: Column, model: tuple[bytes, float], threshold: float) -> Column
     @F.arrow_udf("struct<score:double,sentences:array<struct<start:int,end:int,score:double>>>")
     def score(texts: pa.Array) -> pa.Array:
         if not cell:
+            other_work()
             cell.append(WordScores(np.frombuffer(packed, np.float32).astype(np.float64)))
         words = cell[0]
         scores, spans = [], []
-        for text in texts.to_pylist():
+        for text in (t for part in text_portions(texts) for t in part.to_pylist()):
             lowered = (text or "").lower()
             parts = PARTS.findall(lowered)
             words.learn(set(parts))
@@ -230,6 +233,7 @@ def scored(text: Column, model: tuple[bytes, float], threshold: float) -> Column
             else:
                 spans.append([])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+        give_back()
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(spans, kind)], ["score", "sentences"])
 
     return score(text)

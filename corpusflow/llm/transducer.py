@@ -18,13 +18,14 @@ import base64
 import gc
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions.fence import fence
+from corpusflow.functions.memory import give_back, kept
+from corpusflow.functions.portions import text_portions
 from corpusflow.llm.pieces import cut
 from corpusflow.llm.tables import fresh, whole_text
 
@@ -289,7 +290,7 @@ def decode_stream(portions: Iterable[np.ndarray], token: TokenBytes) -> Iterator
     yield stream.finish()
 
 
-@lru_cache(maxsize=2)
+@kept
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary and Python worker. Its tables are many small objects without
     cycles to collect, so the collector is told to look for some less often."""
@@ -299,7 +300,7 @@ def encoder(path: str) -> Encoder:
     return made
 
 
-@lru_cache(maxsize=2)
+@kept
 def vocabulary_bytes(path: str) -> TokenBytes:
     return TokenBytes(read_ranks(path))
 
@@ -319,7 +320,9 @@ def encode_text(text: Column, ranks_path: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         pack = encoder(ranks_path).packed
-        return packed_ids([pack(t) if t else b"" for t in texts.to_pylist()])
+        packed = [pack(t) if t else b"" for part in text_portions(texts) for t in part.to_pylist()]
+        give_back()
+        return packed_ids(packed)
 
     return encode(text)
 
@@ -343,9 +346,15 @@ def round_trip(text: Column, ranks_path: str) -> Column:
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def both(texts: pa.Array) -> pa.Array:
         pack, token = encoder(ranks_path).packed, vocabulary_bytes(ranks_path)
-        packed = [pack(t) if t else b"" for t in texts.to_pylist()]
-        back = pa.array([decoded(np.frombuffer(p, np.int32), token) for p in packed], pa.string())
-        return pa.StructArray.from_arrays([packed_ids(packed), back], ["ids", "decoded"])
+        packed, back = [], [pa.array([], pa.string())]
+        for part in text_portions(texts):
+            some = [pack(t) if t else b"" for t in part.to_pylist()]
+            packed += some
+            back.append(pa.array([decoded(np.frombuffer(p, np.int32), token) for p in some], pa.string()))
+        ids = packed_ids(packed)
+        del packed
+        give_back()
+        return pa.StructArray.from_arrays([ids, pa.concat_arrays(back)], ["ids", "decoded"])
 
     return both(text)
 
