@@ -80,10 +80,25 @@ def align_logps(ids: Column, logps: Column) -> Column:
 
 
 def join_logps(policy: DataFrame, old: DataFrame, ref: DataFrame) -> DataFrame:
-    """Three tables of ``(sample_id, pos, logp)`` as columns of one."""
-    keys = ["sample_id", "pos"]
-    named = [t.select(*keys, F.col("logp").alias(n)) for t, n in ((policy, "logp_policy"), (old, "logp_old"), (ref, "logp_ref"))]
-    return named[0].join(named[1], keys).join(named[2], keys)
+    """Three tables of ``(sample_id, pos, logp)`` as columns of one: an inner join on sample and position.
+
+    A join on both would deal out tables anew that are dealt out by sample, as other operators want them. So the rows
+    of the three are put under each other and meet those of their position in a window over the sample.
+    """
+    keys, names = ["sample_id", "pos"], ["logp_policy", "logp_old", "logp_ref"]
+    held = F.struct(F.col("logp").alias("v"))  # a null is a value here too
+    parts = [
+        t.filter(F.col("sample_id").isNotNull() & F.col("pos").isNotNull()).select(
+            *keys, *[(held if n == name else F.lit(None).cast("struct<v:double>")).alias(n) for n in names]
+        )
+        for t, name in zip((policy, old, ref), names, strict=True)
+    ]
+    here = Window.partitionBy("sample_id").orderBy("pos").rangeBetween(Window.currentRow, Window.currentRow)
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    met = rows.withColumns({n: F.collect_list(n).over(here) for n in names[:2]}).filter(F.col(names[2]).isNotNull())
+    for n in names[:2]:
+        met = met.withColumn(n, F.explode(n))
+    return met.select(*keys, *[F.col(n)["v"].alias(n) for n in names])
 
 
 def _mean(value: Column, mask: Column) -> Column:

@@ -13,26 +13,33 @@ from corpusflow.functions.text import words
 from corpusflow.operators import batching, metrics, rollouts
 from corpusflow.plans import sqlparts as q
 from corpusflow.plans.registry import query, table
-from corpusflow.session import cut_lineage, scratch_path
+from corpusflow.session import cut_lineage, discard, scratch_path, shuffles_cleared, stored
+from corpusflow.sources.readers import read_parquet
 
 
-def _words(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").alias("sample_id"), "lang", "source", F.posexplode(words(F.col("text"))).alias("pos", "token")
-    )
+_TEXT_BYTES = 2 << 20  # of the stored documents that one task takes when they are dealt out by sample,
+_MOST_PARTS = 4_000  # as long as that makes no more parts than these
+
 
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").alias("sample_id"), "lang", "source", "text")
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def _split(texts: DataFrame) -> DataFrame:
+    return texts.select("sample_id", "lang", "source", F.posexplode(words(F.col("text"))).alias("pos", "token"))
+
+
+def _words(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(_texts(table(spark, sf, "documents")))
 
 
-def _frequencies(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per (lang, source, token): its count, and log-probabilities under three word models."""
+def _frequencies(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    """One row per (lang, source, token): its count, and log-probabilities ``logps`` under three word models. Stored at ``path``."""
     # The models read these counts many times; written once, the texts are scanned once.
-    grain = _stored(_words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c")), "grain")
-    vocab, total = grain.agg(F.count_distinct("token"), F.sum("c")).first()
+    counted = _words(spark, sf).groupBy("lang", "source", "token").agg(F.count(F.lit(1)).alias("c"))
+    grain = stored(counted, grain_path := scratch_path(spark, "grain"))
+    with shuffles_cleared(spark):
+        vocab, total = grain.agg(F.count_distinct("token"), F.sum("c")).first()
     counts = grain.repartition("token")  # serves all three windows
     for keys in (["lang"], ["source"], []):
         # A token has at most one row per language and source here, so no key is hot.
@@ -45,11 +52,12 @@ def _frequencies(spark: SparkSession, sf: str) -> DataFrame:
 
     scored = counts.select(
         "lang", "source", "token", "c",
-        logp("n_lang", F.col("all_lang")).alias("logp_policy"),
-        logp("n_source", F.col("all_source")).alias("logp_old"),
-        logp("n", F.lit(total)).alias("logp_ref"),
+        # One column, so that whoever reads some of the three shares a shuffle or broadcast with who reads the others.
+        F.array(logp("n_lang", F.col("all_lang")), logp("n_source", F.col("all_source")), logp("n", F.lit(total))).alias("logps"),
     )
-    return _stored(scored, "frequencies")
+    freq = stored(scored, path)
+    discard(spark, grain_path)
+    return freq
 
 
 def _frequent(freq: DataFrame, rows: int) -> Column:
@@ -65,16 +73,32 @@ def _frequent(freq: DataFrame, rows: int) -> Column:
     return F.lit(False) if least is None else rung >= least
 
 
-def token_logps(spark: SparkSession, sf: str, broadcast_rows: int = 200_000) -> DataFrame:
+def token_logps(spark: SparkSession, sf: str, broadcast_rows: int = 500_000, by_sample: bool = False) -> DataFrame:
     """All tokens with their log-probabilities. The most frequent ones, up to a fixed number, meet theirs where
-    they are read, and so stay beside the others of their text; the rest is shuffled."""
-    keys, freq = ["lang", "source", "token"], _frequencies(spark, sf)
+    they are read, and so stay beside the others of their text; the rest is shuffled once and stored.
+
+    ``by_sample`` deals out the rows by ``sample_id``: frequent tokens as whole texts, which are split where they
+    arrive and take a fraction of their tokens' bytes, the others as rows. Windows and joins by sample, or by sample
+    and position, then shuffle no tokens.
+    """
+    keys = ["lang", "source", "token"]
+    freq = _frequencies(spark, sf, freq_path := scratch_path(spark, "frequencies"))
     frequent = _frequent(freq, broadcast_rows)
-    tokens, common = _words(spark, sf), F.broadcast(freq.filter(frequent).drop("c"))
-    near = tokens.join(common, keys)
+    common = F.broadcast(stored(freq.filter(frequent).drop("c"), scratch_path(spark, "frequent")))
     # What is less frequent than so many others has a small share of all tokens, so no key is hot.
-    far = tokens.join(common, keys, "left_anti").join(freq.filter(~frequent).drop("c").hint("merge"), keys, "left")
-    scored = near.unionByName(far).select(*tokens.columns, "logp_policy", "logp_old", "logp_ref")
+    found = _words(spark, sf).join(common, keys, "left_anti").join(freq.filter(~frequent).hint("merge"), keys, "left")
+    far = stored(found.select("sample_id", *keys, "pos", "logps"), scratch_path(spark, "rare"))
+    discard(spark, freq_path)
+    if by_sample:
+        documents = read_parquet(spark, [f"{sf}/documents.parquet"])
+        size = int(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // _TEXT_BYTES, _MOST_PARTS))
+        tokens, far = _split(_texts(documents).repartition(parts, "sample_id")), far.repartition(parts, "sample_id")
+    else:
+        tokens = _words(spark, sf)
+    names = ("logp_policy", "logp_old", "logp_ref")
+    logps = [F.get("logps", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    scored = tokens.join(common, keys).unionByName(far).select(*tokens.columns, *logps)
     return scored.withColumns(
         {"value": F.col("logp_policy") - F.col("logp_ref"), "mask": (F.col("pos") % 7 != 3).cast("int")}
     )
@@ -221,7 +245,7 @@ def kl_terms(spark, sf):
     f"WITH {_TOKENS} SELECT sample_id, count(*) AS n, round(sum(lp), 5) AS policy, round(sum(lo), 5) AS old, round(sum(lr), 5) AS ref FROM tl GROUP BY sample_id",
 )
 def join_logps(spark, sf):
-    tokens = token_logps(spark, sf)
+    tokens = token_logps(spark, sf, by_sample=True)
     parts = [tokens.select("sample_id", "pos", F.col(c).alias("logp")) for c in ("logp_policy", "logp_old", "logp_ref")]
     sums = rollouts.join_logps(*parts).groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("logp_policy").alias("policy"), F.sum("logp_old").alias("old"), F.sum("logp_ref").alias("ref")

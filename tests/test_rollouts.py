@@ -2,6 +2,8 @@
 
 import json
 import random
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import skew
 from corpusflow.operators import batching, rewards, rollouts
 from corpusflow.plans import rollout_queries
+from corpusflow.session import checkpoint_root
 
 
 def tokens(spark, sizes, seed=1):
@@ -113,3 +116,62 @@ def test_frequent_and_rare_tokens_get_the_same_log_probabilities(spark, tmp_path
     assert scored(0) == scored(12) == scored(10**6) and len(scored(0)) == sum(len(t.split()) for t in texts)
     plan = rollout_queries.token_logps(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "BroadcastHashJoin" in plan
+
+
+def documents(spark, path, n=40):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a", "b", "c", f"w{i}x{j}"]) for j in range(rng.randint(1, 30))) for i in range(n)]
+    ids = [None if i % 11 == 3 else i // 2 if i % 7 == 1 else i for i in range(n)]
+    rows = [(i, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2"]), len(t)) for i, t in zip(ids, texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+@pytest.fixture
+def few_frequent(monkeypatch):
+    """Most words are rare, as in large tables."""
+    whole = rollout_queries.token_logps
+    monkeypatch.setattr(rollout_queries, "token_logps", lambda spark, sf, **how: whole(spark, sf, 8, **how))
+
+
+def shuffles(df):
+    """The keys by which the plan deals out rows."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return Counter(line.split("hashpartitioning(")[1].split(")")[0].rsplit(", ", 1)[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line)
+
+
+def test_tokens_by_sample_are_the_same_and_counts_are_removed(spark, tmp_path):
+    sf = documents(spark, tmp_path)
+
+    def rows(**how):
+        return sorted(map(str, rollout_queries.token_logps(spark, sf, 8, **how).collect()))
+
+    scratch = Path(checkpoint_root(spark).removeprefix("file:")) / "scratch"
+    before = set(scratch.glob("*"))
+    assert rows(by_sample=True) == rows() and rows()
+    assert {p.name.split("-")[0] for p in set(scratch.glob("*")) - before} == {"frequent", "rare"}
+
+
+def test_joined_logps_meet_without_a_shuffle_of_tokens(spark, tmp_path, few_frequent):
+    df = rollout_queries.join_logps(spark, documents(spark, tmp_path))
+    dealt = shuffles(df)
+    assert not any("pos" in keys for keys in dealt)
+    # Rows and texts only, with no other shuffle for the groups by sample.
+    assert {keys.split("#")[0] for keys in dealt} == {"sample_id"} and sum(dealt.values()) <= 6
+
+
+def test_joined_logps_with_nulls_and_repeated_keys(spark):
+    tables = [
+        [(1, 0, 0.1), (1, 1, 0.2), (2, 0, 0.3), (2, 0, 0.4), (None, 0, 1.0), (3, None, 1.0), (4, 0, 1.0), (5, 2, None)],
+        [(1, 0, 1.1), (1, 1, None), (2, 0, 1.3), (None, 0, 1.0), (3, None, 1.0), (5, 2, 2.0), (6, 0, 2.0)],
+        [(1, 0, 2.1), (1, 1, 2.2), (2, 0, 2.3), (2, 0, 2.4), (2, 0, 2.5), (None, 0, 1.0), (3, None, 1.0), (4, 0, 1.0), (5, 2, 3.0)],
+    ]
+    frames = [spark.createDataFrame(t, "sample_id long, pos int, logp double") for t in tables]
+    got = rollouts.join_logps(*frames)
+    assert got.dtypes == [("sample_id", "bigint"), ("pos", "int"), ("logp_policy", "double"), ("logp_old", "double"), ("logp_ref", "double")]
+    want = Counter(
+        (s, p, x, y, z)
+        for s, p, x in tables[0] for t, q, y in tables[1] for u, r, z in tables[2]
+        if None not in (s, p) and (s, p) == (t, q) == (u, r)
+    )
+    assert Counter(map(tuple, got.collect())) == want
