@@ -173,14 +173,18 @@ def ppo_terms(
 
 
 def place_reward(tokens: DataFrame, rewards: DataFrame) -> DataFrame:
-    """Add ``token_reward``: the sample's reward on its last valid token, zero elsewhere."""
-    ends = tokens.filter("mask = 1").groupBy("sample_id").agg(F.max("pos").alias("_end"))
-    paid = ends.join(rewards.select("sample_id", "reward"), "sample_id")
-    # By sample alone, like the windows that follow, so tokens are shuffled once.
-    here = F.when(F.col("pos") == F.col("_end"), F.col("reward"))
-    return tokens.join(paid, "sample_id", "left").withColumn("token_reward", F.coalesce(here, F.lit(0.0))).drop(
-        "reward", "_end"
-    )
+    """Add ``token_reward``: the sample's reward on its last valid token, zero elsewhere.
+
+    Tokens are read once, and moved once by sample and position, like the windows that may follow; rewards, a row
+    per sample, meet them by a hash of their part, which keeps that order.
+    """
+    along = Window.partitionBy("sample_id").orderBy("pos")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ended = tokens.withColumn("_end", F.max(F.when(F.col("mask") == 1, F.col("pos"))).over(whole))
+    paid = rewards.select(F.col("sample_id").alias("_paid"), F.col("reward").alias("_reward")).hint("shuffle_hash")
+    met = ended.join(paid, (F.col("sample_id") == F.col("_paid")) & F.col("_end").isNotNull(), "left")
+    here = F.when(F.col("pos") == F.col("_end"), F.col("_reward"))
+    return met.withColumn("token_reward", F.coalesce(here, F.lit(0.0))).drop("_paid", "_reward", "_end")
 
 
 def discounted_rest(rate: float, column: Column, along: WindowSpec) -> Iterator[Column]:

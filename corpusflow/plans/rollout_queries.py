@@ -308,7 +308,7 @@ def surrogate_cispo_batches(spark, sf):
 
 
 def _rewarded(spark: SparkSession, sf: str) -> DataFrame:
-    return rollouts.place_reward(token_logps(spark, sf), _samples(spark, sf))
+    return rollouts.place_reward(token_logps(spark, sf, by_sample=True), _samples(spark, sf))
 
 
 _PLACED = f"""placed AS (

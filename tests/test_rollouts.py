@@ -175,3 +175,26 @@ def test_joined_logps_with_nulls_and_repeated_keys(spark):
         if None not in (s, p) and (s, p) == (t, q) == (u, r)
     )
     assert Counter(map(tuple, got.collect())) == want
+
+
+def test_rewards_meet_tokens_read_once(spark, tmp_path, few_frequent):
+    sf = documents(spark, tmp_path)
+    for query in (rollout_queries.place_reward, rollout_queries.ppo_terms):
+        df = query(spark, sf)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Generate posexplode") == 1
+        assert sum(n for keys, n in shuffles(df).items() if keys.startswith("sample_id#")) == 2  # texts and rare tokens
+        assert "ShuffledHashJoin" in plan and plan.count("Sort [sample_id#") == 1
+
+
+def test_rewards_with_nulls_and_repeated_keys(spark):
+    tokens = [(1, 0, 1), (1, 1, 1), (1, 2, 0), (2, 0, 0), (3, 0, 1), (3, 0, 1), (None, 0, 1), (4, 5, 1), (5, 0, 1)]
+    rewards = [(1, 2.0), (2, 3.0), (2, 4.0), (3, 5.0), (None, 6.0), (4, 7.0), (4, 8.0), (9, 1.0), (5, None)]
+    df = rollouts.place_reward(
+        spark.createDataFrame(tokens, "sample_id long, pos int, mask int"), spark.createDataFrame(rewards, "sample_id long, reward double")
+    )
+    assert df.columns == ["sample_id", "pos", "mask", "token_reward"]
+    assert Counter(map(tuple, df.collect())) == Counter({
+        (1, 0, 1, 0.0): 1, (1, 1, 1, 2.0): 1, (1, 2, 0, 0.0): 1, (2, 0, 0, 0.0): 1, (3, 0, 1, 5.0): 2, (None, 0, 1, 0.0): 1,
+        (4, 5, 1, 7.0): 1, (4, 5, 1, 8.0): 1, (5, 0, 1, 0.0): 1,
+    })
