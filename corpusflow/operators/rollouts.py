@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from corpusflow.functions.skew import attach, group_stats, ordered_index
 from corpusflow.functions.text import bind
-from corpusflow.session import cut_lineage
 
 _ID_BUDGET = 6_000_000  # ids of one batch that one task takes, some 16 bytes each with mask and log-probability
 _RADIX = 8  # by how much a step of a discounted sum widens it
@@ -224,9 +223,9 @@ def gae(df: DataFrame, gamma: float = 1.0, lam: float = 0.95) -> DataFrame:
 def whiten(df: DataFrame, column: str = "advantage", mask: str = "mask", eps: float = 1e-8) -> DataFrame:
     """Centre and scale ``column`` over the masked rows of the whole batch; zero outside the mask.
 
-    The rows are stored once, and read for the moments and for the result.
+    Token rows take many times the bytes of what they are made from, so they are not stored but made twice, for the
+    moments and for the result. Both are in one plan, which shuffles their inputs once.
     """
-    df = cut_lineage(df)
     held = F.when(F.col(mask) == 1, F.col(column))
     moments = df.agg(F.struct(F.avg(held).alias("mean"), F.var_pop(held).alias("var")).alias("m")).scalar()
     rows = df.withColumn("_m", moments)

@@ -1,6 +1,7 @@
 """Discounted sums, batch means, positions and registries against plain loops."""
 
 import json
+import math
 import random
 from collections import Counter
 from pathlib import Path
@@ -198,3 +199,14 @@ def test_rewards_with_nulls_and_repeated_keys(spark):
         (1, 0, 1, 0.0): 1, (1, 1, 1, 2.0): 1, (1, 2, 0, 0.0): 1, (2, 0, 0, 0.0): 1, (3, 0, 1, 5.0): 2, (None, 0, 1, 0.0): 1,
         (4, 5, 1, 7.0): 1, (4, 5, 1, 8.0): 1, (5, 0, 1, 0.0): 1,
     })
+
+
+def test_whitening_stores_no_rows(spark, tmp_path):
+    spark.range(100).select("id", F.col("id").cast("double").alias("advantage"), (F.col("id") % 3 != 0).cast("int").alias("mask")).write.parquet(f"{tmp_path}/t")
+    df = rollouts.whiten(spark.read.parquet(f"{tmp_path}/t"))
+    assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+    held = [i for i in range(100) if i % 3]
+    mean = sum(held) / len(held)
+    scale = math.sqrt(sum((i - mean) ** 2 for i in held) / len(held))
+    got = {r.id: r.advantage for r in df.collect()}
+    assert all(got[i] == pytest.approx((i - mean) / scale if i % 3 else 0.0, abs=1e-9) for i in range(100))
