@@ -84,13 +84,14 @@ def join_logps(policy: DataFrame, old: DataFrame, ref: DataFrame) -> DataFrame:
     A join on both would deal out tables anew that are dealt out by sample, as other operators want them. So the rows
     of the three are put under each other and meet those of their position in a window over the sample.
     """
-    keys, names = ["sample_id", "pos"], ["logp_policy", "logp_old", "logp_ref"]
+    keys, names, tables = ["sample_id", "pos"], ["logp_policy", "logp_old", "logp_ref"], (policy, old, ref)
     held = F.struct(F.col("logp").alias("v"))  # a null is a value here too
+    none = [F.lit(None).cast(f"struct<v:{t.schema['logp'].dataType.simpleString()}>") for t in tables]
     parts = [
         t.filter(F.col("sample_id").isNotNull() & F.col("pos").isNotNull()).select(
-            *keys, *[(held if n == name else F.lit(None).cast("struct<v:double>")).alias(n) for n in names]
+            *keys, *[(held if n == name else x).alias(n) for n, x in zip(names, none)]
         )
-        for t, name in zip((policy, old, ref), names, strict=True)
+        for t, name in zip(tables, names)
     ]
     here = Window.partitionBy("sample_id").orderBy("pos").rangeBetween(Window.currentRow, Window.currentRow)
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
